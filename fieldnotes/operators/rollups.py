@@ -61,7 +61,7 @@ def with_ratios(df: DataFrame) -> DataFrame:
     )
 
 
-def _spine_left_join(spine: DataFrame, agg: DataFrame, cond: F.Column) -> DataFrame:
+def spine_left_join(spine: DataFrame, agg: DataFrame, cond: F.Column) -> DataFrame:
     # The aggregate was cut to the spine's range and holds one row per spine
     # period, so its size is bounded by the spine (a parameter): broadcast it.
     return spine.join(F.broadcast(agg), cond, "left")
@@ -73,7 +73,7 @@ def daily_summary(staged: DataFrame, days: DataFrame, params: Params) -> DataFra
         F.col("date_day_observed") <= F.lit(params.spine_end).cast("timestamp_ntz")
     )
     agg = period_aggregates(in_range, F.col("date_day_observed"), "date_day_observed")
-    joined = _spine_left_join(
+    joined = spine_left_join(
         days, agg, F.col("date_day").cast("timestamp_ntz") == F.col("date_day_observed")
     )
     out = with_ratios(joined)
@@ -89,7 +89,7 @@ def monthly_summary(staged: DataFrame, months: DataFrame, params: Params) -> Dat
         F.col("date_day_observed") < F.lit(_next_month(last_month)).cast("timestamp_ntz")
     )
     agg = period_aggregates(in_range, month_key("date_day_observed"), "date_month_observed")
-    joined = _spine_left_join(months, agg, F.col("date_month") == F.col("date_month_observed"))
+    joined = spine_left_join(months, agg, F.col("date_month") == F.col("date_month_observed"))
     out = with_ratios(joined)
     if params.order_output:
         out = out.orderBy(F.col("date_month_observed").asc_nulls_last())

@@ -36,6 +36,10 @@ class Params:
     species_ranks: tuple[str, ...] = ("species", "subspecies")
     # API places loaded one after the other by the ingest job
     places: tuple[int, ...] = (1, 6)
+    # incremental scenario: rows updated before this day form the first load
+    first_load_before: dt.date = dt.date(2000, 1, 1)
+    # the "updated since" request predicate of a source pull
+    source_updated_since: dt.date = dt.date(2001, 1, 1)
     # sort final model outputs the way the reference does (a range shuffle)
     order_output: bool = True
 

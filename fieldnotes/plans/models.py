@@ -78,12 +78,17 @@ class Models:
     def monthly_species_panel(self) -> DataFrame:
         return panel.panel(self.species_facts, self.species, panel.MONTHLY_SPECIES, self.params)
 
+    @cached_property
+    def location_facts(self) -> DataFrame:
+        return self.species_facts.withColumn("species_location_id", surrogate_key("taxon_id", "location_id"))
+
+    @cached_property
+    def location_entities(self) -> DataFrame:
+        return self.species_to_locations_by_key.withColumnRenamed("id", "species_location_id")
+
     @cached_property
     def monthly_species_location_panel(self) -> DataFrame:
-        entities = self.species_to_locations_by_key.withColumnRenamed("id", "species_location_id")
-        facts = self.species_facts.withColumn(
-            "species_location_id", surrogate_key("taxon_id", "location_id"))
-        return panel.panel(facts, entities, panel.MONTHLY_SPECIES_LOCATION, self.params)
+        return panel.panel(self.location_facts, self.location_entities, panel.MONTHLY_SPECIES_LOCATION, self.params)
 
     @property
     def daily_species_summary(self) -> DataFrame:

@@ -77,7 +77,9 @@ JOIN part p ON l.l_partkey = p.p_partkey
 JOIN supplier s ON l.l_suppkey = s.s_suppkey
 JOIN nation n ON s.s_nationkey = n.n_nationkey""")
 
-cte("stg_base", f"""
+def staged_ctes(prefix: str, source: str) -> None:
+    """``{prefix}_base`` and ``{prefix}``: staging over the CTE ``source``."""
+    cte(f"{prefix}_base", f"""
 SELECT
   id, inaturalist_id, taxon_id, name AS latin_name, preferred_common_name,
   CAST(date_trunc('day', observed_date) AS TIMESTAMP) AS date_day_observed,
@@ -91,15 +93,17 @@ SELECT
   CAST(string_split(trim(place_ids, '{{}}'), ',') AS INTEGER[]) AS place_id_array,
   CAST(string_split(location, ',') AS DECIMAL(12,6)[]) AS coordinates,
   endemic, native, introduced, threatened, rank, wikipedia_url, _data_loaded_date
-FROM raw
-WHERE observed_date >= {ts(P.epoch)} AND observed_date IS NOT NULL""", "raw")
-
-cte("stg", f"""
+FROM {source}
+WHERE observed_date >= {ts(P.epoch)} AND observed_date IS NOT NULL""", source)
+    cte(prefix, f"""
 SELECT *,
   coordinates[1] AS latitude,
   coordinates[2] AS longitude,
   {skey('CAST(round(coordinates[1], 2) AS DECIMAL(12,2))', 'CAST(round(coordinates[2], 2) AS DECIMAL(12,2))')} AS location_id
-FROM stg_base""", "stg_base")
+FROM {prefix}_base""", f"{prefix}_base")
+
+
+staged_ctes("stg", "raw")
 
 cte("facts", f"""
 SELECT *, CAST(date_trunc('month', date_day_observed) AS TIMESTAMP) AS date_month_observed
@@ -109,14 +113,18 @@ cte("numbers", f"SELECT CAST(generate_series AS INTEGER) AS numbers FROM generat
 cte("dates", f"SELECT CAST({d(P.epoch)} + numbers AS DATE) AS date_day FROM numbers", "numbers")
 cte("months", "SELECT DISTINCT CAST(date_trunc('month', date_day) AS TIMESTAMP) AS date_month FROM dates", "dates")
 
-cte("species", """
+def species_cte(name: str, staged: str) -> None:
+    cte(name, f"""
 SELECT taxon_id, latin_name, preferred_common_name,
   MAX(date_day_observed) AS most_recent_observed_date,
   MIN(date_day_observed) AS first_observed_date,
   MAX(rank) AS rank,
   MAX(wikipedia_url) AS wikipedia_url
-FROM stg WHERE rank IN ('species', 'subspecies')
-GROUP BY 1, 2, 3""", "stg")
+FROM {staged} WHERE rank IN ('species', 'subspecies')
+GROUP BY 1, 2, 3""", staged)
+
+
+species_cte("species", "stg")
 
 cte("species_to_locations", f"""
 SELECT DISTINCT
@@ -277,6 +285,77 @@ FROM (
 ) dow ORDER BY int_day_of_week""", "stg")
 
 
+# ---------------------------------------------------------------------------
+# Incremental ingest scenario: a first load, then a pull from its high-water mark
+# ---------------------------------------------------------------------------
+RAW_COLS = [
+    "inaturalist_id", "taxon_id", "name", "preferred_common_name", "observed_date", "observed_month",
+    "observed_hour", "observed_week", "observed_year", "observed_day", "updated_at", "species_guess",
+    "place_ids", "location", "endemic", "native", "introduced", "threatened", "rank", "wikipedia_url",
+    "out_of_range", "identifications_most_disagree", "_data_loaded_date",
+]
+RAW_ORDER = ", ".join(f"{c} ASC NULLS FIRST" for c in RAW_COLS)
+PLACE_ARRAY = "CAST(string_split(trim(place_ids, '{}'), ',') AS INTEGER[])"
+
+
+def dedupe_sql(source: str) -> str:
+    """One row per id: the smallest row comparing the other columns in order."""
+    return f"SELECT * FROM {source} QUALIFY row_number() OVER (PARTITION BY id ORDER BY {RAW_ORDER}) = 1"
+
+
+cte("stored", f"SELECT * FROM raw WHERE updated_at < {ts(P.first_load_before)}", "raw")
+cte("hwm", "SELECT strftime(max(updated_at), '%Y-%m-%d') AS high_water_mark FROM stored", "stored")
+cte("fetched", """
+SELECT raw.* FROM raw, hwm
+WHERE hwm.high_water_mark IS NULL OR raw.updated_at >= CAST(CAST(hwm.high_water_mark AS DATE) AS TIMESTAMP)""",
+    "raw", "hwm")
+cte("fetched_dedup", dedupe_sql("fetched"), "fetched")
+cte("new_rows", """
+SELECT * FROM fetched_dedup f WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.id = f.id)""",
+    "fetched_dedup", "stored")
+staged_ctes("stg_stored", "stored")
+staged_ctes("stg_new", "new_rows")
+species_cte("species_stored", "stg_stored")
+species_cte("species_new", "stg_new")
+cte("places", "SELECT * FROM (VALUES " + ", ".join(f"({p})" for p in P.places) + ") t(place_id)")
+cte("landed", f"""
+SELECT places.place_id, raw.* FROM raw, places
+WHERE list_contains({PLACE_ARRAY}, places.place_id)""", "raw", "places")
+cte("landed_union", dedupe_sql("(SELECT * EXCLUDE (place_id) FROM landed)"), "landed")
+
+# ---------------------------------------------------------------------------
+# Forecast baseline (seasonal naive) over the trimmed prep series
+# ---------------------------------------------------------------------------
+AS_OF_MONTH = P.as_of.replace(day=1)
+Z90 = "1.6448536269514722"
+
+
+def naive_ctes(prefix: str, prep: str) -> None:
+    cte(f"{prefix}_series", f"""
+SELECT CAST(unique_id AS VARCHAR) AS unique_id, ds, y FROM {prep} WHERE ds < {ts(AS_OF_MONTH)}""", prep)
+    cte(f"{prefix}_stats", f"""
+SELECT unique_id, max(ds) AS last_ds, sqrt(avg(e * e)) AS s FROM (
+  SELECT unique_id, ds, y - LAG(y, {P.season}) OVER (PARTITION BY unique_id ORDER BY ds) AS e
+  FROM {prefix}_series
+) t GROUP BY 1""", f"{prefix}_series")
+    cte(f"{prefix}_steps", f"""
+SELECT unique_id, last_ds, s, CAST(generate_series AS INTEGER) AS h,
+  CAST(last_ds + to_months(CAST(generate_series AS INTEGER) - {P.season}) AS TIMESTAMP) AS src_ds,
+  CAST(last_day(last_ds + to_months(CAST(generate_series AS INTEGER))) AS TIMESTAMP) AS ds
+FROM {prefix}_stats, generate_series(1, {P.h})""", f"{prefix}_stats")
+    cte(prefix, f"""
+SELECT st.unique_id, st.ds,
+  CAST(se.y AS DOUBLE) AS y_hat,
+  CAST(se.y AS DOUBLE) - {Z90} * st.s AS y_hat_lo,
+  CAST(se.y AS DOUBLE) + {Z90} * st.s AS y_hat_hi
+FROM {prefix}_steps st LEFT JOIN {prefix}_series se ON se.unique_id = st.unique_id AND se.ds = st.src_ds""",
+        f"{prefix}_steps", f"{prefix}_series")
+
+
+naive_ctes("naive_species", "forecast_prep_species")
+naive_ctes("naive_location", "forecast_prep_species_location")
+
+
 def sql(final: str, *names: str) -> str:
     """``WITH`` the named CTEs (and their dependencies) followed by ``final``."""
     order: list[str] = []

@@ -1,4 +1,4 @@
-"""Named queries over the test tables, each with its DuckDB oracle (if any).
+"""All named queries over the test tables, with their DuckDB oracles.
 
 ``QUERIES[name](spark, sf_dir)`` returns a DataFrame; ``ORACLES[name]`` is the
 SQL that computes the same rows from the same tables. Names without an oracle
@@ -7,64 +7,7 @@ are checked on row counts only (stateful streaming, fitted forecasts, sinks).
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from fieldnotes.plans import forecast_queries, ingest_queries, model_queries, operator_queries  # noqa: F401
+from fieldnotes.plans.base import ORACLES, QUERIES, models, register
 
-from pyspark.sql import DataFrame, SparkSession
-
-from fieldnotes.params import FIXTURE_PARAMS, Params
-from fieldnotes.plans import oracle as O
-from fieldnotes.plans.models import Models
-from fieldnotes.sources.testdata import raw_observations
-
-Query = Callable[[SparkSession, str], DataFrame]
-
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-def register(name: str, oracle: str | None = None):
-    def wrap(fn: Query) -> Query:
-        QUERIES[name] = fn
-        if oracle is not None:
-            ORACLES[name] = oracle
-        return fn
-    return wrap
-
-
-def models(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS) -> Models:
-    return Models(spark, raw_observations(spark, sf_dir, params), params)
-
-
-# ---------------------------------------------------------------------------
-# Whole models: query name -> (Models attribute, oracle CTE)
-# ---------------------------------------------------------------------------
-MODEL_QUERIES = {
-    "stg_observations": ("staged", "stg"),
-    "numbers_spine": ("numbers", "numbers"),
-    "dates_spine": ("dates", "dates"),
-    "months_spine": ("months", "months"),
-    "species_dim": ("species", "species"),
-    "species_to_locations": ("species_to_locations", "species_to_locations"),
-    "species_to_locations_by_key": ("species_to_locations_by_key", "species_to_locations_by_key"),
-    "daily_summary": ("daily_summary", "daily_summary"),
-    "monthly_summary": ("monthly_summary", "monthly_summary"),
-    "daily_species_summary": ("daily_species_summary", "daily_species_summary"),
-    "monthly_species_summary": ("monthly_species_summary", "monthly_species_summary"),
-    "monthly_species_summary_by_location": (
-        "monthly_species_summary_by_location", "monthly_species_summary_by_location"),
-    "weekly_species_summary": ("weekly_species_summary", "weekly_species_summary"),
-    "forecast_prep_species": ("forecast_prep_species", "forecast_prep_species"),
-    "forecast_prep_species_location": ("forecast_prep_species_location", "forecast_prep_species_location"),
-    "day_of_week_summary": ("day_of_week_summary", "day_of_week_summary"),
-}
-
-
-def _model_query(attr: str) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return getattr(models(spark, sf_dir), attr)
-    run.__name__ = attr
-    return run
-
-
-for _name, (_attr, _cte) in MODEL_QUERIES.items():
-    register(_name, O.model(_cte))(_model_query(_attr))
+__all__ = ["ORACLES", "QUERIES", "models", "register"]
