@@ -12,7 +12,7 @@ def _c(col: Column | str) -> Column:
 
 def parse_int_array(col: Column | str) -> Column:
     """``'{1,2}'::INTEGER[]``: braces trimmed, split on commas, cast each."""
-    body = F.regexp_replace(F.trim(_c(col)), r"^\{|\}$", "")
+    body = F.btrim(F.trim(_c(col)), F.lit("{}"))
     parts = F.when(body == "", F.array().cast("array<string>")).otherwise(F.split(body, ","))
     return F.transform(parts, lambda x: F.trim(x).cast("int"))
 

@@ -33,10 +33,9 @@ def _epoch_text(ts: Column) -> Column:
     print their significant micro digits (``955411200.25``).
     """
     micros = F.unix_micros(ts.cast("timestamp"))
-    whole = F.format_string("%d.0", F.floor(micros / 1_000_000))
-    frac = F.regexp_replace(
-        F.format_string("%.6f", (micros / F.lit(1_000_000.0)).cast("decimal(20,6)")), "0+$", ""
-    )
+    whole = F.concat((micros / 1_000_000).cast("long").cast("string"), F.lit(".0"))
+    exact = (micros.cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(20,6)").cast("string")
+    frac = F.regexp_replace(exact, "0+$", "")
     text = F.when(micros % 1_000_000 == 0, whole).otherwise(frac)
     return F.coalesce(text, F.lit("nan"))
 

@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldnotes.params import Params
 from fieldnotes.schemas import FORECAST, FORECAST_CORE, conform
@@ -213,9 +214,8 @@ def grouped_forecast(series: DataFrame, params: Params, keys: tuple[str, ...] =
     """One model per series via ``groupBy(keys).applyInPandas``."""
     season, h, level = params.season, params.h, params.level
     extra = [k for k in keys if k != "unique_id"]
-    schema = FORECAST_CORE
-    for k in extra:
-        schema = schema.add(k, "string")
+    # a fresh StructType: ``add`` would mutate the shared schema in place
+    schema = T.StructType(FORECAST_CORE.fields + [T.StructField(k, T.StringType()) for k in extra])
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         out = fit_predict(pdf, season, h, level)
