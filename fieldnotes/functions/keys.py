@@ -32,7 +32,9 @@ def _epoch_text(ts: Column) -> Column:
     Whole seconds print with one decimal (``955411200.0``); sub-second values
     print their significant micro digits (``955411200.25``).
     """
-    micros = F.unix_micros(ts.cast("timestamp"))
+    # micros between two wall-clock (NTZ) timestamps: no session time zone involved
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
+                              ts.cast("timestamp_ntz"))
     whole = F.concat((micros / 1_000_000).cast("long").cast("string"), F.lit(".0"))
     exact = (micros.cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(20,6)").cast("string")
     frac = F.regexp_replace(exact, "0+$", "")

@@ -48,7 +48,8 @@ def ingest_explode(spark, sf_dir):
         "place_id",
         F.col("r.id").alias("inaturalist_id"),
         F.col("r.taxon.id").alias("taxon_id"),
-        F.to_timestamp("r.updated_at").cast("timestamp_ntz").alias("updated_at"),
+        api_pages.utc_wall_clock(F.col("r.updated_at"), spark.conf.get("spark.sql.session.timeZone"))
+        .alias("updated_at"),
     )
 
 

@@ -92,6 +92,19 @@ def explode_results(pages: DataFrame) -> DataFrame:
     return pages.select("place_id", F.explode("results").alias("r"))
 
 
+OFFSET_SUFFIX = r"(Z|[+-][0-9]{2}:?[0-9]{2})$"
+
+
+def utc_wall_clock(text: F.Column, session_tz: str) -> F.Column:
+    """ISO text to a UTC wall-clock TIMESTAMP_NTZ, whatever the session zone.
+
+    Text with an offset is an instant: parsed, then moved from the session
+    zone to UTC. Text without one is already UTC wall clock.
+    """
+    instant = F.convert_timezone(F.lit(session_tz), F.lit("UTC"), F.to_timestamp(text).cast("timestamp_ntz"))
+    return F.when(text.rlike(OFFSET_SUFFIX), instant).otherwise(F.to_timestamp_ntz(text))
+
+
 def flatten_results(results: DataFrame, loaded_on: dt.date) -> DataFrame:
     """Null-safe flatten of exploded results to the raw log schema.
 
@@ -101,6 +114,7 @@ def flatten_results(results: DataFrame, loaded_on: dt.date) -> DataFrame:
     added here.
     """
     r = "r"
+    session_tz = results.sparkSession.conf.get("spark.sql.session.timeZone")
     det = f"{r}.observed_on_details"
     tax = f"{r}.taxon"
     flat = results.select(
@@ -108,13 +122,13 @@ def flatten_results(results: DataFrame, loaded_on: dt.date) -> DataFrame:
         F.col(f"{tax}.id").alias("taxon_id"),
         F.col(f"{tax}.name").alias("name"),
         F.col(f"{tax}.preferred_common_name").alias("preferred_common_name"),
-        F.to_timestamp(F.col(f"{det}.date")).cast("timestamp_ntz").alias("observed_date"),
+        F.to_date(F.col(f"{det}.date")).cast("timestamp_ntz").alias("observed_date"),
         F.col(f"{det}.month").cast("double").alias("observed_month"),
         F.col(f"{det}.hour").cast("double").alias("observed_hour"),
         F.col(f"{det}.week").cast("double").alias("observed_week"),
         F.col(f"{det}.year").cast("double").alias("observed_year"),
         F.col(f"{det}.day").cast("double").alias("observed_day"),
-        F.to_timestamp(F.col(f"{r}.updated_at")).cast("timestamp_ntz").alias("updated_at"),
+        utc_wall_clock(F.col(f"{r}.updated_at"), session_tz).alias("updated_at"),
         F.col(f"{r}.species_guess").alias("species_guess"),
         F.when(F.col(f"{r}.place_ids").isNotNull(), F.concat(
             F.lit("{"), F.array_join(F.col(f"{r}.place_ids").cast("array<string>"), ","), F.lit("}")
