@@ -17,10 +17,17 @@ from fieldnotes.params import Params
 
 
 class Models:
-    def __init__(self, spark: SparkSession, raw: DataFrame, params: Params):
+    def __init__(self, spark: SparkSession, raw: DataFrame | None, params: Params,
+                 staged: DataFrame | None = None):
+        """``raw`` is the observation log; pass ``staged`` instead to build on
+        an already materialized staging table."""
+        if raw is None and staged is None:
+            raise ValueError("need the raw log or a staged table")
         self.spark = spark
         self.raw = raw
         self.params = params
+        if staged is not None:
+            self.__dict__["staged"] = staged
 
     # staging and spines -------------------------------------------------
     @cached_property
