@@ -210,8 +210,19 @@ def fit_predict(pdf: pd.DataFrame, season: int = 12, h: int = 4, level: int = 90
     })
 
 
+def _ship_by_value() -> None:
+    """Pickle this module's fitting code by value into the task closures, so
+    executors need numpy and pandas but not this package on their path."""
+    import sys
+
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def grouped_forecast(series: DataFrame, params: Params, keys: tuple[str, ...] = ("unique_id",)) -> DataFrame:
     """One model per series via ``groupBy(keys).applyInPandas``."""
+    _ship_by_value()
     season, h, level = params.season, params.h, params.level
     extra = [k for k in keys if k != "unique_id"]
     # a fresh StructType: ``add`` would mutate the shared schema in place
@@ -228,7 +239,11 @@ def grouped_forecast(series: DataFrame, params: Params, keys: tuple[str, ...] =
         F.col("ds").cast("timestamp_ntz").alias("ds"),
         F.col("y").cast("int").alias("y"),
     )
-    return typed.groupBy(*keys).applyInPandas(run, schema)
+    # Fitting is CPU-bound per series while its input is small, so AQE would
+    # coalesce the shuffle into a few tasks. An explicit partition count keeps
+    # the fits spread; the grouping then reuses this hash partitioning.
+    n = int(series.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return typed.repartition(n, *keys).groupBy(*keys).applyInPandas(run, schema)
 
 
 def forecast_type_of(query_text: F.Column) -> F.Column:
