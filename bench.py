@@ -44,7 +44,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    spark = build_session(master=f"local[{cpus}]", app="fieldnotes-bench", shuffle_partitions=2 * cpus,
+    shuffle = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus)))
+    spark = build_session(master=f"local[{cpus}]", app="fieldnotes-bench", shuffle_partitions=shuffle,
                           **{"spark.driver.memory": "16g"})
     timings: dict[str, float] = {}
     for name in HEADLINE:
