@@ -47,7 +47,8 @@ def new_rows(batch: DataFrame, stored: DataFrame | None, key: str = "id") -> Dat
     deduped = dedupe_by_key(batch, key)
     if stored is None:
         return deduped
-    return deduped.join(stored.select(key), key, "left_anti")
+    # distinct first: copies of one stored id fold map-side, so no task gets them all
+    return deduped.join(stored.select(key).distinct(), key, "left_anti")
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
@@ -56,13 +57,22 @@ def upsert(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
     return updates.unionByName(kept)
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """True when a Parquet table has been written at ``path``."""
+def _exists(spark: SparkSession, path: str) -> bool:
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
     fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
     return fs.exists(jvm_path)
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """True when a Parquet table has been written at ``path``."""
+    return _exists(spark, path)
+
+
+def committed(spark: SparkSession, path: str) -> bool:
+    """True when a write job to ``path`` committed (its ``_SUCCESS`` marker)."""
+    return _exists(spark, f"{path.rstrip('/')}/_SUCCESS")
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The stored table, or an empty frame with its schema on the first run."""
     if table_exists(spark, path):

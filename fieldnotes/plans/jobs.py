@@ -63,15 +63,23 @@ def _write(df: DataFrame, path: str) -> None:
 
 
 def _merge(spark: SparkSession, new: DataFrame, path: str, keys: list[str]) -> None:
-    """Keyed upsert into the table at ``path`` (written to a new version first,
-    because a table cannot be overwritten while it is being read)."""
-    if not incremental.table_exists(spark, path):
+    """Keyed upsert into the table at ``path``.
+
+    The merge is written to ``path__next`` first (a table cannot be
+    overwritten while it is read), then copied over ``path``. If a crash
+    interrupts the copy, the next run finds ``path`` uncommitted and restores
+    it from the committed ``__next`` before merging, so no stored key is lost.
+    """
+    nxt = f"{path}__next"
+    if not incremental.committed(spark, path) and incremental.committed(spark, nxt):
+        _write(spark.read.parquet(nxt), path)
+    if not incremental.committed(spark, path):
         _write(new, path)
         return
     old = spark.read.parquet(path)
     merged = incremental.upsert(old, new.select(*old.columns), keys)
-    _write(merged, f"{path}__next")
-    _write(spark.read.parquet(f"{path}__next"), path)
+    _write(merged, nxt)
+    _write(spark.read.parquet(nxt), path)
 
 
 def transform(spark: SparkSession, params: Params, location: str | None = None,

@@ -28,23 +28,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer splits than the cluster has cores.
+    """Round-robin a scan that has fewer splits than the cluster has cores.
 
     A Parquet file with one row group is one task; everything narrow behind
-    it would run on one core. Rows are hashed on their scan position
-    (``monotonically_increasing_id``): unique per row, so neither a hot key
-    nor a block of identical rows can skew it, and stable when a file-scan
-    task is retried. Unlike round-robin it needs no per-partition sort. A
-    many-file input already has enough splits and is returned unchanged.
+    it would run on one core. Round-robin is immune to hot keys and to blocks
+    of identical rows, is deterministic on retry (Spark sorts each partition
+    first), and lets filters above it reach the scan. A many-file input
+    already has enough splits and is returned unchanged (no shuffle).
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= cores:
         return df
-    return (
-        df.withColumn("_scan_pos", F.monotonically_increasing_id())
-        .repartition(cores, "_scan_pos")
-        .drop("_scan_pos")
-    )
+    return df.repartition(cores)
 
 
 # Fixed values of the mapping: ranks by brand number modulo 5, the common-name
