@@ -35,6 +35,26 @@ def build_session(master: str = "local[8]", app: str = "fieldnotes",
     return spark
 
 
+def cluster_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Sizing for a cluster run over ``input_bytes`` of input on ``cores`` cores.
+
+    Scan splits and the AQE target are ``partition_bytes`` so a task's input
+    fits in executor memory. The initial shuffle width follows the input size
+    (at least two tasks per core, at most twenty, so map-output metadata stays
+    bounded); AQE then merges small partitions toward the target and splits
+    skewed join partitions.
+    """
+    width = max(2 * cores, min(input_bytes // partition_bytes, 20 * cores))
+    return {
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-wide folder for checkpoints and written tables.
 
@@ -61,4 +81,4 @@ def local_path(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
-__all__ = ["build_session", "shared_dir", "scratch_path", "local_path", "SESSION_CONF"]
+__all__ = ["build_session", "cluster_conf", "shared_dir", "scratch_path", "local_path", "SESSION_CONF"]
