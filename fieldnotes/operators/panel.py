@@ -3,7 +3,8 @@
 One parameterised job serves the daily species panel, the monthly species
 panel and the monthly species x location panel.
 
-Plan shape (one shuffle of the facts, one of the grid, no Cartesian join):
+Plan shape (no Cartesian join; one partitioning by entity for everything
+after the fact aggregation):
 
 1. facts are cut to the grid's date range and aggregated per
    (entity keys, period): ``COUNT(DISTINCT inaturalist_id)`` and the sum of
@@ -11,9 +12,10 @@ Plan shape (one shuffle of the facts, one of the grid, no Cartesian join):
    by (keys, period, id), so a hot taxon is spread over periods and ids.
 2. the grid is generated per entity with ``explode(sequence(start, end))``,
    a narrow operator; its length is fixed by the parameters.
-3. grid and aggregates are both hash-partitioned by the entity key, which is
-   part of the join keys, so the left join and every window reuse that one
-   partitioning. Rows per entity are bounded by the grid length.
+3. the counts (hash-partitioned by the entity key) are matched to the entity
+   rows on that key, unioned with the grid rows and summed per cell; union,
+   sum and every window reuse the one entity partitioning under default
+   settings. Rows per entity are bounded by the grid length.
 """
 
 from __future__ import annotations
@@ -87,18 +89,6 @@ def _period(spec: PanelSpec, col: str) -> F.Column:
     return F.col(col).cast("date") if spec.grain == "day" else month_key(col)
 
 
-def dense_grid(entities: DataFrame, spec: PanelSpec, params: Params, years: int | None = None) -> DataFrame:
-    """Each entity crossed with every period of the grid (a Generate, no join)."""
-    start, end = grid_bounds(spec, params, years)
-    step = F.expr("interval 1 day") if spec.grain == "day" else F.expr("interval 1 month")
-    seq = F.sequence(F.lit(start), F.lit(end), step)
-    if spec.grain == "month":
-        seq = F.transform(seq, lambda x: x.cast("timestamp_ntz"))
-    period = F.explode(seq)
-    keep = list(dict.fromkeys(spec.carry + spec.join_keys))
-    return entities.select(*keep).repartition(spec.partition_key).select(*keep, period.alias(spec.date_col))
-
-
 def fact_counts(facts: DataFrame, spec: PanelSpec, params: Params, years: int | None = None) -> DataFrame:
     """Distinct observations and correct guesses per (entity, period) of the grid."""
     start, end = grid_bounds(spec, params, years)
@@ -119,15 +109,53 @@ def _month_after(d: dt.date) -> dt.date:
 
 def grid_counts(facts: DataFrame, entities: DataFrame, spec: PanelSpec, params: Params,
                 years: int | None = None) -> DataFrame:
-    """Grid LEFT JOIN fact counts; empty cells count 0."""
-    grid = dense_grid(entities, spec, params, years)
+    """Grid LEFT JOIN fact counts on (entity keys, period); empty cells count 0.
+
+    Written as a union so that every step keeps one hash partitioning by the
+    entity key, under Spark's default settings:
+
+    * counts are joined to the entity rows on the entity key alone (both
+      sides hash-partitioned by it; the other join keys are then compared, so
+      the match is exactly the multi-key join, including one row per name of
+      a renamed taxon);
+    * the grid rows (count 0) and the matched count rows are unioned, which
+      keeps the shared partitioning, and summed per (entity, period).
+
+    The sum equals the left join: each grid cell has one grid row and at most
+    one count row per entity row, and counts exist only inside the grid range.
+    """
+    keep = list(dict.fromkeys(spec.carry + spec.join_keys))
+    ents = entities.select(*keep).repartition(spec.partition_key)
+    start, end = grid_bounds(spec, params, years)
+    step = F.expr("interval 1 day") if spec.grain == "day" else F.expr("interval 1 month")
+    seq = F.sequence(F.lit(start), F.lit(end), step)
+    if spec.grain == "month":
+        seq = F.transform(seq, lambda x: x.cast("timestamp_ntz"))
+    zero = F.lit(0).cast("long")
+    grid = ents.select(*spec.carry, F.explode(seq).alias(spec.date_col), zero.alias("_n"), zero.alias("_correct"))
+
     counts = fact_counts(facts, spec, params, years).repartition(spec.partition_key)
-    joined = grid.join(counts, [*spec.join_keys, spec.date_col], "left")
-    return joined.select(
-        spec.date_col, *spec.carry,
-        F.coalesce(F.col("_n"), F.lit(0)).cast("int").alias("num_observations"),
-        F.coalesce(F.col("_correct"), F.lit(0)).cast("int").alias("num_correct_guesses"),
+    c = counts.alias("c")
+    e = ents.alias("e")
+    pk = spec.partition_key
+    # Only the entity key is an equi-join key. The other keys are compared in
+    # the join condition with array_contains(array(a), b): exact equality that
+    # rejects NULL like the inner join, but not an equality the planner turns
+    # into another join key. So the join needs no partitioning beyond the
+    # entity key.
+    cond = [F.col(f"c.{pk}") == F.col(f"e.{pk}")] + [
+        F.array_contains(F.array(F.col(f"c.{k}")), F.col(f"e.{k}")) for k in spec.join_keys if k != pk
+    ]
+    matched = c.join(e, cond, "inner").select(
+        *[F.col(f"e.{k}").alias(k) for k in spec.carry],
+        F.col(f"c.{spec.date_col}").alias(spec.date_col),
+        F.col("c._n").alias("_n"),
+        F.coalesce(F.col("c._correct"), zero).alias("_correct"),
     )
+    return grid.unionByName(matched).groupBy(spec.date_col, *spec.carry).agg(
+        F.sum("_n").cast("int").alias("num_observations"),
+        F.sum("_correct").cast("int").alias("num_correct_guesses"),
+    ).select(spec.date_col, *spec.carry, "num_observations", "num_correct_guesses")
 
 
 def names(spec: PanelSpec) -> dict[str, str]:
