@@ -28,10 +28,6 @@ def skey(*exprs: str) -> str:
     return "md5(" + " || '-' || ".join(parts) + ")"
 
 
-def _next_month(x: dt.date) -> dt.date:
-    return x.replace(year=x.year + x.month // 12, month=x.month % 12 + 1, day=1)
-
-
 LOOKBACK_YEAR = P.as_of.year - P.lookback_years
 PREP_YEAR = P.as_of.year - P.prep_lookback_years
 SPINE_N = (P.spine_end - P.epoch).days
