@@ -56,7 +56,14 @@ def ingest_available_now(spark: SparkSession, landing: str, target: str, checkpo
 
 
 def dedupe_stream(spark: SparkSession, landing: str, target: str, checkpoint: str, loaded_on: dt.date,
-                  delay: str = "3650 days", max_files_per_trigger: int | None = 1) -> None:
+                  delay: str = "30 days", max_files_per_trigger: int | None = 1) -> None:
+    """Drop repeated row ids across micro-batches.
+
+    State per id lives until the watermark (latest ``updated_at`` seen minus
+    ``delay``) passes it, so state is bounded by the delay, not the stream.
+    Rows older than the watermark are late and dropped, so the delay must
+    cover how far back re-delivered versions can be.
+    """
     # watermarks need a zoned timestamp; updated_at is UTC wall clock (NTZ)
     deduped = (
         observation_stream(spark, landing, loaded_on, max_files_per_trigger)
