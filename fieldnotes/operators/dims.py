@@ -22,10 +22,6 @@ def species(staged: DataFrame, params: Params) -> DataFrame:
     )
 
 
-def _with_species_location_id(staged: DataFrame) -> DataFrame:
-    return staged.withColumn("species_location_id", surrogate_key("taxon_id", "location_id"))
-
-
 def species_to_locations(staged: DataFrame) -> DataFrame:
     """Species-location pairs, with first/last dates taken per observation row.
 
@@ -33,34 +29,37 @@ def species_to_locations(staged: DataFrame) -> DataFrame:
     id, so each output row carries the dates of one observation version and a
     pair repeats once per distinct date. Built as two partial aggregations
     and a join instead of a window, so a row id with many copies never lands
-    whole in one task.
+    whole in one task. The pair's surrogate key is computed after the final
+    distinct (it is a function of taxon and location).
     """
-    keyed = _with_species_location_id(staged)
-    attrs = keyed.select(
-        "id", "species_location_id", "location_id", "taxon_id", "latin_name", "preferred_common_name"
-    ).distinct()
-    span = keyed.groupBy("id").agg(
+    attrs = staged.select("id", "location_id", "taxon_id", "latin_name", "preferred_common_name").distinct()
+    span = staged.groupBy("id").agg(
         F.max("date_day_observed").alias("most_recent_observation_date"),
         F.min("date_day_observed").alias("first_observation_date"),
     )
-    return (
+    pairs = (
         attrs.join(span, "id")
-        .select(
-            F.col("species_location_id").alias("id"), "location_id", "taxon_id", "latin_name",
-            "preferred_common_name", "most_recent_observation_date", "first_observation_date",
-        )
+        .select("location_id", "taxon_id", "latin_name", "preferred_common_name",
+                "most_recent_observation_date", "first_observation_date")
         .distinct()
     )
+    return pairs.select(surrogate_key("taxon_id", "location_id").alias("id"), *pairs.columns)
 
 
 def species_to_locations_by_key(staged: DataFrame) -> DataFrame:
-    """One row per species-location pair (and name), dates over the pair."""
+    """One row per species-location pair (and name), dates over the pair.
+
+    The surrogate key is a function of (taxon, location), so it is computed
+    after the grouping: once per pair instead of once per observation.
+    """
     return (
-        _with_species_location_id(staged)
-        .groupBy("species_location_id", "location_id", "taxon_id", "latin_name", "preferred_common_name")
+        staged.groupBy("location_id", "taxon_id", "latin_name", "preferred_common_name")
         .agg(
             F.max("date_day_observed").alias("most_recent_observation_date"),
             F.min("date_day_observed").alias("first_observation_date"),
         )
-        .withColumnRenamed("species_location_id", "id")
+        .select(
+            surrogate_key("taxon_id", "location_id").alias("id"), "location_id", "taxon_id", "latin_name",
+            "preferred_common_name", "most_recent_observation_date", "first_observation_date",
+        )
     )

@@ -45,6 +45,9 @@ class PanelSpec:
     change_word: str                # "dod" / "mom"
     id_keys: tuple[str, ...] | None = None  # surrogate id of the output row
     tie_break: tuple[str, ...] = ("latin_name", "preferred_common_name")
+    # when set, the entity key is the surrogate key of these fact columns and
+    # is computed after aggregation (once per cell, not once per fact row)
+    key_from: tuple[str, ...] | None = None
 
 
 DAILY_SPECIES = PanelSpec(
@@ -68,6 +71,7 @@ MONTHLY_SPECIES_LOCATION = PanelSpec(
     prior_default=0, year_lag=12, window=3, period_word="month",
     frame_word="three_month", change_word="mom",
     id_keys=("species_location_id", "date_month_observed"),
+    key_from=("taxon_id", "location_id"),
 )
 
 
@@ -97,10 +101,14 @@ def fact_counts(facts: DataFrame, spec: PanelSpec, params: Params, years: int |
         (F.col("date_day_observed") >= F.lit(start).cast("timestamp_ntz"))
         & (F.col("date_day_observed") < F.lit(upper).cast("timestamp_ntz"))
     )
-    return cut.groupBy(*spec.join_keys, _period(spec, "date_day_observed").alias(spec.date_col)).agg(
+    keys = [k for k in spec.join_keys if k != spec.partition_key] if spec.key_from else list(spec.join_keys)
+    counts = cut.groupBy(*keys, _period(spec, "date_day_observed").alias(spec.date_col)).agg(
         F.count_distinct("inaturalist_id").alias("_n"),
         F.sum(F.col("species_guess_correct").cast("int")).alias("_correct"),
     )
+    if spec.key_from:
+        counts = counts.withColumn(spec.partition_key, surrogate_key(*spec.key_from))
+    return counts
 
 
 def _month_after(d: dt.date) -> dt.date:

@@ -11,7 +11,6 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldnotes.functions import surrogate_key
 from fieldnotes.operators import dims, forecast, panel, rollups, spines, staging
 from fieldnotes.params import Params
 
@@ -85,9 +84,10 @@ class Models:
     def monthly_species_panel(self) -> DataFrame:
         return panel.panel(self.species_facts, self.species, panel.MONTHLY_SPECIES, self.params)
 
-    @cached_property
+    @property
     def location_facts(self) -> DataFrame:
-        return self.species_facts.withColumn("species_location_id", surrogate_key("taxon_id", "location_id"))
+        # the panel derives species_location_id after aggregating the facts
+        return self.species_facts
 
     @cached_property
     def location_entities(self) -> DataFrame:
