@@ -13,6 +13,8 @@ location is given, so every executor can read what another wrote.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,14 +49,21 @@ def _root(spark: SparkSession, location: str | None) -> str:
 def ingest(spark: SparkSession, landing: str, params: Params, location: str | None = None) -> int:
     """Append the new observation versions found in the landed pages.
 
-    Pages are filtered by the high-water mark of the stored log (the
-    ``updated_since`` pull), then deduplicated against stored ids.
+    The high-water mark of the stored log (one aggregated value) selects the
+    pull: landing folders from that day on (partition pruning when pages are
+    landed by ``load_date``) and rows updated on or after it. The rows are
+    then deduplicated against stored ids. Without a stored log, everything
+    is loaded.
     """
     log_path = f"{_root(spark, location)}/observations"
-    batch = api_pages.flatten_results(api_pages.explode_results(api_pages.read_pages(spark, landing)), params.as_of)
+    since = None
     if incremental.table_exists(spark, log_path):
         stored = spark.read.schema(RAW_OBSERVATION).parquet(log_path)
-        batch = incremental.updated_since(batch, incremental.high_water_mark(stored))
+        mark = incremental.high_water_mark(stored).first()["high_water_mark"]
+        since = dt.date.fromisoformat(mark) if mark else None
+    pages = api_pages.read_pages(spark, landing, since)
+    batch = api_pages.source_filter(
+        api_pages.flatten_results(api_pages.explode_results(pages), params.as_of), updated_since=since)
     return incremental.load_increment(spark, batch, log_path, RAW_OBSERVATION)
 
 

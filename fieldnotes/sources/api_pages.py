@@ -72,13 +72,23 @@ def pages_as_json(pages: DataFrame) -> DataFrame:
     return pages.select(F.to_json(F.struct(*[F.col(f.name) for f in RAW_API.fields])).alias("value"))
 
 
-def land_pages(pages: DataFrame, path: str, mode: str = "append") -> None:
-    pages_as_json(pages).write.mode(mode).text(path)
+def land_pages(pages: DataFrame, path: str, mode: str = "append", load_date: dt.date | None = None) -> None:
+    """Write pages as JSON lines; with ``load_date``, under ``load_date=YYYY-MM-DD``
+    so that later pulls can skip older landings by partition pruning."""
+    target = f"{path.rstrip('/')}/load_date={load_date.isoformat()}" if load_date else path
+    pages_as_json(pages).write.mode(mode).text(target)
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Landed pages with the fixed ``RAW_API`` schema (no inference)."""
-    return spark.read.schema(RAW_API).json(path)
+def read_pages(spark: SparkSession, path: str, since: dt.date | None = None) -> DataFrame:
+    """Landed pages with the fixed ``RAW_API`` schema (no inference).
+
+    With ``since`` and a landing partitioned by ``load_date``, only folders
+    landed on or after that day are listed and read (a partition filter).
+    """
+    pages = spark.read.schema(RAW_API).json(path)
+    if since is not None and "load_date" in pages.columns:
+        pages = pages.where(F.col("load_date") >= F.lit(since))
+    return pages
 
 
 def parse_pages(json_text: DataFrame, col: str = "value") -> DataFrame:

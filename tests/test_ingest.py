@@ -126,3 +126,22 @@ def test_dedupe_stream_drops_repeats_across_batches(spark, raw_df):
     api_pages.land_pages(api_pages.pages_from_observations(raw, 1), landing)
     streaming.dedupe_stream(spark, landing, target, os.path.join(base, "ckpt"), AS_OF)
     assert streaming.read_log(spark, target).count() == 10
+
+
+def test_pull_reads_only_landings_since_the_high_water_mark(spark, raw_df):
+    from fieldnotes.plans import jobs
+    from fieldnotes.params import Params
+
+    base = tempfile.mkdtemp(prefix="pull-")
+    landing, warehouse = os.path.join(base, "landing"), os.path.join(base, "wh")
+    old = raw_df([raw_row(inaturalist_id=i, updated_at=ts("2001-05-01 08:00:00")) for i in range(1, 6)])
+    new = raw_df([raw_row(inaturalist_id=i, updated_at=ts("2001-06-02 09:00:00")) for i in range(4, 9)])
+    api_pages.land_pages(api_pages.pages_from_observations(old, 1), landing, load_date=dt.date(2001, 5, 1))
+    p = Params(as_of=dt.date(2001, 6, 3))
+    assert jobs.ingest(spark, landing, p, warehouse) == 5
+    api_pages.land_pages(api_pages.pages_from_observations(new, 1), landing, load_date=dt.date(2001, 6, 2))
+    pruned = api_pages.read_pages(spark, landing, since=dt.date(2001, 5, 2))
+    assert "PartitionFilters: [isnotnull(load_date" in pruned._jdf.queryExecution().executedPlan().toString()
+    assert pruned.select(F.explode("results")).count() == 5
+    assert jobs.ingest(spark, landing, p, warehouse) == 5  # versions 4..8 are new rows (new updated_at)
+    assert jobs.ingest(spark, landing, p, warehouse) == 0
