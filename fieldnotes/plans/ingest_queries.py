@@ -115,7 +115,8 @@ def ingest_union_places(spark, sf_dir):
     return incremental.dedupe_by_key(reduce(DataFrame.unionByName, per_place))
 
 
-@register("append_sink")
+@register("append_sink", O.sql(
+    "SELECT * FROM stored_dedup UNION ALL SELECT * FROM new_rows", "stored_dedup", "new_rows"))
 def append_sink(spark, sf_dir):
     """First load, then the increment twice: the replay appends nothing."""
     stored, _, fetched = _scenario(spark, sf_dir)

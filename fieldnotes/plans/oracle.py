@@ -306,6 +306,7 @@ SELECT raw.* FROM raw, hwm
 WHERE hwm.high_water_mark IS NULL OR raw.updated_at >= CAST(CAST(hwm.high_water_mark AS DATE) AS TIMESTAMP)""",
     "raw", "hwm")
 cte("fetched_dedup", dedupe_sql("fetched"), "fetched")
+cte("stored_dedup", dedupe_sql("stored"), "stored")
 cte("new_rows", """
 SELECT * FROM fetched_dedup f WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.id = f.id)""",
     "fetched_dedup", "stored")

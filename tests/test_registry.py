@@ -41,7 +41,7 @@ forecast_all forecast_future_dates
 """.split()
 
 # keys the SURVEY marks rows-only (no SQL form)
-ROWS_ONLY = {"append_sink", "stream_ingest_available_now", "stream_dedupe", "forecast_grouped",
+ROWS_ONLY = {"stream_ingest_available_now", "stream_dedupe", "forecast_grouped",
              "forecast_stamped", "forecast_all"}
 
 
