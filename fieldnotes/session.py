@@ -58,7 +58,10 @@ def shared_dir(spark: SparkSession) -> str:
     Read from ``spark.checkpoint.dir``; only when the session has none (local
     tests) is a private folder created and registered.
     """
-    current = spark.sparkContext.getCheckpointDir()
+    try:
+        current = spark.sparkContext.getCheckpointDir()
+    except Exception:  # noqa: BLE001 - no SparkContext on the client (Spark Connect)
+        current = None
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:

@@ -36,10 +36,12 @@ def spread(df: DataFrame) -> DataFrame:
     first), and lets filters above it reach the scan. A many-file input
     already has enough splits and is returned unchanged (no shuffle).
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD API (e.g. a Spark Connect session): leave the scan as is
         return df
-    return df.repartition(cores)
+    return df if splits >= cores else df.repartition(cores)
 
 
 # Fixed values of the mapping: ranks by brand number modulo 5, the common-name
