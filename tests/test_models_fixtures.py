@@ -175,3 +175,59 @@ def test_weekly_sums_match_daily_sums(spark, raw_df):
     first = weekly.orderBy("ds").first()
     assert first.ds == dt.datetime(2000, 12, 31)  # the Sunday before Jan 1st, 2001 (a Monday)
     assert first.one_year_ago_y is None and first.yoy_delta is None
+
+
+def test_daily_year_lag_is_365_rows_across_a_leap_year(spark, raw_df):
+    # 2000 is a leap year: 365 rows back from 2001-01-01 is 2000-01-02, not 2000-01-01
+    p = Params(as_of=dt.date(2001, 1, 3), epoch=dt.date(2000, 1, 1), lookback_years=1)
+    raw = raw_df([raw_row(inaturalist_id=1, observed_date=ts("2000-01-02 00:00:00")),
+                  raw_row(inaturalist_id=2, observed_date=ts("2000-01-01 00:00:00"))])
+    staged = staging.stage_observations(raw, p)
+    out = {r.date_day_observed: r for r in panel.panel(
+        staging.species_level(staged, p), dims.species(staged, p), panel.DAILY_SPECIES, p).collect()}
+    assert len(out) == 368  # 366 days of 2000 + Jan 1st and 2nd 2001
+    assert out[dt.date(2001, 1, 1)].one_year_ago_observations == 1  # the 2000-01-02 observation
+    assert out[dt.date(2000, 12, 31)].one_year_ago_observations == 1  # 365 rows back is 2000-01-01
+
+
+def test_renamed_taxon_gets_the_same_counts_under_each_name(spark, raw_df):
+    p = Params(as_of=dt.date(2001, 3, 15), epoch=dt.date(2001, 1, 1), lookback_years=0)
+    raw = raw_df([
+        raw_row(inaturalist_id=1, name="Old name", observed_date=ts("2001-01-05 00:00:00")),
+        raw_row(inaturalist_id=2, name="New name", observed_date=ts("2001-02-05 00:00:00")),
+        raw_row(inaturalist_id=3, name="New name", observed_date=ts("2001-02-06 00:00:00")),
+    ])
+    out = _monthly_panel(spark, raw, p).collect()
+    by_name = {}
+    for r in out:
+        by_name.setdefault(r.latin_name, []).append((r.date_month_observed.month, r.num_observations))
+    assert sorted(by_name["Old name"]) == sorted(by_name["New name"]) == [(1, 1), (2, 2), (3, 0)]
+
+
+def test_forecast_threshold_is_strictly_greater(spark, raw_df):
+    from fieldnotes.operators import forecast
+
+    p = Params(as_of=dt.date(2001, 3, 15), epoch=dt.date(2001, 1, 1), lookback_years=0, prep_lookback_years=0)
+    rows, iid = [], 0
+    for taxon, total in ((10, 10), (11, 11)):
+        for _ in range(total):
+            iid += 1
+            rows.append(raw_row(inaturalist_id=iid, taxon_id=taxon, name=f"T{taxon}",
+                                observed_date=ts("2001-02-03 00:00:00")))
+    prepped = forecast.prep(_monthly_panel(spark, raw_df(rows), p), "taxon_id", 10, p)
+    assert {r.unique_id for r in prepped.collect()} == {11}
+
+
+def test_genus_location_appears_in_the_location_panel_with_zeros(spark, raw_df):
+    p = Params(as_of=dt.date(2001, 3, 15), epoch=dt.date(2001, 1, 1), lookback_years=0)
+    raw = raw_df([
+        raw_row(inaturalist_id=1, taxon_id=10, observed_date=ts("2001-02-03 00:00:00")),
+        raw_row(inaturalist_id=2, taxon_id=20, name="A genus", rank="genus", location="46.0,-123.0",
+                observed_date=ts("2001-02-03 00:00:00")),
+    ])
+    staged = staging.stage_observations(raw, p)
+    entities = dims.species_to_locations_by_key(staged).withColumnRenamed("id", "species_location_id")
+    out = panel.panel(staging.species_level(staged, p), entities, panel.MONTHLY_SPECIES_LOCATION, p).collect()
+    genus = [r for r in out if r.taxon_id == 20]
+    assert len(genus) == 3 and all(r.num_observations == 0 for r in genus)
+    assert sum(r.num_observations for r in out if r.taxon_id == 10) == 1
