@@ -13,6 +13,7 @@ location is given, so every executor can read what another wrote.
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
@@ -93,7 +94,12 @@ def _merge(spark: SparkSession, new: DataFrame, path: str, keys: list[str]) -> N
 
 def transform(spark: SparkSession, params: Params, location: str | None = None,
               only: list[str] | None = None) -> dict[str, str]:
-    """Build the models from the stored log; returns model name -> table path."""
+    """Build the models from the stored log; returns model name -> table path.
+
+    Rows of a stored table have no order for its readers, so the models are
+    built without their final global sorts (a range shuffle each).
+    """
+    params = dataclasses.replace(params, order_output=False)
     root = _root(spark, location)
     raw = spark.read.schema(RAW_OBSERVATION).parquet(f"{root}/observations")
     staged_path = f"{root}/stg_observations"
