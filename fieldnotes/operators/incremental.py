@@ -43,12 +43,21 @@ def dedupe_by_key(df: DataFrame, key: str = "id") -> DataFrame:
 
 
 def new_rows(batch: DataFrame, stored: DataFrame | None, key: str = "id") -> DataFrame:
-    """Rows of ``batch`` whose key is not stored yet (deduped within the batch)."""
+    """Rows of ``batch`` whose key is not stored yet (deduped within the batch).
+
+    The log only grows while a batch stays small, so the stored side is never
+    a build side: first the stored keys that reappear in the batch are found
+    with a semi-join whose build side is the batch's keys (broadcast when the
+    planner sees them small, otherwise a sort-merge join), then the batch is
+    anti-joined with that small set. Copies of one key are folded map-side by
+    the ``distinct`` before any shuffle.
+    """
     deduped = dedupe_by_key(batch, key)
     if stored is None:
         return deduped
-    # distinct first: copies of one stored id fold map-side, so no task gets them all
-    return deduped.join(stored.select(key).distinct(), key, "left_anti")
+    batch_keys = deduped.select(key)
+    known = stored.select(key).join(batch_keys, key, "left_semi").distinct()
+    return deduped.join(known, key, "left_anti")
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
