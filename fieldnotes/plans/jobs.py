@@ -29,6 +29,9 @@ from fieldnotes.sources import api_pages
 
 # model name -> (Models attribute, upsert key or None for a full rewrite)
 TRANSFORM_MODELS = {
+    "numbers": ("numbers", None),
+    "dates": ("dates", None),
+    "months": ("months", None),
     "species": ("species", ["taxon_id"]),
     "species_to_locations": ("species_to_locations", None),
     "daily_summary": ("daily_summary", None),
