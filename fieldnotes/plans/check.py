@@ -14,7 +14,7 @@ from fieldnotes.sources.testdata import TABLES
 
 def _norm(v) -> str:
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else f"{v:.9g}"
+        return "nan" if math.isnan(v) else repr(v)  # exact: no rounding of doubles
     if isinstance(v, (list, tuple)):
         return "[" + ",".join(_norm(x) for x in v) + "]"
     return str(v)
