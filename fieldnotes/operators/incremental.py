@@ -20,14 +20,11 @@ def high_water_mark(stored: DataFrame, col: str = "updated_at") -> DataFrame:
 def updated_since(rows: DataFrame, hwm: DataFrame, col: str = "updated_at") -> DataFrame:
     """Rows updated on or after the high-water-mark day; all rows if it is NULL.
 
-    ``hwm`` has exactly one row, so the cross join is a broadcast of one row.
+    ``hwm`` is a one-row aggregate used as a scalar subquery: Spark evaluates
+    it once and compares every row with the value, with no join.
     """
-    since = F.to_date("high_water_mark").cast("timestamp_ntz")
-    return (
-        rows.crossJoin(F.broadcast(hwm))
-        .where(since.isNull() | (F.col(col) >= since))
-        .drop("high_water_mark")
-    )
+    since = F.to_date(hwm.select("high_water_mark").scalar()).cast("timestamp_ntz")
+    return rows.where(since.isNull() | (F.col(col) >= since))
 
 
 def dedupe_by_key(df: DataFrame, key: str = "id") -> DataFrame:
