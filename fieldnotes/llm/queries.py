@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from fieldnotes.llm import mixing
+from fieldnotes.llm import langid, mixing, quality, simhash
 
 QUERIES = {
+    "op2_compression_bands": quality.op2_compression_bands,
+    "op3_bloom_language": langid.op3_bloom_language,
+    "op6_simhash_trie": simhash.op6_simhash_trie,
     "op7_weighted_fair_queueing": mixing.op7_weighted_fair_queueing,
 }
 
