@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from fieldnotes.llm import langid, mixing, quality, simhash
+from fieldnotes.llm import langid, mixing, quality, simhash, warc
 
 QUERIES = {
     "op2_compression_bands": quality.op2_compression_bands,
     "op3_bloom_language": langid.op3_bloom_language,
     "op6_simhash_trie": simhash.op6_simhash_trie,
     "op7_weighted_fair_queueing": mixing.op7_weighted_fair_queueing,
+    "op8_warc_dictionary": warc.op8_warc_dictionary,
 }
 
 ORACLES = {
     "op7_weighted_fair_queueing": mixing.sql(),
+    "op8_warc_dictionary": warc.sql(),
 }
