@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fieldnotes.llm import langid, mixing, quality, simhash, warc
+from fieldnotes.llm import langid, mixing, quality, simhash, suffix, warc
 
 QUERIES = {
     "op2_compression_bands": quality.op2_compression_bands,
@@ -10,6 +10,7 @@ QUERIES = {
     "op6_simhash_trie": simhash.op6_simhash_trie,
     "op7_weighted_fair_queueing": mixing.op7_weighted_fair_queueing,
     "op8_warc_dictionary": warc.op8_warc_dictionary,
+    "op9_suffix_arrays": suffix.op9_suffix_arrays,
 }
 
 ORACLES = {

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,3 +89,38 @@ def components(edges: DataFrame, name: str = "components", most_rounds: int = 60
         raise RuntimeError("components: no fixed point")
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
+
+
+@dataclass
+class KeyFilter:
+    """A Bloom filter of 64-bit keys with a fixed number of bits, whatever the number of keys.
+
+    It only spares shuffles: rows that it lets pass by mistake go through the exact join that follows, and
+    with far more keys than bits it lets all pass.
+    """
+
+    words: np.ndarray
+
+    HASHES = 3
+
+    def may_hold(self, keys: np.ndarray) -> np.ndarray:
+        bits = np.uint64(64 * len(self.words) - 1)
+        k = keys.view(np.uint64)
+        step = (k >> np.uint64(32)) | np.uint64(1)
+        ok = np.ones(len(k), bool)
+        for i in range(self.HASHES):
+            at = (k + np.uint64(i) * step) & bits
+            ok &= ((self.words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).astype(bool)
+        return ok
+
+
+def key_filter(keys: DataFrame, log_bits: int = 24) -> KeyFilter:
+    """The filter of the one long column of ``keys``; it must be a well mixed hash."""
+    k, bits = F.col(keys.columns[0]), 1 << log_bits
+    step = F.shiftrightunsigned(k, 32).bitwiseOR(F.lit(1))
+    at = F.explode(F.array(*[(k + F.lit(i).cast("long") * step).bitwiseAND(F.lit(bits - 1)) for i in range(KeyFilter.HASHES)]))
+    hits = keys.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at").bitwiseAND(F.lit(63)).cast("int"))).alias("bits")).toArrow()
+    words = np.zeros(bits // 64, np.uint64)  # the driver gets at most this many words
+    words[hits.column("word").to_numpy()] = hits.column("bits").to_numpy().astype(np.int64).view(np.uint64)
+    return KeyFilter(words)
