@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from fieldnotes.llm import langid, mixing, quality, simhash, suffix, warc
+from fieldnotes.llm import langid, lines, mixing, quality, simhash, suffix, warc
 
 QUERIES = {
+    "op1_fuzzy_lines": lines.op1_fuzzy_lines,
     "op2_compression_bands": quality.op2_compression_bands,
     "op3_bloom_language": langid.op3_bloom_language,
     "op6_simhash_trie": simhash.op6_simhash_trie,
