@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from fieldnotes.llm import langid, lines, mixing, quality, simhash, suffix, warc
+from fieldnotes.llm import langid, lines, mixing, quality, simhash, suffix, templates, warc
 
 QUERIES = {
     "op1_fuzzy_lines": lines.op1_fuzzy_lines,
     "op2_compression_bands": quality.op2_compression_bands,
     "op3_bloom_language": langid.op3_bloom_language,
+    "op5_template_windows": templates.op5_template_windows,
     "op6_simhash_trie": simhash.op6_simhash_trie,
     "op7_weighted_fair_queueing": mixing.op7_weighted_fair_queueing,
     "op8_warc_dictionary": warc.op8_warc_dictionary,
