@@ -50,6 +50,8 @@ UNITS = frozenset("""mm cm m km in inch inches ft foot feet yd yard yards mile m
  degree degrees mph kmh watt watts kw kwh volt volts joule joules byte bytes kb mb gb tb""".split())
 LITERAL, NUMBER, UNIT, NAME = range(4)
 PARTS = re.compile(r"[$€£]?[0-9]+(?:[.,:/][0-9]+)*%?|[^\W\d_]+(?:['’-][^\W\d_]+)*")
+WORDS = re.compile(r"\n|[^\x20\x09-\x0D]+").findall  # a line feed ends a sentence
+END_MARKS = (".", "!", "?")
 CACHED = 200_000  # words whose tokens are remembered
 
 
@@ -81,9 +83,9 @@ class Tokens:
         self.values: list[int] = []
         self.starts: list[int] = [0]
         self.ends: list[bool] = []
-        self.arrays = None
 
     def id(self, word: str) -> int:
+        """Number of a word; a new one is taken apart."""
         i = self.ids.get(word)
         if i is None:
             i = self.ids[word] = len(self.ids)
@@ -91,51 +93,50 @@ class Tokens:
                 self.kinds.append(kind)
                 self.values.append(value)
             self.starts.append(len(self.kinds))
-            self.ends.append(word == "\n" or word.rstrip("\"')]»”’")[-1:] in ".!?")
-            self.arrays = None
+            self.ends.append(word == "\n" or word.rstrip("\"')]»”’")[-1:] in END_MARKS)
         return i
 
-    def of(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """(kind, value) per template token."""
+    def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, kind, value) per template token of all ``texts``, in order."""
         if len(self.ids) > CACHED:
             self.clear()
-        words = text.replace("\n", " \n ").split(" ")  # a line feed ends a sentence
-        words = [w for x in words if x for w in (x.split() or ["\n"])]
-        ids = np.array([self.id(w) for w in words], np.int64)
-        if self.arrays is None:
-            self.arrays = (np.array(self.kinds, np.int8), np.array(self.values, np.uint64), np.array(self.starts, np.int64), np.array(self.ends, bool))
-        kinds, values, starts, ends = self.arrays
+        each = [np.array([self.id(w) for w in ["\n", *WORDS(t)]], np.int64) for t in texts]
+        ids = np.concatenate(each) if each else np.empty(0, np.int64)
+        text_of = np.repeat(np.arange(len(each)), [len(e) for e in each])
+        starts, ends = np.array(self.starts, np.int64), np.array(self.ends, bool)
         n = starts[ids + 1] - starts[ids]
         word = np.repeat(np.arange(len(ids)), n)
-        at = np.arange(len(word)) - np.repeat(np.cumsum(n) - n, n) + starts[ids][word]
-        kind, value = kinds[at].copy(), values[at]
+        rank = np.arange(len(word)) - np.repeat(np.cumsum(n) - n, n)
+        at = rank + starts[ids][word]
+        kind, value, text = np.array(self.kinds, np.int8)[at], np.array(self.values, np.uint64)[at], text_of[word]
+        new = np.concatenate([[True], text[1:] != text[:-1]])[: len(text)]
+
+        def previous() -> np.ndarray:
+            return np.where(new, -1, np.concatenate([[-1], kind[:-1]])) if len(kind) else kind
+
         # a capitalised word that starts a sentence is no name
-        closed = np.concatenate([[True], ends[ids][:-1]]) if len(ids) else np.empty(0, bool)
-        kind[(kind == NAME) & closed[word] & (np.concatenate([[True], word[1:] != word[:-1]]) if len(word) else closed[word])] = LITERAL
+        closed = np.concatenate([[True], ends[ids][:-1]])[word] if len(word) else new
+        kind[(kind == NAME) & closed & (rank == 0)] = LITERAL
         # a unit word counts after a number only
-        before = np.concatenate([[-1], kind[:-1]]) if len(kind) else kind
-        kind[(kind == UNIT) & (before != NUMBER)] = LITERAL
+        kind[(kind == UNIT) & (previous() != NUMBER)] = LITERAL
         # a run of capitalised words is one name
-        before = np.concatenate([[-1], kind[:-1]]) if len(kind) else kind
-        more = (kind == NAME) & (before == NAME)
+        more = (kind == NAME) & (previous() == NAME)
         if more.any():
             keep = np.flatnonzero(~more)
-            value = np.add.reduceat(value, keep)
-            kind = kind[keep]
-        return kind, value
+            value, kind, text = np.add.reduceat(value, keep), kind[keep], text[keep]
+        return text, kind, value
 
 
-def window_hashes(kind: np.ndarray, value: np.ndarray, width: int) -> np.ndarray:
-    """Hash of each window of template tokens: literals by value, slots by kind."""
+def window_hashes(text: np.ndarray, kind: np.ndarray, value: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start, hash) of each window of ``width`` tokens of one text: literals by value, slots by kind."""
     code = np.where(kind == LITERAL, value, kind.astype(np.uint64)) + np.uint64(1)
-    n = len(code) - width + 1
-    if n < 1:
-        return np.empty(0, np.uint64)
-    h = np.full(n, np.uint64(width))
-    for j in range(width):
+    n = max(0, len(code) - width + 1)
+    h = np.full(n, width, np.uint64)
+    for j in range(width if n else 0):
         h = (h ^ code[j : j + n]) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(32)
-    return h
+    start = np.flatnonzero(text[:n] == text[width - 1 : width - 1 + n])
+    return start, h[start]
 
 
 def slots(kind: np.ndarray, value: np.ndarray, i: int, width: int) -> tuple[list[int], list[int]]:
@@ -156,12 +157,12 @@ def item_windows(items: DataFrame) -> DataFrame:
         tokens = Tokens()
         for b in slices(batches):
             rows = []
-            for i, text in enumerate(b.column("text").to_pylist()):
-                kind, value = tokens.of(text or "")
+            for i, item in enumerate(b.column("text").to_pylist()):
+                text, kind, value = tokens.of([item or ""])
                 if len(kind) < MIN_TOKENS:
                     continue
                 width = min(WINDOW, len(kind))
-                hashes = window_hashes(kind, value, width)
+                _, hashes = window_hashes(text, kind, value, width)
                 literal = np.convolve(kind == LITERAL, np.ones(width, np.int64), "valid")
                 use = np.flatnonzero(literal >= min(LITERALS, width))
                 use = use if len(use) else np.arange(len(hashes))
@@ -182,11 +183,14 @@ def text_windows(texts: DataFrame, keys: KeyFilter, widths: list[int]) -> DataFr
         tokens = Tokens()
         for b in slices(batches):
             rows = []
-            for k, text in zip(b.column("k").to_pylist(), b.column("text").to_pylist()):
-                kind, value = tokens.of(text)
-                for width in widths:
-                    hashes = window_hashes(kind, value, width).view(np.int64)
-                    rows += [(k, int(hashes[j]), int(j), *slots(kind, value, j, width)) for j in np.flatnonzero(shared.value.may_hold(hashes))]
+            k = b.column("k").to_numpy()
+            text, kind, value = tokens.of(b.column("text").to_pylist())
+            first = np.searchsorted(text, np.arange(len(k)))
+            for width in widths:
+                start, hashes = window_hashes(text, kind, value, width)
+                hit = np.flatnonzero(shared.value.may_hold(hashes))
+                rows += [(int(k[text[i]]), int(h), int(i - first[text[i]]), *slots(kind, value, i, width))
+                         for i, h in zip(start[hit].tolist(), hashes[hit].view(np.int64).tolist())]
             if rows:
                 kinds = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int64())]
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), kinds)], ["k", "w", "at", "slot_at", "slot_value"])
