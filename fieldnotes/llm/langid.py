@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldnotes.llm.util import cut, id_hash, slices, table
+from fieldnotes.llm.util import Shared, cut, id_hash, slices, table
 
 SIZES = (2, 3, 4)
 MIN_RATE = 0.002
@@ -195,7 +195,7 @@ def learn(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang") ->
 def predict(docs: DataFrame, model: Filter, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred and score of every row."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # a filter of bounded size, see above
+    shared = Shared(docs.sparkSession, model)  # a filter of bounded size, see above
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):

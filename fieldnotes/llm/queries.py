@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fieldnotes.llm import langid, lines, mixing, quality, simhash, suffix, templates, warc
+from fieldnotes.llm import langid, language_model, lines, mixing, quality, simhash, suffix, templates, warc
 
 QUERIES = {
     "op1_fuzzy_lines": lines.op1_fuzzy_lines,
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_weighted_fair_queueing": mixing.op7_weighted_fair_queueing,
     "op8_warc_dictionary": warc.op8_warc_dictionary,
     "op9_suffix_arrays": suffix.op9_suffix_arrays,
+    "op10_pitman_yor": language_model.op10_pitman_yor,
 }
 
 ORACLES = {

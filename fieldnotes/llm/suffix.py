@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldnotes.llm.util import KeyFilter, cut, key_filter, slices, table
+from fieldnotes.llm.util import KeyFilter, Shared, cut, key_filter, slices, table
 
 LENGTH = 200
 GRAM = 32
@@ -62,7 +62,7 @@ def sliding(x: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
 
 def gram_hashes(b: np.ndarray) -> np.ndarray:
     """A well mixed 64-bit hash of every ``GRAM`` bytes (a power of two), by doubling."""
-    h, k, p = b.astype(np.uint64) + np.uint64(1), 1, np.uint64(0x9E3779B97F4A7C15)
+    h, k, p = b.astype(np.uint64) + np.uint64(1), 1, np.full(1, 0x9E3779B97F4A7C15, np.uint64)
     while k < GRAM:
         h, k = h[:-k] * p + h[k:], 2 * k
         p = p * p
@@ -222,7 +222,7 @@ def count_keys(texts: DataFrame, length: int) -> DataFrame:
 
 def shared_runs(texts: DataFrame, keys: KeyFilter, length: int) -> DataFrame:
     """(k, key, run (hash of its bytes), first, last, again) of the runs whose key may occur twice."""
-    shared = texts.sparkSession.sparkContext.broadcast(keys)
+    shared = Shared(texts.sparkSession, keys)
     names = ["k", "key", "run", "first", "last", "again"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -384,7 +384,7 @@ def joined(spans: str) -> F.Column:
 
 def keep_keys(texts: DataFrame, keys: KeyFilter) -> DataFrame:
     """The rows of ``texts`` whose k the filter may hold."""
-    shared = texts.sparkSession.sparkContext.broadcast(keys)
+    shared = Shared(texts.sparkSession, keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldnotes.llm.util import KeyFilter, key_filter, slices, table
+from fieldnotes.llm.util import KeyFilter, Shared, key_filter, slices, table
 
 WINDOW = 8
 LITERALS = 4
@@ -177,7 +177,7 @@ def item_windows(items: DataFrame) -> DataFrame:
 
 def text_windows(texts: DataFrame, keys: KeyFilter, widths: list[int]) -> DataFrame:
     """(k, w, at, slot_at, slot_value) of the windows of (k, text) that the benchmark may hold."""
-    shared = texts.sparkSession.sparkContext.broadcast(keys)
+    shared = Shared(texts.sparkSession, keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens()

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +29,17 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Shared:
+    """A broadcast object of bounded size. It is shipped with its class, so executors need not have this package."""
+
+    def __init__(self, spark: SparkSession, value: object) -> None:
+        self.data = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @cached_property
+    def value(self) -> object:
+        return cloudpickle.loads(self.data.value)
+
+
 def id_hash(col: Column) -> Column:
     """crc32 of an id as text; a NULL id counts as the empty text."""
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")))
