@@ -96,6 +96,20 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, *
         "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
 
+def take(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST, *, id_col: str = "doc_id",
+         text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The documents that the mix takes, with all their columns and size, source_size, target, copies and taken at the end.
+
+    Columns of ``docs`` with one of these five names give way to the mix's.
+    """
+    plan = mix(docs, weights, most, id_col=id_col, text_col=text_col, source_col=source_col).where("copies > 0").distinct()
+    plan = plan.withColumnsRenamed({"doc_id": "_mix_id", "source": "_mix_source", "size": "_mix_size"})
+    rest = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies", "taken")]
+    rows = docs.select(*rest).withColumn("size", n_words(F.col(text_col)))
+    same = F.col(id_col).eqNullSafe(F.col("_mix_id")) & F.col(source_col).eqNullSafe(F.col("_mix_source")) & (F.col("size") == F.col("_mix_size"))
+    return rows.join(plan, same).select(*rest, "size", "source_size", "target", "copies", "taken")
+
+
 def op7_weighted_fair_queueing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 

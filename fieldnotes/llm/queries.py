@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from fieldnotes.llm import langid, language_model, lines, mixing, quality, simhash, suffix, templates, warc
+from fieldnotes.llm import langid, language_model, lines, mixing, quality, simhash, suffix, surrogates, templates, warc
 
 QUERIES = {
     "op1_fuzzy_lines": lines.op1_fuzzy_lines,
     "op2_compression_bands": quality.op2_compression_bands,
     "op3_bloom_language": langid.op3_bloom_language,
+    "op4_surrogates": surrogates.op4_surrogates,
     "op5_template_windows": templates.op5_template_windows,
     "op6_simhash_trie": simhash.op6_simhash_trie,
     "op7_weighted_fair_queueing": mixing.op7_weighted_fair_queueing,

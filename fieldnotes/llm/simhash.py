@@ -212,6 +212,13 @@ def near_duplicates(docs: DataFrame, width: int = 4, budget: int = 4, *, id_col:
     return rows.join(firsts.join(ids, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
+def drop_near_duplicates(docs: DataFrame, width: int = 4, budget: int = 4, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The document with the smallest id of each component, with all columns. Rows with that id stay or go together."""
+    found = near_duplicates(docs, width, budget, id_col=id_col, text_col=text_col)
+    stays = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stays")).distinct()
+    return docs.join(stays, F.col(id_col).eqNullSafe(F.col("_stays")), "left_semi")
+
+
 def op6_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
