@@ -1,0 +1,60 @@
+from collections import Counter
+
+import numpy as np
+
+from fieldnotes.llm import quality
+from tests.llm.helpers import prose
+
+
+def brute(text):
+    text = text or ""
+    words = [w for w in text.translate({c: " " for c in (9, 10, 11, 12, 13)}).split(" ") if w]
+    windows = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+    repeated = {j for i in range(len(words) - 4) if windows[tuple(words[i : i + 5])] > 1 for j in range(i, i + 5)}
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if line.strip(" \t\n\x0b\x0c\r"):
+            dup += line in seen
+            seen.add(line)
+    return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), dup, len(repeated)
+
+
+def test_counts_against_brute_force(spark, sf_dir, weird):
+    for docs in (spark.read.parquet(f"{sf_dir}/documents.parquet"), weird[0]):
+        texts = Counter((r["doc_id"], brute(r["text"])) for r in docs.collect())
+        rows = quality.verdicts(docs).collect()
+        assert Counter((r["doc_id"], tuple(r[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"))) for r in rows) == texts
+        for r in rows:
+            assert r["base_failed"] == (r["n_words"] < 10 or 100 * r["n_repeat_words"] > 20 * r["n_words"])
+            assert not (r["base_failed"] and r["kept"])
+
+
+def test_bands(spark, docs_of):
+    rng = np.random.default_rng(4)
+    clean = [prose(rng, n, 3000) for n in (30, 300, 3000)]
+    noise = rng.integers(33, 0x2000, 4000)
+    opaque = "".join(map(chr, noise[(noise < 0xD800)]))
+    repetitive = " ".join(f"row {i} of the table is the same" for i in range(2000))  # no window twice
+    half = prose(rng, 1500, 3000) + " " + " ".join(f"row {i} of the table is the same" for i in range(600))
+    rows = [*enumerate(clean), (10, " ".join(opaque[i : i + 60] for i in range(0, len(opaque), 60))), (11, repetitive), (12, half)]
+    got = {r["doc_id"]: (r["base_failed"], r["kept"]) for r in quality.verdicts(docs_of(rows)).collect()}
+    assert got == {0: (False, True), 1: (False, True), 2: (False, True), 10: (False, False), 11: (False, False), 12: (False, False)}
+    assert {r["doc_id"] for r in quality.keep_good(docs_of(rows)).collect()} == {0, 1, 2}
+
+
+def test_labelled_documents(spark):
+    """Nearly all documents labelled good stay; those labelled bad mostly go."""
+    d = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{d}/labels.parquet")
+    rows = quality.verdicts(spark.read.parquet(f"{d}/documents.parquet")).join(labels, "doc_id").collect()
+    rate = lambda q: np.mean([r["kept"] for r in rows if r["quality"] == q and (not r["base_failed"] or not q)])
+    assert rate(1) > 0.99 and rate(0) < 0.3
+
+
+def test_empty(spark, docs_of):
+    assert quality.verdicts(docs_of([])).count() == 0 and quality.keep_good(docs_of([])).count() == 0
+
+
+def test_repeats_with_many_kinds():
+    words = [f"w{i}" for i in range(9000)] + ["a", "b", "c", "d", "e"] * 2
+    assert quality.repeated_words(words) == 10
