@@ -50,7 +50,8 @@ UNITS = frozenset("""mm cm m km in inch inches ft foot feet yd yard yards mile m
  degree degrees mph kmh watt watts kw kwh volt volts joule joules byte bytes kb mb gb tb""".split())
 LITERAL, NUMBER, UNIT, NAME = range(4)
 PARTS = re.compile(r"[$€£]?[0-9]+(?:[.,:/][0-9]+)*%?|[^\W\d_]+(?:['’-][^\W\d_]+)*")
-WORDS = re.compile(r"\n|[^\x20\x09-\x0D]+").findall  # a line feed ends a sentence
+LINE_END = b"\x01"  # stands for a line feed, which ends a sentence
+SLOT_CODES = np.array([0, *(xxhash.xxh3_64_intdigest(x) for x in (b"number", b"unit", b"name"))], np.uint64)
 END_MARKS = (".", "!", "?")
 CACHED = 200_000  # words whose tokens are remembered
 
@@ -71,44 +72,47 @@ def word_tokens(word: str) -> list[tuple[int, int]]:
     return out
 
 
-class Tokens:
-    """Template tokens of texts, with the tokens of recent words remembered."""
+class Tokens(dict):
+    """Template tokens of texts. Maps a word to its number; a new word is taken apart, recent ones are remembered."""
 
     def __init__(self) -> None:
-        self.clear()
+        super().__init__()
+        self.empty()
 
-    def clear(self) -> None:
-        self.ids: dict[str, int] = {}
+    def empty(self) -> None:
+        self.clear()
         self.kinds: list[int] = []
         self.values: list[int] = []
         self.starts: list[int] = [0]
         self.ends: list[bool] = []
 
-    def id(self, word: str) -> int:
-        """Number of a word; a new one is taken apart."""
-        i = self.ids.get(word)
-        if i is None:
-            i = self.ids[word] = len(self.ids)
-            for kind, value in word_tokens(word):
-                self.kinds.append(kind)
-                self.values.append(value)
-            self.starts.append(len(self.kinds))
-            self.ends.append(word == "\n" or word.rstrip("\"')]»”’")[-1:] in END_MARKS)
+    def __missing__(self, word: bytes) -> int:
+        i = self[word] = len(self)
+        text = word.decode()
+        for kind, value in word_tokens(text) if word != LINE_END else ():
+            self.kinds.append(kind)
+            self.values.append(value)
+        self.starts.append(len(self.kinds))
+        self.ends.append(word == LINE_END or text.rstrip("\"')]»”’")[-1:] in END_MARKS)
         return i
 
     def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(text, kind, value) per template token of all ``texts``, in order."""
-        if len(self.ids) > CACHED:
-            self.clear()
-        each = [np.array([self.id(w) for w in ["\n", *WORDS(t)]], np.int64) for t in texts]
-        ids = np.concatenate(each) if each else np.empty(0, np.int64)
-        text_of = np.repeat(np.arange(len(each)), [len(e) for e in each])
-        starts, ends = np.array(self.starts, np.int64), np.array(self.ends, bool)
-        n = starts[ids + 1] - starts[ids]
-        word = np.repeat(np.arange(len(ids)), n)
-        rank = np.arange(len(word)) - np.repeat(np.cumsum(n) - n, n)
-        at = rank + starts[ids][word]
-        kind, value, text = np.array(self.kinds, np.int8)[at], np.array(self.values, np.uint64)[at], text_of[word]
+        if len(self) > CACHED:
+            self.empty()
+        each = [np.empty(0, np.int32)]
+        for t in texts:
+            words = (b" \x01 " + t.encode().replace(b"\x01", b" ").replace(b"\n", b" \x01 ")).split()
+            each.append(np.fromiter(map(self.__getitem__, words), np.int32, len(words)))
+        ids = np.concatenate(each)
+        starts, ends = np.array(self.starts, np.int32), np.array(self.ends, bool)
+        first = starts[ids]
+        n = starts[ids + 1] - first
+        word = np.repeat(np.arange(len(ids), dtype=np.int32), n)
+        rank = np.arange(len(word), dtype=np.int32) - np.repeat((np.cumsum(n) - n).astype(np.int32), n)
+        at = first[word] + rank
+        kind, value = np.array(self.kinds, np.int8)[at], np.array(self.values, np.uint64)[at]
+        text = np.repeat(np.arange(len(texts), dtype=np.int32), [len(e) for e in each[1:]])[word]
         new = np.concatenate([[True], text[1:] != text[:-1]])[: len(text)]
 
         def previous() -> np.ndarray:
@@ -129,13 +133,23 @@ class Tokens:
 
 def window_hashes(text: np.ndarray, kind: np.ndarray, value: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """(start, hash) of each window of ``width`` tokens of one text: literals by value, slots by kind."""
-    code = np.where(kind == LITERAL, value, kind.astype(np.uint64)) + np.uint64(1)
-    n = max(0, len(code) - width + 1)
-    h = np.full(n, width, np.uint64)
-    for j in range(width if n else 0):
-        h = (h ^ code[j : j + n]) * np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(32)
-    start = np.flatnonzero(text[:n] == text[width - 1 : width - 1 + n])
+    n = len(kind) - width + 1
+    if n < 1:
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    code = np.where(kind == LITERAL, value, SLOT_CODES[kind])
+    # by doubling: the hash of a window from those of its halves
+    h, done, factor = code, 1, np.full(1, 0x9E3779B97F4A7C15, np.uint64)
+    while 2 * done <= width:
+        h, done, factor = h[:-done] * factor + h[done:], 2 * done, factor * factor
+    rest = width - done
+    if rest:
+        tail = np.zeros(n, np.uint64)
+        for j in range(done, width):
+            tail = tail * np.uint64(0x9E3779B97F4A7C15) + code[j : j + n]
+        h = h[:n] * np.uint64(0xBF58476D1CE4E5B9) + tail
+    h = (h + np.uint64(width)) * np.uint64(0x94D049BB133111EB)
+    h ^= h >> np.uint64(31)
+    start = np.flatnonzero(text[:n] == text[width - 1 :])
     return start, h[start]
 
 

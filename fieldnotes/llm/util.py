@@ -119,11 +119,13 @@ class KeyFilter:
     def may_hold(self, keys: np.ndarray) -> np.ndarray:
         bits = np.uint64(64 * len(self.words) - 1)
         k = keys.view(np.uint64)
-        step = (k >> np.uint64(32)) | np.uint64(1)
-        ok = np.ones(len(k), bool)
-        for i in range(self.HASHES):
-            at = (k + np.uint64(i) * step) & bits
-            ok &= ((self.words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).astype(bool)
+        left = np.arange(len(k))
+        for i in range(self.HASHES):  # most keys that are not held fail the first time
+            at = k[left] if i == 0 else k[left] + np.uint64(i) * ((k[left] >> np.uint64(32)) | np.uint64(1))
+            at = at & bits
+            left = left[((self.words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1)).astype(bool)]
+        ok = np.zeros(len(k), bool)
+        ok[left] = True
         return ok
 
 
