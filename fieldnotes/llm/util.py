@@ -37,7 +37,9 @@ class Shared:
 
     @cached_property
     def value(self) -> object:
-        return cloudpickle.loads(self.data.value)
+        value = cloudpickle.loads(self.data.value)
+        self.data = None  # the worker keeps the object, not its bytes as well
+        return value
 
 
 def id_hash(col: Column) -> Column:
