@@ -1,33 +1,43 @@
 """Command line for the three jobs, one Spark application per call.
 
-    python -m fieldnotes land-testdata --sf-dir /root/testdata/sf0.01 --landing DIR
-    python -m fieldnotes ingest    --landing DIR [--warehouse DIR] [--as-of YYYY-MM-DD]
-    python -m fieldnotes transform [--warehouse DIR] [--as-of YYYY-MM-DD] [--only m1,m2]
+    python -m fieldnotes ingest    --as-of YYYY-MM-DD --landing DIR [--warehouse DIR] [--places 1,6] [--taxa 10,20]
+    python -m fieldnotes transform --as-of YYYY-MM-DD [--warehouse DIR] [--only m1,m2] [--epoch YYYY-MM-DD]
+                                   [--lookback-years N] [--panel-lookback PANEL=N]...
                                    [--min-total-species N] [--min-total-location N]
-    python -m fieldnotes forecast  [--warehouse DIR] [--as-of YYYY-MM-DD] [--model grouped|seasonal_naive]
+    python -m fieldnotes forecast  --as-of YYYY-MM-DD [--warehouse DIR] [--model grouped|seasonal_naive]
+    python -m fieldnotes land-testdata --sf-dir /root/testdata/sf0.01 --landing DIR
 
-Tables default to ``<spark.checkpoint.dir>/warehouse``.
+Everything not given has its production value (``Params``). Tables default to
+``<spark.checkpoint.dir>/warehouse``.
 """
 
 from __future__ import annotations
 
 import argparse
-import dataclasses
 import datetime as dt
 import json
 
 from fieldnotes.params import FIXTURE_PARAMS, Params
 
 
+# flag -> the parameter it sets
+FLAGS = {"as_of": "as_of", "epoch": "epoch", "lookback_years": "lookback_years", "panel_lookback": "panel_lookback_years",
+         "min_total_species": "min_total_species", "min_total_location": "min_total_species_location",
+         "places": "places", "taxa": "taxon_ids"}
+
+
 def _params(args: argparse.Namespace) -> Params:
-    p = FIXTURE_PARAMS
-    if args.as_of:
-        p = dataclasses.replace(p, as_of=dt.date.fromisoformat(args.as_of))
-    if getattr(args, "min_total_species", None) is not None:
-        p = dataclasses.replace(p, min_total_species=args.min_total_species)
-    if getattr(args, "min_total_location", None) is not None:
-        p = dataclasses.replace(p, min_total_species_location=args.min_total_location)
-    return p
+    given = {name: getattr(args, flag, None) for flag, name in FLAGS.items()}
+    return Params(**{name: tuple(value) if isinstance(value, list) else value for name, value in given.items() if value is not None})
+
+
+def _ints(text: str) -> tuple[int, ...]:
+    return tuple(int(x) for x in text.split(","))
+
+
+def _panel(text: str) -> tuple[str, int]:
+    name, _, years = text.partition("=")
+    return name, int(years)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -36,14 +46,21 @@ def main(argv: list[str] | None = None) -> int:
     for name in ("land-testdata", "ingest", "transform", "forecast"):
         cmd = sub.add_parser(name)
         cmd.add_argument("--warehouse", default=None)
-        cmd.add_argument("--as-of", default=None)
+        if name != "land-testdata":
+            cmd.add_argument("--as-of", type=dt.date.fromisoformat, required=True)
         cmd.add_argument("--master", default=None)
         if name in ("land-testdata", "ingest"):
             cmd.add_argument("--landing", required=True)
+        if name == "ingest":
+            cmd.add_argument("--places", type=_ints, default=None)
+            cmd.add_argument("--taxa", type=_ints, default=None)
         if name == "land-testdata":
             cmd.add_argument("--sf-dir", required=True)
         if name == "transform":
             cmd.add_argument("--only", default=None)
+            cmd.add_argument("--epoch", type=dt.date.fromisoformat, default=None)
+            cmd.add_argument("--lookback-years", type=int, default=None)
+            cmd.add_argument("--panel-lookback", type=_panel, action="append", default=None)
             cmd.add_argument("--min-total-species", type=int, default=None)
             cmd.add_argument("--min-total-location", type=int, default=None)
         if name == "forecast":
@@ -53,8 +70,8 @@ def main(argv: list[str] | None = None) -> int:
     from fieldnotes.plans import jobs
     from fieldnotes.session import build_session
 
-    spark = build_session(master=args.master) if args.master else build_session()
-    params = _params(args)
+    spark = build_session(master=args.master)
+    params = FIXTURE_PARAMS if args.command == "land-testdata" else _params(args)
     if args.command == "land-testdata":
         from fieldnotes.sources import api_pages
         from fieldnotes.sources.testdata import raw_observations

@@ -18,11 +18,6 @@ def ts_trunc_day(col: Column | str) -> Column:
     return _c(col).cast("date").cast("timestamp_ntz")
 
 
-def day_key(col: Column | str) -> Column:
-    """Calendar day of a date or timestamp as DATE."""
-    return _c(col).cast("date")
-
-
 def month_key(col: Column | str) -> Column:
     """``DATE_TRUNC('month', x)`` as a TIMESTAMP_NTZ month start."""
     return F.trunc(_c(col).cast("date"), "MM").cast("timestamp_ntz")

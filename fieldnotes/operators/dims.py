@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldnotes.functions import surrogate_key
@@ -14,12 +14,14 @@ SPECIES_KEYS = ("taxon_id", "latin_name", "preferred_common_name")
 
 def species(staged: DataFrame, params: Params) -> DataFrame:
     """One row per (taxon, latin name, common name) of species-level facts."""
-    return species_level(staged, params).groupBy(*SPECIES_KEYS).agg(
-        F.max("date_day_observed").alias("most_recent_observed_date"),
-        F.min("date_day_observed").alias("first_observed_date"),
-        F.max("rank").alias("rank"),
-        F.max("wikipedia_url").alias("wikipedia_url"),
-    )
+    dates = (F.max("date_day_observed").alias("most_recent_observed_date"), F.min("date_day_observed").alias("first_observed_date"))
+    # dates per (keys, rank, url) by hash; the maxima of the texts then run over those few rows
+    each = species_level(staged, params).groupBy(*SPECIES_KEYS, "rank", "wikipedia_url").agg(*dates)
+    spans = each.groupBy(*SPECIES_KEYS).agg(
+        F.max("most_recent_observed_date").alias("most_recent_observed_date"), F.min("first_observed_date").alias("first_observed_date"),
+        F.collect_set("rank").alias("_ranks"), F.collect_set("wikipedia_url").alias("_urls"))
+    return spans.select(*SPECIES_KEYS, "most_recent_observed_date", "first_observed_date",
+                        F.array_max("_ranks").alias("rank"), F.array_max("_urls").alias("wikipedia_url"))
 
 
 def species_to_locations(staged: DataFrame) -> DataFrame:
@@ -27,22 +29,15 @@ def species_to_locations(staged: DataFrame) -> DataFrame:
 
     Faithful to the reference: its window is partitioned by the staging row
     id, so each output row carries the dates of one observation version and a
-    pair repeats once per distinct date. Built as two partial aggregations
-    and a join instead of a window, so a row id with many copies never lands
-    whole in one task. The pair's surrogate key is computed after the final
-    distinct (it is a function of taxon and location).
+    pair repeats once per distinct date. The facts are folded per (id,
+    attributes, day) and dealt out by id once; the window and the distinct
+    pairs follow on that layout.
     """
-    attrs = staged.select("id", "location_id", "taxon_id", "latin_name", "preferred_common_name").distinct()
-    span = staged.groupBy("id").agg(
-        F.max("date_day_observed").alias("most_recent_observation_date"),
-        F.min("date_day_observed").alias("first_observation_date"),
-    )
-    pairs = (
-        attrs.join(span, "id")
-        .select("location_id", "taxon_id", "latin_name", "preferred_common_name",
-                "most_recent_observation_date", "first_observation_date")
-        .distinct()
-    )
+    attrs = ["location_id", "taxon_id", "latin_name", "preferred_common_name"]
+    rows = staged.repartition("id").groupBy("id", *attrs).agg(F.max("date_day_observed").alias("_last"), F.min("date_day_observed").alias("_first"))
+    same = Window.partitionBy("id")
+    pairs = rows.select(*attrs, F.max("_last").over(same).alias("most_recent_observation_date"),
+                        F.min("_first").over(same).alias("first_observation_date")).distinct()
     return pairs.select(surrogate_key("taxon_id", "location_id").alias("id"), *pairs.columns)
 
 

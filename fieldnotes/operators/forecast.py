@@ -1,4 +1,4 @@
-"""Forecast inputs, an all-SQL seasonal-naive baseline, and grouped fits.
+"""Forecast inputs, a seasonal-naive baseline, and least-squares fits per series, all in built-ins.
 
 Series are long ``(unique_id, ds, y)`` frames. Every per-series step is keyed
 by ``unique_id``; a series is at most a few dozen monthly points (the prep
@@ -9,14 +9,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fieldnotes.params import Params
-from fieldnotes.schemas import FORECAST, FORECAST_CORE, conform
+from fieldnotes.schemas import FORECAST, conform
 
 # Fixed value: the standard normal quantile for a two-sided 90 % interval.
 Z90 = 1.6448536269514722
@@ -24,6 +21,9 @@ Z90 = 1.6448536269514722
 # Fixed value: the pattern that cuts the run name out of the source query text.
 FORECAST_TYPE_SPLIT = r"[.\n](forecast_prep__)"
 
+# what the forecast type of the baseline ends with
+NAIVE_SUFFIX = "__seasonal_naive"
+
 
 def prep(panel: DataFrame, key: str, min_total: int, params: Params) -> DataFrame:
     """Last ``prep_lookback_years`` calendar years (and the current one) of a
@@ -74,10 +74,9 @@ def seasonal_naive(series: DataFrame, params: Params, keys: tuple[str, ...] = ("
         F.sqrt(F.avg(F.col("_e") * F.col("_e"))).alias("_s"),
     )
     steps = stats.select("*", F.explode(F.sequence(F.lit(1), F.lit(h))).alias("_h"))
-    # the source month of step k is (k - season) months after the last month
-    src = steps.withColumn(
-        "_src", F.add_months(F.col("_last").cast("date"), F.col("_h") - season).cast("timestamp_ntz")
-    )
+    # step k repeats the same month of the last season of the series
+    back = (F.col("_h") - 1) % season + 1 - season
+    src = steps.withColumn("_src", F.add_months(F.col("_last").cast("date"), back).cast("timestamp_ntz"))
     past = series.select(*keys, F.col("ds").alias("_src"), F.col("y").alias("_y"))
     joined = src.join(past, [*keys, "_src"], "left")
     z = F.lit(params_z(params.level))
@@ -101,149 +100,56 @@ def params_z(level: int) -> float:
     return NormalDist().inv_cdf(0.5 + level / 200.0)
 
 
-# ---------------------------------------------------------------------------
-# Grouped fit: one pandas frame per series, through Arrow, on the executors.
-# ---------------------------------------------------------------------------
-
-def _ar_design(x: np.ndarray, p: int) -> tuple[np.ndarray, np.ndarray]:
-    rows = len(x) - p
-    cols = [np.ones(rows)] + [x[p - k - 1: len(x) - k - 1] for k in range(p)]
-    return np.column_stack(cols), x[p:]
-
-
-def _fit_candidate(y: np.ndarray, season: int, d: int, D: int, p: int):
-    """Least-squares AR(p) with intercept on the (seasonally) differenced series."""
-    x = y.astype(float)
-    if D:
-        x = x[season:] - x[:-season]
-    if d:
-        x = np.diff(x)
-    if len(x) <= p + 2:
-        return None
-    X, t = _ar_design(x, p)
-    coef, *_ = np.linalg.lstsq(X, t, rcond=None)
-    resid = t - X @ coef
-    n, k = len(t), p + 1
-    sigma2 = float(resid @ resid) / n
-    if sigma2 <= 0:
-        sigma2 = 1e-12
-    aic = n * np.log(sigma2) + 2 * (k + 1)
-    aicc = aic + (2 * (k + 1) * (k + 2)) / max(n - k - 2, 1)
-    return {"coef": coef, "sigma2": sigma2, "aicc": aicc, "x": x, "d": d, "D": D, "p": p}
-
-
-def _forecast_candidate(y: np.ndarray, fit: dict, season: int, h: int) -> tuple[np.ndarray, np.ndarray]:
-    """Recursive point forecasts and simulated-free variance via psi weights."""
-    coef, p, x = fit["coef"], fit["p"], list(fit["x"])
-    fx = []
-    for _ in range(h):
-        lags = [x[-k - 1] for k in range(p)]
-        nxt = coef[0] + sum(c * v for c, v in zip(coef[1:], lags))
-        fx.append(nxt)
-        x.append(nxt)
-    fx = np.array(fx)
-    # undo differencing
-    level = y.astype(float).tolist()
-    out = []
-    if fit["D"] and fit["d"]:
-        diffs_seasonal = (np.array(level[season:]) - np.array(level[:-season])).tolist()
-        for v in fx:
-            ds_next = diffs_seasonal[-1] + v
-            diffs_seasonal.append(ds_next)
-            level.append(level[-season] + ds_next)
-            out.append(level[-1])
-    elif fit["D"]:
-        for v in fx:
-            level.append(level[-season] + v)
-            out.append(level[-1])
-    elif fit["d"]:
-        for v in fx:
-            level.append(level[-1] + v)
-            out.append(level[-1])
-    else:
-        out = fx.tolist()
-    # forecast variance: psi weights of the AR part, integrated by differencing
-    psi = np.zeros(h)
-    psi[0] = 1.0
-    for j in range(1, h):
-        psi[j] = sum(coef[1 + k] * psi[j - k - 1] for k in range(min(p, j)))
-    if fit["d"]:
-        psi = np.cumsum(psi)
-    if fit["D"]:
-        psi = np.array([sum(psi[j - m * season] for m in range(j // season + 1)) for j in range(h)])
-    var = fit["sigma2"] * np.cumsum(psi ** 2)
-    return np.array(out), np.sqrt(var)
-
-
-def fit_predict(pdf: pd.DataFrame, season: int = 12, h: int = 4, level: int = 90) -> pd.DataFrame:
-    """Pick the candidate with the smallest AICc and forecast ``h`` months.
-
-    Candidates: AR(p), p = 0..2, on the series, its first difference, its
-    seasonal difference (when two seasons exist) and both differences.
-    """
-    pdf = pdf.sort_values("ds")
-    y = pdf["y"].to_numpy(dtype=float)
-    uid = str(pdf["unique_id"].iloc[0])
-    last = pd.Timestamp(pdf["ds"].iloc[-1])
-    best = None
-    if len(y) >= 3:
-        for D in ((0, 1) if len(y) >= 2 * season + 3 else (0,)):
-            for d in (0, 1):
-                for p in (0, 1, 2):
-                    fit = _fit_candidate(y, season, d, D, p)
-                    if fit is not None and (best is None or fit["aicc"] < best["aicc"]):
-                        best = fit
-    if best is None:
-        mean = float(np.mean(y)) if len(y) else float("nan")
-        sd = float(np.std(y)) if len(y) > 1 else float("nan")
-        point, spread = np.full(h, mean), np.full(h, sd)
-    else:
-        point, spread = _forecast_candidate(y, best, season, h)
-    z = params_z(level)
-    ds = [last + pd.DateOffset(months=k) + pd.offsets.MonthEnd(0) for k in range(1, h + 1)]
-    return pd.DataFrame({
-        "unique_id": uid,
-        "ds": pd.to_datetime(ds),
-        "y_hat": point,
-        "y_hat_lo": point - z * spread,
-        "y_hat_hi": point + z * spread,
-    })
-
-
-def _ship_by_value() -> None:
-    """Pickle this module's fitting code by value into the task closures, so
-    executors need numpy and pandas but not this package on their path."""
-    import sys
-
-    from pyspark import cloudpickle
-
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+def recursion(first: str, step: str, k: int) -> str:
+    """``step`` applied ``k`` times to ``first``; ``{x}`` stands for the value so far. Plain arithmetic, the same in every SQL."""
+    out = first
+    for _ in range(k):
+        out = f"({step.format(x=out)})"
+    return out
+
+
+def step_sql(k: int, season: int) -> tuple[str, str]:
+    """What month ``k`` adds to the month of the last season, and its variance, from a, b, e and s2 (see ``grouped_forecast``)."""
+    steps = range(k, 0, -season)  # the same month of each season up to here
+    change = " + ".join(recursion("e", "a + b * {x}", j) for j in steps)
+    spread = " + ".join(recursion("CAST(1 AS DOUBLE)", "1 + b * b * {x}", j - 1) for j in steps)
+    return f"({change})", f"(s2 * ({spread}))"
 
 
 def grouped_forecast(series: DataFrame, params: Params, keys: tuple[str, ...] = ("unique_id",)) -> DataFrame:
-    """One model per series via ``groupBy(keys).applyInPandas``."""
-    _ship_by_value()
-    season, h, level = params.season, params.h, params.level
-    extra = [k for k in keys if k != "unique_id"]
-    # a fresh StructType: ``add`` would mutate the shared schema in place
-    schema = T.StructType(FORECAST_CORE.fields + [T.StructField(k, T.StringType()) for k in extra])
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = fit_predict(pdf, season, h, level)
-        for k in extra:
-            out[k] = pdf[k].iloc[0]
-        return out
-
-    typed = series.select(
-        *[F.col(k).cast("string") for k in keys],
-        F.col("ds").cast("timestamp_ntz").alias("ds"),
-        F.col("y").cast("int").alias("y"),
-    )
-    # Fitting is CPU-bound per series while its input is small, so AQE would
-    # coalesce the shuffle into a few tasks. An explicit partition count keeps
-    # the fits spread; the grouping then reuses this hash partitioning.
-    n = int(series.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return typed.repartition(n, *keys).groupBy(*keys).applyInPandas(run, schema)
+    """One least-squares model per series: the change against the same month of the last season follows its own value one
+    month before, ``e' = a + b * e``.
+
+    ``a``, ``b`` and the variance ``s2`` of the residuals come from whole-number sums over the series, which are exact in
+    any order, so the fit is a partial aggregation. Where the sums determine no line (too few months, or all changes
+    alike but one) the forecast is NULL. Bounds are normal, at ``params.level``.
+    """
+    season, keys = params.season, list(keys)
+    w = Window.partitionBy(*keys).orderBy("ds")
+    diffs = series.select(*[F.col(k).cast("string").alias(k) for k in keys], "ds", F.col("y").cast("long").alias("y"))
+    diffs = diffs.withColumn("z", F.col("y") - F.lag("y", season).over(w)).withColumn("x", F.lag("z", 1).over(w))
+    both = F.col("x").isNotNull() & F.col("z").isNotNull()
+    total = {n: F.sum(F.when(both, F.expr(e))).alias(n) for n, e in
+             (("n", "1L"), ("sx", "x"), ("sz", "z"), ("sxx", "x * x"), ("sxz", "x * z"), ("szz", "z * z"))}
+    fit = diffs.groupBy(*keys).agg(*total.values(), F.max("ds").alias("last_ds"), F.max_by("z", "ds").alias("last_z"))
+    fit = fit.withColumn("b", F.expr("CAST(n * sxz - sx * sz AS DOUBLE) / CAST(nullif(n * sxx - sx * sx, 0) AS DOUBLE)"))
+    fit = fit.withColumn("a", F.expr("(CAST(sz AS DOUBLE) - b * CAST(sx AS DOUBLE)) / CAST(n AS DOUBLE)"))
+    fit = fit.withColumn("s2", F.expr(
+        "CASE WHEN b IS NOT NULL THEN greatest(CAST(0 AS DOUBLE), CAST(szz AS DOUBLE) - a * CAST(sz AS DOUBLE) - b * CAST(sxz AS DOUBLE)) / CAST(n AS DOUBLE) END"))
+    fit = fit.withColumn("e", F.col("last_z").cast("double"))
+    steps = []
+    for k in range(1, params.h + 1):
+        change, spread = step_sql(k, season)
+        steps.append(F.struct(F.lit(k).alias("k"), F.lit((k - 1) % season + 1 - season).alias("back"),
+                              F.expr(change).alias("change"), F.sqrt(F.expr(spread)).alias("spread")))
+    steps = fit.select(*keys, "last_ds", F.explode(F.array(*steps)).alias("s"))
+    source = F.add_months(F.col("last_ds").cast("date"), F.col("s.back")).cast("timestamp_ntz")
+    past = diffs.select(*keys, F.col("ds").alias("_src"), F.col("y").alias("_y"))
+    joined = steps.withColumn("_src", source).join(past, [*keys, "_src"], "left")
+    z, y_hat = F.lit(params_z(params.level)), F.col("_y").cast("double") + F.col("s.change")
+    return joined.select("unique_id", future_dates(F.col("last_ds"), F.col("s.k")).alias("ds"), y_hat.alias("y_hat"),
+                         (y_hat - z * F.col("s.spread")).alias("y_hat_lo"), (y_hat + z * F.col("s.spread")).alias("y_hat_hi"),
+                         *[k for k in keys if k != "unique_id"])
 
 
 def forecast_type_of(query_text: F.Column) -> F.Column:
@@ -251,13 +157,10 @@ def forecast_type_of(query_text: F.Column) -> F.Column:
     return F.element_at(F.split(query_text, FORECAST_TYPE_SPLIT), -1)
 
 
-def source_query_text(view: str) -> str:
-    """The text of the query that reads one forecast-prep view."""
-    return f"SELECT *\n    FROM public.forecast_prep__{view}"
-
-
-def stamp(core: DataFrame, forecast_type: F.Column | str, as_of: dt.date) -> DataFrame:
-    """Rename model outputs to the stored names and stamp the run."""
+def stamp(core: DataFrame, forecast_type: F.Column | str, as_of: dt.date, level: int = 90) -> DataFrame:
+    """Rename model outputs to the stored names and stamp the run. The names say 90, so no other level goes in."""
+    if level != 90:
+        raise ValueError(f"the stored bounds are those of 90 %, not {level} %")
     ft = F.lit(forecast_type) if isinstance(forecast_type, str) else forecast_type
     return conform(
         core.select(
@@ -275,17 +178,14 @@ def stamp(core: DataFrame, forecast_type: F.Column | str, as_of: dt.date) -> Dat
 def forecast_all(prep_species: DataFrame, prep_location: DataFrame, params: Params,
                  model: str = "grouped") -> DataFrame:
     """Both grains in one job: union the series and fit per (type, id)."""
+    naive = model == "seasonal_naive"
+
     def tag(df: DataFrame, view: str) -> DataFrame:
         return trim_partial(df, params).select(
             F.col("unique_id").cast("string").alias("unique_id"), "ds", "y",
-            forecast_type_of(F.lit(source_query_text(view))).alias("forecast_type"),
-        )
+            F.lit(f"{view}{NAIVE_SUFFIX}" if naive else view).alias("forecast_type"))
 
-    series = tag(prep_species, "monthly_species_summary").unionByName(
-        tag(prep_location, "monthly_species_summary_by_location")
-    )
-    if model == "seasonal_naive":
-        core = seasonal_naive(series, params, keys=("forecast_type", "unique_id"))
-    else:
-        core = grouped_forecast(series, params, keys=("forecast_type", "unique_id"))
-    return stamp(core, F.col("forecast_type"), params.as_of)
+    series = tag(prep_species, "monthly_species_summary").unionByName(tag(prep_location, "monthly_species_summary_by_location"))
+    fit = seasonal_naive if naive else grouped_forecast
+    core = fit(series, params, keys=("forecast_type", "unique_id"))
+    return stamp(core, F.col("forecast_type"), params.as_of, params.level)

@@ -27,16 +27,34 @@ def updated_since(rows: DataFrame, hwm: DataFrame, col: str = "updated_at") -> D
     return rows.where(since.isNull() | (F.col(col) >= since))
 
 
+#: Partition column of the log: the day of ``updated_at``, which the row id contains.
+DAY = "updated_on"
+
+
+def with_day(rows: DataFrame) -> DataFrame:
+    """``rows`` with the day of their version; rows without one share the first day there is."""
+    day = F.coalesce(F.to_date("updated_at"), F.lit("0001-01-01").cast("date"))
+    return rows if DAY in rows.columns else rows.withColumn(DAY, day)
+
+
+def with_day_schema(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(DAY, T.DateType())])
+
+
 def dedupe_by_key(df: DataFrame, key: str = "id") -> DataFrame:
-    """One row per ``key``: the smallest row (all columns compared in order).
+    """One row per ``key``: the smallest row (all columns compared in order; the one NULL key is a key like others).
 
-    A deterministic choice built on a partial aggregation, so a key with many
-    copies is folded map-side instead of being gathered in one task.
+    Keys are counted first (a hash aggregation folded map-side). Only rows of
+    keys that occur more than once are compared; the others pass as they are.
     """
     others = [c for c in df.columns if c != key]
     if not others:
         return df.distinct()
-    return df.groupBy(key).agg(F.min(F.struct(*others)).alias("_row")).select(key, "_row.*").select(*df.columns)
+    again = df.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1").select(F.col(key).alias("_again"))
+    same = F.col(key).eqNullSafe(F.col("_again"))
+    once, many = df.join(again, same, "left_anti"), df.join(again, same, "left_semi")
+    first = many.groupBy(key).agg(F.min(F.struct(*others)).alias("_row")).select(key, "_row.*")
+    return once.unionByName(first.select(*df.columns))
 
 
 def new_rows(batch: DataFrame, stored: DataFrame | None, key: str = "id") -> DataFrame:
@@ -44,16 +62,18 @@ def new_rows(batch: DataFrame, stored: DataFrame | None, key: str = "id") -> Dat
 
     The log only grows while a batch stays small, so the stored side is never
     a build side: first the stored keys that reappear in the batch are found
-    with a semi-join whose build side is the batch's keys (broadcast when the
-    planner sees them small, otherwise a sort-merge join), then the batch is
-    anti-joined with that small set. Copies of one key are folded map-side by
-    the ``distinct`` before any shuffle.
+    with a semi-join whose build side is the batch's keys, then the batch is
+    anti-joined with that small set. If the stored side has the day of the row
+    version (``DAY``), it is joined as well, so only the batch's days are read.
     """
     deduped = dedupe_by_key(batch, key)
     if stored is None:
         return deduped
-    batch_keys = deduped.select(key)
-    known = stored.select(key).join(batch_keys, key, "left_semi").distinct()
+    on = [key]
+    keys = deduped.select(key)
+    if DAY in stored.columns:
+        on, keys = [DAY, key], with_day(deduped).select(DAY, key)
+    known = stored.select(*on).join(keys, on, "left_semi").select(key).distinct()
     return deduped.join(known, key, "left_anti")
 
 
@@ -96,17 +116,18 @@ def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> N
 
 def load_increment(spark: SparkSession, batch: DataFrame, path: str, schema: T.StructType,
                    key: str = "id") -> int:
-    """Append the new rows of ``batch`` to the table at ``path``; return how many.
+    """Append the new rows of ``batch`` to the table at ``path``, partitioned by ``DAY``; return how many.
 
-    The new rows are written to a staging folder first, so the count and the
-    append read a fixed set even though the anti-join reads the target.
+    The batch is written to a staging folder first, so it is parsed once; the new rows are
+    written as well before the append, because the anti-join reads the target.
     """
-    stored = read_or_empty(spark, path, schema)
-    fresh = new_rows(batch, stored if table_exists(spark, path) else None, key)
     staging = f"{path.rstrip('/')}_staging"
-    fresh.write.mode("overwrite").parquet(staging)
+    batch.write.mode("overwrite").parquet(f"{staging}_batch")
+    batch = spark.read.schema(schema).parquet(f"{staging}_batch")
+    stored = spark.read.schema(with_day_schema(schema)).parquet(path) if table_exists(spark, path) else None
+    new_rows(batch, stored, key).write.mode("overwrite").parquet(staging)
     written = spark.read.schema(schema).parquet(staging)
     n = written.count()
     if n:
-        append(written, path)
+        append(with_day(written), path, partition_by=[DAY])
     return n

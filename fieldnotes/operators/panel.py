@@ -32,6 +32,7 @@ from fieldnotes.params import Params
 
 @dataclass(frozen=True)
 class PanelSpec:
+    name: str                       # the model, for its own lookback
     grain: str                      # "day" or "month"
     date_col: str                   # output name of the period column
     partition_key: str              # window partition (entity id)
@@ -51,21 +52,21 @@ class PanelSpec:
 
 
 DAILY_SPECIES = PanelSpec(
-    grain="day", date_col="date_day_observed", partition_key="taxon_id",
+    name="daily_species_summary", grain="day", date_col="date_day_observed", partition_key="taxon_id",
     join_keys=("taxon_id",), carry=("taxon_id", "latin_name", "preferred_common_name"),
     prior_default=None, year_lag=365, window=7, period_word="day",
     frame_word="seven_day", change_word="dod",
 )
 
 MONTHLY_SPECIES = PanelSpec(
-    grain="month", date_col="date_month_observed", partition_key="taxon_id",
+    name="monthly_species_summary", grain="month", date_col="date_month_observed", partition_key="taxon_id",
     join_keys=("taxon_id",), carry=("taxon_id", "latin_name", "preferred_common_name"),
     prior_default=0, year_lag=12, window=3, period_word="month",
     frame_word="three_month", change_word="mom", id_keys=("taxon_id", "date_month_observed"),
 )
 
 MONTHLY_SPECIES_LOCATION = PanelSpec(
-    grain="month", date_col="date_month_observed", partition_key="species_location_id",
+    name="monthly_species_summary_by_location", grain="month", date_col="date_month_observed", partition_key="species_location_id",
     join_keys=("species_location_id", "taxon_id", "location_id"),
     carry=("species_location_id", "taxon_id", "latin_name", "preferred_common_name"),
     prior_default=0, year_lag=12, window=3, period_word="month",
@@ -75,7 +76,7 @@ MONTHLY_SPECIES_LOCATION = PanelSpec(
 )
 
 
-def grid_bounds(spec: PanelSpec, params: Params, years: int | None = None) -> tuple[dt.date, dt.date]:
+def grid_bounds(spec: PanelSpec, params: Params) -> tuple[dt.date, dt.date]:
     """First and last period of the grid.
 
     Start: the later of the spine start and January 1st of the lookback year.
@@ -85,17 +86,17 @@ def grid_bounds(spec: PanelSpec, params: Params, years: int | None = None) -> tu
     """
     last_day = params.as_of - dt.timedelta(days=1)
     if spec.grain == "day":
-        return max(params.epoch, params.lookback_start(years)), last_day
-    return max(params.epoch.replace(day=1), params.lookback_start(years)), last_day.replace(day=1)
+        return max(params.epoch, params.lookback_start(spec.name)), last_day
+    return max(params.epoch.replace(day=1), params.lookback_start(spec.name)), last_day.replace(day=1)
 
 
 def _period(spec: PanelSpec, col: str) -> F.Column:
     return F.col(col).cast("date") if spec.grain == "day" else month_key(col)
 
 
-def fact_counts(facts: DataFrame, spec: PanelSpec, params: Params, years: int | None = None) -> DataFrame:
+def fact_counts(facts: DataFrame, spec: PanelSpec, params: Params) -> DataFrame:
     """Distinct observations and correct guesses per (entity, period) of the grid."""
-    start, end = grid_bounds(spec, params, years)
+    start, end = grid_bounds(spec, params)
     upper = end + dt.timedelta(days=1) if spec.grain == "day" else _month_after(end)
     cut = facts.where(
         (F.col("date_day_observed") >= F.lit(start).cast("timestamp_ntz"))
@@ -115,8 +116,7 @@ def _month_after(d: dt.date) -> dt.date:
     return d.replace(year=d.year + d.month // 12, month=d.month % 12 + 1, day=1)
 
 
-def grid_counts(facts: DataFrame, entities: DataFrame, spec: PanelSpec, params: Params,
-                years: int | None = None) -> DataFrame:
+def grid_counts(facts: DataFrame, entities: DataFrame, spec: PanelSpec, params: Params) -> DataFrame:
     """Grid LEFT JOIN fact counts on (entity keys, period); empty cells count 0.
 
     Written as a union so that every step keeps one hash partitioning by the
@@ -134,7 +134,7 @@ def grid_counts(facts: DataFrame, entities: DataFrame, spec: PanelSpec, params:
     """
     keep = list(dict.fromkeys(spec.carry + spec.join_keys))
     ents = entities.select(*keep).repartition(spec.partition_key)
-    start, end = grid_bounds(spec, params, years)
+    start, end = grid_bounds(spec, params)
     step = F.expr("interval 1 day") if spec.grain == "day" else F.expr("interval 1 month")
     seq = F.sequence(F.lit(start), F.lit(end), step)
     if spec.grain == "month":
@@ -142,7 +142,7 @@ def grid_counts(facts: DataFrame, entities: DataFrame, spec: PanelSpec, params:
     zero = F.lit(0).cast("long")
     grid = ents.select(*spec.carry, F.explode(seq).alias(spec.date_col), zero.alias("_n"), zero.alias("_correct"))
 
-    counts = fact_counts(facts, spec, params, years).repartition(spec.partition_key)
+    counts = fact_counts(facts, spec, params).repartition(spec.partition_key)
     c = counts.alias("c")
     e = ents.alias("e")
     pk = spec.partition_key
@@ -226,10 +226,9 @@ def window_metrics(counts: DataFrame, spec: PanelSpec) -> DataFrame:
     return out
 
 
-def panel(facts: DataFrame, entities: DataFrame, spec: PanelSpec, params: Params,
-          years: int | None = None) -> DataFrame:
+def panel(facts: DataFrame, entities: DataFrame, spec: PanelSpec, params: Params) -> DataFrame:
     """The full panel job, unsorted (hash-partitioned by the entity key)."""
-    return window_metrics(grid_counts(facts, entities, spec, params, years), spec)
+    return window_metrics(grid_counts(facts, entities, spec, params), spec)
 
 
 def ordered(df: DataFrame, spec: PanelSpec, params: Params) -> DataFrame:

@@ -62,9 +62,8 @@ def with_ratios(df: DataFrame) -> DataFrame:
 
 
 def spine_left_join(spine: DataFrame, agg: DataFrame, cond: F.Column) -> DataFrame:
-    # The aggregate was cut to the spine's range and holds one row per spine
-    # period, so its size is bounded by the spine (a parameter): broadcast it.
-    return spine.join(F.broadcast(agg), cond, "left")
+    # The aggregate holds one row per spine period at most; the planner sees its size at run time.
+    return spine.join(agg, cond, "left")
 
 
 def daily_summary(staged: DataFrame, days: DataFrame, params: Params) -> DataFrame:

@@ -40,19 +40,12 @@ def months_spine(spark: SparkSession, params: Params) -> DataFrame:
     )
 
 
-def lookback(spine: DataFrame, col: str, params: Params, years: int | None = None) -> DataFrame:
-    """Keep rows whose calendar year is at least ``year(as_of) - years``."""
-    years = params.lookback_years if years is None else years
-    return spine.where(F.year(col) >= F.lit(params.as_of.year - years))
+def lookback(spine: DataFrame, col: str, params: Params) -> DataFrame:
+    """Keep rows whose calendar year is at least ``year(as_of) - lookback_years``."""
+    return spine.where(F.year(col) >= F.lit(params.as_of.year - params.lookback_years))
 
 
-def cross_grid(entities: DataFrame, spine: DataFrame, spine_rows: int,
-               max_broadcast_rows: int = 100_000) -> DataFrame:
-    """Every entity crossed with every spine row.
-
-    The spine is broadcast only when its parameter-derived row bound is small;
-    the entity side (which grows with the data) is never broadcast.
-    """
-    if spine_rows <= max_broadcast_rows:
-        return entities.crossJoin(F.broadcast(spine))
-    return entities.crossJoin(spine)
+def cross_grid(entities: DataFrame, first: dt.date, last: dt.date, col: str) -> DataFrame:
+    """Every entity with every month start from ``first`` to ``last``, generated per entity row (no join)."""
+    months = F.sequence(F.lit(first.replace(day=1)), F.lit(last.replace(day=1)), F.expr("interval 1 month"))
+    return entities.select("*", F.explode(F.transform(months, lambda m: m.cast("timestamp_ntz"))).alias(col))

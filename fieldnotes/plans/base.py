@@ -28,14 +28,6 @@ def register(name: str, oracle: str | None = None):
     return wrap
 
 
-_MODELS: dict[tuple[int, str, Params], Models] = {}
-
-
 def models(spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS) -> Models:
-    """The model graph over the read-only test tables, built once per session,
-    folder and parameters (DataFrames are lazy plans: sharing them shares
-    no results, only the driver-side analysis)."""
-    key = (id(spark), sf_dir, params)
-    if key not in _MODELS:
-        _MODELS[key] = Models(spark, raw_observations(spark, sf_dir, params), params)
-    return _MODELS[key]
+    """The model graph over the test tables."""
+    return Models(spark, raw_observations(spark, sf_dir, params), params)

@@ -31,35 +31,37 @@ def forecast_future_dates(spark, sf_dir):
     return steps.select("unique_id", "h", forecast.future_dates(F.col("last_ds"), F.col("h")).alias("ds"))
 
 
-@register("forecast_grouped")
+@register("forecast_grouped", O.sql("SELECT * FROM lsq_species", "lsq_species"))
 def forecast_grouped(spark, sf_dir):
     series = forecast.trim_partial(models(spark, sf_dir).forecast_prep_species, P)
     return forecast.grouped_forecast(series, P)
 
 
-@register("forecast_stamped")
+def _stamped_sql(prefix: str, forecast_type: str) -> str:
+    return (f"SELECT ds, unique_id, y_hat AS auto_arima, y_hat_lo AS auto_arima_lo_90, "
+            f"y_hat_hi AS auto_arima_hi_90, '{forecast_type}' AS forecast_type, {O.d(P.as_of)} AS _date_forecasted "
+            f"FROM {prefix}")
+
+
+def _both_sql(kind: str, suffix: str = "") -> str:
+    return O.sql(_stamped_sql(f"{kind}_species", SPECIES_VIEW + suffix) + "\nUNION ALL\n"
+                 + _stamped_sql(f"{kind}_location", LOCATION_VIEW + suffix), f"{kind}_species", f"{kind}_location")
+
+
+@register("forecast_stamped", O.sql(_stamped_sql("lsq_location", LOCATION_VIEW), "lsq_location"))
 def forecast_stamped(spark, sf_dir):
     series = forecast.trim_partial(models(spark, sf_dir).forecast_prep_species_location, P)
     core = forecast.grouped_forecast(series, P)
-    ftype = forecast.forecast_type_of(F.lit(forecast.source_query_text(LOCATION_VIEW)))
-    return forecast.stamp(core, ftype, P.as_of)
+    return forecast.stamp(core, LOCATION_VIEW, P.as_of, P.level)
 
 
-@register("forecast_all")
+@register("forecast_all", _both_sql("lsq"))
 def forecast_all(spark, sf_dir):
     m = models(spark, sf_dir)
     return forecast.forecast_all(m.forecast_prep_species, m.forecast_prep_species_location, P)
 
 
-def _stamped_sql(prefix: str, view: str) -> str:
-    return (f"SELECT ds, unique_id, y_hat AS auto_arima, y_hat_lo AS auto_arima_lo_90, "
-            f"y_hat_hi AS auto_arima_hi_90, '{view}' AS forecast_type, {O.d(P.as_of)} AS _date_forecasted "
-            f"FROM {prefix}")
-
-
-@register("stg_forecasts", O.sql(
-    _stamped_sql("naive_species", SPECIES_VIEW) + "\nUNION ALL\n" + _stamped_sql("naive_location", LOCATION_VIEW),
-    "naive_species", "naive_location"))
+@register("stg_forecasts", _both_sql("naive", forecast.NAIVE_SUFFIX))
 def stg_forecasts(spark, sf_dir):
     """Baseline forecasts of both grains appended to a forecasts table, then
     read back through the staging passthrough."""

@@ -33,7 +33,8 @@ TRANSFORM_MODELS = {
     "dates": ("dates", None),
     "months": ("months", None),
     "species": ("species", ["taxon_id"]),
-    "species_to_locations": ("species_to_locations", None),
+    "species_to_locations": ("species_to_locations", ["id", "latin_name", "preferred_common_name",
+                                                      "most_recent_observation_date", "first_observation_date"]),
     "daily_summary": ("daily_summary", None),
     "monthly_summary": ("monthly_summary", None),
     "daily_species_summary": ("daily_species_summary", None),
@@ -46,6 +47,15 @@ TRANSFORM_MODELS = {
 }
 
 
+# stored model -> the Models attribute that later models take it as
+STORED_PANELS = {
+    "species": "species",
+    "daily_species_summary": "daily_species_panel",
+    "monthly_species_summary": "monthly_species_panel",
+    "monthly_species_summary_by_location": "monthly_species_location_panel",
+}
+
+
 def _root(spark: SparkSession, location: str | None) -> str:
     return (location or f"{shared_dir(spark)}/warehouse").rstrip("/")
 
@@ -62,15 +72,19 @@ def ingest(spark: SparkSession, landing: str, params: Params, location: str | No
     log_path = f"{_root(spark, location)}/observations"
     since = None
     if incremental.table_exists(spark, log_path):
-        stored = spark.read.schema(RAW_OBSERVATION).parquet(log_path)
-        mark = incremental.high_water_mark(stored).first()["high_water_mark"]
+        mark = incremental.high_water_mark(stored_log(spark, location), incremental.DAY).first()["high_water_mark"]
         since = dt.date.fromisoformat(mark) if mark else None
-    pages = api_pages.read_pages(spark, landing, since)
-    batch = api_pages.source_filter(
-        api_pages.flatten_results(api_pages.explode_results(pages), params.as_of), updated_since=since)
+    results = api_pages.wild(api_pages.explode_results(api_pages.read_pages(spark, landing, since)), params.captive)
+    batch = api_pages.source_filter(api_pages.flatten_results(results, params.as_of), updated_since=since,
+                                    taxon_ids=params.taxon_ids, place_ids=params.places)
     return incremental.load_increment(spark, batch, log_path, RAW_OBSERVATION)
 
 
+def stored_log(spark: SparkSession, location: str | None = None) -> DataFrame:
+    """The log with its partition column, the day of the row version."""
+    return spark.read.schema(incremental.with_day_schema(RAW_OBSERVATION)).parquet(f"{_root(spark, location)}/observations")
+
+
 def _write(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
@@ -80,18 +94,22 @@ def _merge(spark: SparkSession, new: DataFrame, path: str, keys: list[str]) -> N
 
     The merge is written to ``path__next`` first (a table cannot be
     overwritten while it is read), then copied over ``path``. If a crash
-    interrupts the copy, the next run finds ``path`` uncommitted and restores
-    it from the committed ``__next`` before merging, so no stored key is lost.
+    interrupts the copy, the next run finds ``path`` without its marker and
+    restores it from the complete ``__next`` before merging. A stored table
+    without a marker and without such a copy is never overwritten.
     """
     nxt = f"{path}__next"
-    if not incremental.committed(spark, path) and incremental.committed(spark, nxt):
-        _write(spark.read.parquet(nxt), path)
     if not incremental.committed(spark, path):
-        _write(new, path)
-        return
+        if incremental.committed(spark, nxt):
+            _write(spark.read.parquet(nxt), path)
+        elif incremental.table_exists(spark, path):
+            raise RuntimeError(f"{path} is incomplete (no _SUCCESS marker) and has no copy: restore it, or remove it to rebuild")
+        else:
+            _write(new, path)
+            return
     old = spark.read.parquet(path)
-    merged = incremental.upsert(old, new.select(*old.columns), keys)
-    _write(merged, nxt)
+    # a second reader must not see the merge half copied: the same rows, written once and moved into place by the copy
+    _write(incremental.upsert(old, new.select(*old.columns), keys), nxt)
     _write(spark.read.parquet(nxt), path)
 
 
@@ -104,7 +122,7 @@ def transform(spark: SparkSession, params: Params, location: str | None = None,
     """
     params = dataclasses.replace(params, order_output=False)
     root = _root(spark, location)
-    raw = spark.read.schema(RAW_OBSERVATION).parquet(f"{root}/observations")
+    raw = stored_log(spark, location).select(*RAW_OBSERVATION.names)
     staged_path = f"{root}/stg_observations"
     _write(Models(spark, raw, params).staged, staged_path)
     models = Models(spark, None, params, staged=spark.read.parquet(staged_path))
@@ -119,22 +137,28 @@ def transform(spark: SparkSession, params: Params, location: str | None = None,
         else:
             _write(df, path)
         out[name] = path
+        if name in STORED_PANELS:  # what is built on a panel reads the stored one
+            models.__dict__[STORED_PANELS[name]] = spark.read.parquet(path)
     return out
 
 
 def forecast(spark: SparkSession, params: Params, location: str | None = None, model: str = "grouped") -> int:
-    """Forecast both grains from the prep tables and append to ``forecasts``."""
+    """Forecast both grains from the prep tables into ``forecasts``; a repeated run replaces its own day and types."""
     root = _root(spark, location)
     species = spark.read.parquet(f"{root}/forecast_prep__monthly_species_summary")
     by_location = spark.read.parquet(f"{root}/forecast_prep__monthly_species_summary_by_location")
     out = fc.forecast_all(species, by_location, params, model=model)
     path = f"{root}/forecasts"
     staging = f"{path}_run_{params.as_of.isoformat()}"
+    if incremental.table_exists(spark, path):  # rows of the same day and other types stay
+        stored = spark.read.schema(FORECAST).parquet(path).where(F.col("_date_forecasted") == F.lit(params.as_of))
+        out = out.unionByName(stored.join(out.select("forecast_type").distinct(), "forecast_type", "left_anti").select(*out.columns))
     out.write.mode("overwrite").parquet(staging)
     written = spark.read.schema(FORECAST).parquet(staging)
-    n = written.count()
-    incremental.append(written, path, partition_by=["_date_forecasted"])
-    return n
+    written.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_date_forecasted").parquet(path)
+    types = ["monthly_species_summary", "monthly_species_summary_by_location"]
+    suffix = fc.NAIVE_SUFFIX if model == "seasonal_naive" else ""
+    return written.where(F.col("forecast_type").isin([t + suffix for t in types])).count()
 
 
 def stored_forecasts(spark: SparkSession, location: str | None = None) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fieldnotes.plans import oracle as O
 from fieldnotes.plans.base import Query, models, register
@@ -30,10 +31,14 @@ MODEL_QUERIES = {
 
 def _model_query(attr: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return getattr(models(spark, sf_dir), attr)
+        model = getattr(models(spark, sf_dir), attr)
+        if attr == "staged":  # the decimals of the array as text, element by element
+            model = model.withColumn("coordinates", F.col("coordinates").cast("array<string>"))
+        return model
     run.__name__ = attr
     return run
 
 
 for _name, (_attr, _cte) in MODEL_QUERIES.items():
-    register(_name, O.model(_cte))(_model_query(_attr))
+    _sql = O.sql("SELECT * REPLACE (CAST(coordinates AS VARCHAR[]) AS coordinates) FROM stg", "stg") if _cte == "stg" else O.model(_cte)
+    register(_name, _sql)(_model_query(_attr))

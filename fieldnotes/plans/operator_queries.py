@@ -3,6 +3,8 @@ models, over the whole test tables, with its oracle SQL."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -85,10 +87,8 @@ FROM species s CROSS JOIN (SELECT * FROM months WHERE year(date_month) >= {O.LOO
     "species", "months"))
 def grid_cross_join(spark, sf_dir):
     m = models(spark, sf_dir)
-    months = spines.lookback(m.months, "date_month", P)
-    bound = spines.month_count(P.epoch.replace(day=1), P.spine_end)  # rows of the spine, from parameters
-    return spines.cross_grid(
-        m.species.select("taxon_id", "latin_name", "preferred_common_name"), months, bound)
+    first = max(P.epoch, dt.date(P.as_of.year - P.lookback_years, 1, 1))
+    return spines.cross_grid(m.species.select("taxon_id", "latin_name", "preferred_common_name"), first, P.spine_end, "date_month")
 
 
 # --- aggregations -----------------------------------------------------------
@@ -232,10 +232,10 @@ def fn_split_array(spark, sf_dir):
 
 
 @register("fn_coordinates", O.sql(
-    "SELECT id, location, CAST(string_split(location, ',') AS DECIMAL(12,6)[]) AS coordinates FROM raw", "raw"))
+    "SELECT id, location, CAST(CAST(string_split(location, ',') AS DECIMAL(12,6)[]) AS VARCHAR[]) AS coordinates FROM raw", "raw"))
 def fn_coordinates(spark, sf_dir):
     raw = raw_observations(spark, sf_dir, P)
-    return raw.select("id", "location", coordinates("location").alias("coordinates"))
+    return raw.select("id", "location", coordinates("location").cast("array<string>").alias("coordinates"))  # every element as text
 
 
 @register("fn_array_get", O.sql(
@@ -303,7 +303,7 @@ def fn_forecast_type(spark, sf_dir):
 
     def typed(df, view):
         return df.select(F.col("unique_id").cast("string").alias("unique_id")).distinct().select(
-            "unique_id", forecast.forecast_type_of(F.lit(forecast.source_query_text(view))).alias("forecast_type"))
+            "unique_id", forecast.forecast_type_of(F.lit(f"public.forecast_prep__{view}")).alias("forecast_type"))
 
     return typed(m.forecast_prep_species, "monthly_species_summary").unionByName(
         typed(m.forecast_prep_species_location, "monthly_species_summary_by_location"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 
 from fieldnotes.functions.keys import SURROGATE_NULL_TOKEN
+from fieldnotes.operators.forecast import step_sql
 from fieldnotes.params import FIXTURE_PARAMS, Params
 
 P: Params = FIXTURE_PARAMS
@@ -337,7 +338,7 @@ SELECT unique_id, max(ds) AS last_ds, sqrt(avg(e * e)) AS s FROM (
 ) t GROUP BY 1""", f"{prefix}_series")
     cte(f"{prefix}_steps", f"""
 SELECT unique_id, last_ds, s, CAST(generate_series AS INTEGER) AS h,
-  CAST(last_ds + to_months(CAST(generate_series AS INTEGER) - {P.season}) AS TIMESTAMP) AS src_ds,
+  CAST(last_ds + to_months(CAST((generate_series - 1) % {P.season} + 1 - {P.season} AS INTEGER)) AS TIMESTAMP) AS src_ds,
   CAST(last_day(last_ds + to_months(CAST(generate_series AS INTEGER))) AS TIMESTAMP) AS ds
 FROM {prefix}_stats, generate_series(1, {P.h})""", f"{prefix}_stats")
     cte(prefix, f"""
@@ -349,7 +350,43 @@ FROM {prefix}_steps st LEFT JOIN {prefix}_series se ON se.unique_id = st.unique_
         f"{prefix}_steps", f"{prefix}_series")
 
 
+def lsq_ctes(prefix: str, prep: str) -> None:
+    """Least squares of the seasonal change on the one a month before, from whole-number sums."""
+    cte(f"{prefix}_diffs", f"""
+SELECT *, LAG(z) OVER (PARTITION BY unique_id ORDER BY ds) AS x FROM (
+  SELECT CAST(unique_id AS VARCHAR) AS unique_id, ds, CAST(y AS BIGINT) AS y,
+    CAST(y - LAG(y, {P.season}) OVER (PARTITION BY unique_id ORDER BY ds) AS BIGINT) AS z
+  FROM {prep} WHERE ds < {ts(AS_OF_MONTH)}) t""", prep)
+    cte(f"{prefix}_sums", f"""
+SELECT unique_id, max(ds) AS last_ds, arg_max(z, ds) AS last_z,
+  sum(1) FILTER (WHERE x IS NOT NULL AND z IS NOT NULL) AS n, sum(x) FILTER (WHERE z IS NOT NULL) AS sx, sum(z) FILTER (WHERE x IS NOT NULL) AS sz,
+  sum(x * x) FILTER (WHERE z IS NOT NULL) AS sxx, sum(x * z) AS sxz, sum(z * z) FILTER (WHERE x IS NOT NULL) AS szz
+FROM {prefix}_diffs GROUP BY 1""", f"{prefix}_diffs")
+    cte(f"{prefix}_line", f"""
+SELECT *, CAST(last_z AS DOUBLE) AS e, (CAST(sz AS DOUBLE) - b * CAST(sx AS DOUBLE)) / CAST(n AS DOUBLE) AS a FROM (
+  SELECT *, CAST(n * sxz - sx * sz AS DOUBLE) / CAST(nullif(n * sxx - sx * sx, 0) AS DOUBLE) AS b FROM {prefix}_sums) t""", f"{prefix}_sums")
+    cte(f"{prefix}_fit", f"""
+SELECT *, CASE WHEN b IS NOT NULL THEN
+  greatest(CAST(0 AS DOUBLE), CAST(szz AS DOUBLE) - a * CAST(sz AS DOUBLE) - b * CAST(sxz AS DOUBLE)) / CAST(n AS DOUBLE) END AS s2
+FROM {prefix}_line""", f"{prefix}_line")
+    steps = []
+    for k in range(1, P.h + 1):
+        change, spread = step_sql(k, P.season)
+        back = (k - 1) % P.season + 1 - P.season
+        steps.append(f"SELECT unique_id, CAST(last_ds + to_months({back}) AS TIMESTAMP) AS src_ds, "
+                     f"CAST(last_day(last_ds + to_months({k})) AS TIMESTAMP) AS ds, {change} AS change, sqrt({spread}) AS spread FROM {prefix}_fit")
+    cte(f"{prefix}_steps", "\nUNION ALL\n".join(steps), f"{prefix}_fit")
+    cte(prefix, f"""
+SELECT st.unique_id, st.ds, CAST(se.y AS DOUBLE) + st.change AS y_hat,
+  CAST(se.y AS DOUBLE) + st.change - {Z90} * st.spread AS y_hat_lo,
+  CAST(se.y AS DOUBLE) + st.change + {Z90} * st.spread AS y_hat_hi
+FROM {prefix}_steps st LEFT JOIN {prefix}_diffs se ON se.unique_id = st.unique_id AND se.ds = st.src_ds""",
+        f"{prefix}_steps", f"{prefix}_diffs")
+
+
 naive_ctes("naive_species", "forecast_prep_species")
+lsq_ctes("lsq_species", "forecast_prep_species")
+lsq_ctes("lsq_location", "forecast_prep_species_location")
 naive_ctes("naive_location", "forecast_prep_species_location")
 
 
@@ -368,7 +405,9 @@ def sql(final: str, *names: str) -> str:
         visit(n)
     if not order:
         return final
-    body = ",\n".join(f"{n} AS ({CTES[n][0]}\n)" for n in order)
+    uses = [dep for n in order for dep in CTES[n][1]]
+    shared = {n: " MATERIALIZED" if uses.count(n) > 1 else "" for n in order}
+    body = ",\n".join(f"{n} AS{shared[n]} ({CTES[n][0]}\n)" for n in order)
     return f"WITH {body}\n{final}"
 
 

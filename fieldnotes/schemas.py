@@ -40,6 +40,7 @@ API_RESULT = T.StructType(
         T.StructField("place_ids", T.ArrayType(T.IntegerType())),
         T.StructField("updated_at", T.StringType()),
         T.StructField("out_of_range", T.BooleanType()),
+        T.StructField("captive", T.BooleanType()),
         T.StructField("identifications_most_disagree", T.BooleanType()),
         T.StructField("observed_on_details", OBSERVED_ON_DETAILS),
         T.StructField("taxon", TAXON),
@@ -112,15 +113,6 @@ FORECAST = T.StructType(
     ]
 )
 
-SERIES = T.StructType(
-    [
-        T.StructField("unique_id", T.StringType()),
-        T.StructField("ds", T.TimestampNTZType()),
-        T.StructField("y", T.IntegerType()),
-    ]
-)
-
-
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select and cast ``df`` to exactly the fields of ``schema``, in order."""
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -19,11 +20,15 @@ SESSION_CONF = {
 }
 
 
-def build_session(master: str = "local[8]", app: str = "fieldnotes",
-                  shuffle_partitions: int = 8, **extra: str) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app)
+def build_session(master: str | None = None, app: str = "fieldnotes", shuffle_partitions: int | None = None,
+                  **extra: str) -> SparkSession:
+    """A session with the settings above. Master, shuffle width and everything else are the submitter's, unless given here."""
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
     conf = dict(SESSION_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra)
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -37,11 +42,10 @@ def cluster_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20)
 
     Scan splits and the AQE target are ``partition_bytes`` so a task's input
     fits in executor memory. The initial shuffle width follows the input size
-    (at least two tasks per core, at most twenty, so map-output metadata stays
-    bounded); AQE then merges small partitions toward the target and splits
-    skewed join partitions.
+    (at least two tasks per core); AQE then merges small partitions toward the
+    target and splits skewed join partitions.
     """
-    width = max(2 * cores, min(input_bytes // partition_bytes, 20 * cores))
+    width = max(2 * cores, input_bytes // partition_bytes)
     return {
         "spark.sql.shuffle.partitions": str(width),
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
@@ -53,21 +57,17 @@ def cluster_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster-wide folder for checkpoints and written tables.
+    """The cluster-wide folder for checkpoints and written tables, from ``spark.checkpoint.dir``.
 
-    Read from ``spark.checkpoint.dir``; only when the session has none (local
-    tests) is a private folder created and registered.
+    Only a local session, whose executors are this process, may do without:
+    it gets a private folder. Anywhere else a missing setting is an error.
     """
-    try:
-        current = spark.sparkContext.getCheckpointDir()
-    except Exception:  # noqa: BLE001 - no SparkContext on the client (Spark Connect)
-        current = None
-    if not current:
-        current = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = tempfile.mkdtemp(prefix="fieldnotes-")
-        spark.sparkContext.setCheckpointDir(current)
-        current = spark.sparkContext.getCheckpointDir() or current
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fieldnotes-"))
+        current = spark.sparkContext.getCheckpointDir()
     return current.rstrip("/")
 
 
@@ -76,9 +76,4 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local file-system helpers."""
-    return path[5:] if path.startswith("file:") else path
-
-
-__all__ = ["build_session", "cluster_conf", "shared_dir", "scratch_path", "local_path", "SESSION_CONF"]
+__all__ = ["build_session", "cluster_conf", "shared_dir", "scratch_path", "SESSION_CONF"]

@@ -39,6 +39,7 @@ def pages_from_observations(raw: DataFrame, place_id: int, per_page: int = PER_P
         _iso("updated_at").alias("updated_at"),
         "out_of_range",
         "identifications_most_disagree",
+        F.lit(False).alias("captive"),
         F.struct(
             F.date_format("observed_date", "yyyy-MM-dd").alias("date"),
             F.col("observed_month").cast("int").alias("month"),
@@ -102,6 +103,11 @@ def explode_results(pages: DataFrame) -> DataFrame:
     return pages.select("place_id", F.explode("results").alias("r"))
 
 
+def wild(results: DataFrame, captive: bool = False) -> DataFrame:
+    """Exploded results without those that say the opposite of ``captive``; results that do not say stay."""
+    return results.where(F.coalesce(F.col("r.captive"), F.lit(captive)) == F.lit(captive))
+
+
 OFFSET_SUFFIX = r"(Z|[+-][0-9]{2}:?[0-9]{2})$"
 
 
@@ -158,16 +164,21 @@ def flatten_results(results: DataFrame, loaded_on: dt.date) -> DataFrame:
 
 
 def source_filter(raw: DataFrame, place_id: int | None = None, updated_since: F.Column | dt.date | None = None,
-                  taxon_ids: tuple[int, ...] | None = None) -> DataFrame:
+                  taxon_ids: tuple[int, ...] | None = None, captive: bool | None = None,
+                  place_ids: tuple[int, ...] | None = None) -> DataFrame:
     """The API's request predicates applied to landed rows.
 
-    ``place_id`` matches any entry of ``place_ids``; ``updated_since`` keeps
-    rows updated on or after that day. (The captive flag is not part of the
-    landed data.)
+    ``place_id`` matches any entry of ``place_ids`` (``place_ids``: any of several);
+    ``updated_since`` keeps rows updated on or after that day; ``captive`` drops rows
+    that say the opposite, and keeps those that do not say.
     """
     out = raw
+    if captive is not None and "captive" in raw.columns:
+        out = out.where(F.coalesce(F.col("captive"), F.lit(captive)) == F.lit(captive))
     if place_id is not None:
         out = out.where(F.array_contains(parse_int_array("place_ids"), F.lit(place_id)))
+    if place_ids:
+        out = out.where(F.arrays_overlap(parse_int_array("place_ids"), F.array(*[F.lit(p) for p in place_ids])))
     if updated_since is not None:
         since = updated_since if isinstance(updated_since, F.Column) else F.lit(updated_since)
         out = out.where(F.col("updated_at") >= since.cast("timestamp_ntz"))

@@ -27,23 +27,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that has fewer splits than the cluster has cores.
-
-    A Parquet file with one row group is one task; everything narrow behind
-    it would run on one core. Round-robin is immune to hot keys and to blocks
-    of identical rows, is deterministic on retry (Spark sorts each partition
-    first), and lets filters above it reach the scan. A many-file input
-    already has enough splits and is returned unchanged (no shuffle).
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD API (e.g. a Spark Connect session): leave the scan as is
-        return df
-    return df if splits >= cores else df.repartition(cores)
-
-
 # Fixed values of the mapping: ranks by brand number modulo 5, the common-name
 # prefix, the URL prefix and the coordinate recipe.
 RANK_BY_BRAND_MOD5 = {0: "genus", 1: "subspecies"}  # every other remainder: "species"
@@ -53,30 +36,15 @@ LAT_BASE, LAT_STEP = "42", "0.137"
 LON_BASE, LON_STEP = "-117", "0.291"
 
 
-_RAW_PLANS: dict[tuple[int, str, Params], DataFrame] = {}
-
-
 def raw_observations(spark: SparkSession, sf_dir: str, params: Params) -> DataFrame:
-    """Raw observation log (schema ``RAW_OBSERVATION``) built from the tables.
-
-    The test tables are read-only, so the (lazy) DataFrame is built once per
-    session, folder and parameters; every action still re-runs the plan.
-    """
-    key = (id(spark), sf_dir, params)
-    if key not in _RAW_PLANS:
-        _RAW_PLANS[key] = _raw_observations(spark, sf_dir, params)
-    return _RAW_PLANS[key]
-
-
-def _raw_observations(spark: SparkSession, sf_dir: str, params: Params) -> DataFrame:
-    li = spread(table(spark, sf_dir, "lineitem").select(
+    """Raw observation log (schema ``RAW_OBSERVATION``) built from the tables."""
+    li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_returnflag", "l_linestatus", "l_shipdate",
-    ))
+    )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_name")
-    # nation is a fixed 25-row code table: a broadcast whose size cannot grow.
-    nation = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"))
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     supplier = (
         table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))

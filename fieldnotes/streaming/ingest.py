@@ -1,12 +1,11 @@
 """Incremental ingest as Structured Streaming jobs over landed API pages.
 
 * ``ingest_available_now``: every landed page not seen before, run to
-  completion (``trigger(availableNow=True)``); each micro-batch is merged
-  into the observation log with a key anti-join inside ``foreachBatch``, so a
-  replayed batch after a failure appends nothing twice.
-* ``dedupe_stream``: the same stream deduplicated across micro-batches with
-  ``dropDuplicatesWithinWatermark`` on the row id, state bounded by the
-  event-time watermark on ``updated_at``.
+  completion (``trigger(availableNow=True)``); each micro-batch appends the
+  copies that the log does not hold yet, inside ``foreachBatch``, so a batch
+  replayed after a failure appends nothing twice.
+* ``read_log`` gives one copy per row id, the smallest. Which micro-batch
+  brought a copy first does not matter, and no id is ever dropped for its age.
 """
 
 from __future__ import annotations
@@ -16,7 +15,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldnotes.operators.incremental import new_rows, read_or_empty, table_exists
+from fieldnotes.operators.incremental import DAY, dedupe_by_key, table_exists, with_day, with_day_schema
 from fieldnotes.schemas import RAW_API, RAW_OBSERVATION
 from fieldnotes.sources.api_pages import explode_results, flatten_results
 
@@ -35,11 +34,19 @@ def observation_stream(spark: SparkSession, landing: str, loaded_on: dt.date,
 
 
 def merge_batch(target: str):
-    """``foreachBatch`` body: append the batch rows whose id is not stored."""
+    """``foreachBatch`` body: append the copies (whole rows) of the batch that are not stored.
+
+    The log is partitioned by the day of ``updated_at``, which is part of the
+    row id, so the join on the day reads the batch's days only.
+    """
     def run(batch: DataFrame, epoch_id: int) -> None:  # noqa: ARG001 - epoch kept for the signature
         spark = batch.sparkSession
-        stored = read_or_empty(spark, target, RAW_OBSERVATION) if table_exists(spark, target) else None
-        new_rows(batch, stored).write.mode("append").parquet(target)
+        rows = with_day(batch.distinct()).withColumn("_copy", F.xxhash64(*RAW_OBSERVATION.names))
+        if table_exists(spark, target):
+            stored = with_day(spark.read.schema(with_day_schema(RAW_OBSERVATION)).parquet(target))
+            stored = stored.select(DAY, "id", F.xxhash64(*RAW_OBSERVATION.names).alias("_copy"))
+            rows = rows.join(stored, [DAY, "id", "_copy"], "left_anti")
+        rows.drop("_copy").write.mode("append").partitionBy(DAY).parquet(target)
     return run
 
 
@@ -56,34 +63,15 @@ def ingest_available_now(spark: SparkSession, landing: str, target: str, checkpo
 
 
 def dedupe_stream(spark: SparkSession, landing: str, target: str, checkpoint: str, loaded_on: dt.date,
-                  delay: str = "30 days", max_files_per_trigger: int | None = 1) -> None:
-    """Drop repeated row ids across micro-batches.
-
-    State per id lives until the watermark (latest ``updated_at`` seen minus
-    ``delay``) passes it, so state is bounded by the delay, not the stream.
-    Rows older than the watermark are late and dropped, so the delay must
-    cover how far back re-delivered versions can be.
-    """
-    # watermarks need a zoned timestamp; updated_at is UTC wall clock (NTZ)
-    deduped = (
-        observation_stream(spark, landing, loaded_on, max_files_per_trigger)
-        .withColumn("_event_time", F.col("updated_at").cast("timestamp"))
-        .withWatermark("_event_time", delay)
-        .dropDuplicatesWithinWatermark(["id"])
-        .drop("_event_time")
-    )
-    query = (
-        deduped.writeStream.format("parquet").outputMode("append")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+                  max_files_per_trigger: int | None = None) -> DataFrame:
+    """Land the stream in the log at ``target`` and return it with one copy per row id, whatever the age of the rows."""
+    ingest_available_now(spark, landing, target, checkpoint, loaded_on, max_files_per_trigger)
+    return read_log(spark, target)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RAW_OBSERVATION).parquet(path)
+    """The smallest copy of every row id in the log."""
+    return dedupe_by_key(spark.read.schema(with_day_schema(RAW_OBSERVATION)).parquet(path).select(*RAW_OBSERVATION.names))
 
 
 __all__ = ["ingest_available_now", "dedupe_stream", "observation_stream", "read_log"]

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from fieldnotes.operators import forecast
@@ -35,30 +36,62 @@ def test_future_dates_are_month_ends(spark):
     assert got == [dt.datetime(2001, 2, 28), dt.datetime(2001, 3, 31)]
 
 
-def test_grouped_forecast_shape_and_interval_order(spark):
-    a = _series(spark, [5 + (i % 12) + i // 6 for i in range(40)], uid="a")
-    b = _series(spark, [3, 4, 2, 5, 4, 3, 6, 2], uid="b")
-    out = forecast.grouped_forecast(a.unionByName(b), P).collect()
-    assert sorted({r.unique_id for r in out}) == ["a", "b"]
-    assert len(out) == 2 * P.h
-    for r in out:
-        assert r.y_hat_lo <= r.y_hat <= r.y_hat_hi
-        assert (r.ds + dt.timedelta(days=1)).day == 1  # month end
-
-
-def test_fit_predict_tracks_a_linear_trend():
-    pdf = pd.DataFrame({"unique_id": "x", "ds": pd.date_range("1999-01-01", periods=30, freq="MS"),
-                        "y": [2 * i + 1 for i in range(30)]})
-    out = forecast.fit_predict(pdf, 12, 4, 90)
-    assert [round(v, 6) for v in out["y_hat"]] == [61.0, 63.0, 65.0, 67.0]
+def test_grouped_forecast_by_hand(spark):
+    """Least squares of the seasonal change on the one before it, against the closed form on the same numbers."""
+    vals = [5 + (i % 12) + (i * i) % 7 + i // 6 for i in range(40)]
+    short = [3, 4, 2, 5, 4, 3, 6, 2]  # no season to compare with
+    flat = [1 + i % 12 for i in range(40)]  # no change at all: the sums give no line
+    s = _series(spark, vals, "a").unionByName(_series(spark, short, "b")).unionByName(_series(spark, flat, "c"))
+    for h in (4, 15):
+        p = Params(as_of=P.as_of, h=h)
+        out = {}
+        for r in forecast.grouped_forecast(s, p).orderBy("ds").collect():
+            out.setdefault(r.unique_id, []).append(r)
+        assert {k: len(v) for k, v in out.items()} == {"a": h, "b": h, "c": h}
+        assert all(r.y_hat is None and r.y_hat_lo is None for k in "bc" for r in out[k])
+        z = [vals[i] - vals[i - 12] for i in range(12, 40)]
+        x, t = z[:-1], z[1:]
+        n, mx, mt = len(x), sum(x) / len(x), sum(t) / len(t)
+        slope = sum((i - mx) * (j - mt) for i, j in zip(x, t)) / sum((i - mx) ** 2 for i in x)
+        cut = mt - slope * mx
+        s2 = sum((j - cut - slope * i) ** 2 for i, j in zip(x, t)) / n
+        level, change, grown, spread = list(vals), z[-1], 0.0, []
+        for k in range(h):
+            change = cut + slope * change
+            level.append(level[-12] + change)
+            grown = 1 + slope * slope * grown
+            spread.append(grown + (spread[k - 12] if k >= 12 else 0))
+        for r, y, v in zip(out["a"], level[40:], spread):
+            assert abs(r.y_hat - y) < 1e-9 and abs(r.y_hat_hi - y - forecast.Z90 * (s2 * v) ** 0.5) < 1e-9
+            assert abs(r.y_hat - r.y_hat_lo - (r.y_hat_hi - r.y_hat)) < 1e-9
+            assert (r.ds + dt.timedelta(days=1)).day == 1  # month end
+
+
+def test_seasonal_naive_repeats_the_season(spark):
+    out = forecast.seasonal_naive(_series(spark, [10 + i % 12 for i in range(36)]), Params(as_of=P.as_of, h=15)).orderBy("ds").collect()
+    assert [r.y_hat for r in out] == [float(10 + i % 12) for i in range(15)]
 
 
 def test_forecast_type_is_cut_from_the_query_text(spark):
-    text = forecast.source_query_text("monthly_species_summary_by_location")
+    text = "SELECT 1\nFROM public.forecast_prep__monthly_species_summary_by_location"
     df = spark.createDataFrame([(text,)], "q string")
     assert df.select(forecast.forecast_type_of(F.col("q")).alias("t")).first().t == "monthly_species_summary_by_location"
 
 
+def test_stamp_takes_the_level_of_its_names(spark):
+    core = forecast.seasonal_naive(_series(spark, list(range(30))), P)
+    with pytest.raises(ValueError):
+        forecast.stamp(core, "x", P.as_of, level=80)
+
+
+def test_thresholds_are_strict(spark):
+    """Series with totals 10, 11, 20 and 21: more than the threshold, not as much."""
+    rows = [(u, dt.datetime(2001, m, 1), n) for u, total in ((1, 10), (2, 11), (3, 20), (4, 21)) for m, n in ((1, total - 4), (2, 4))]
+    panel = spark.createDataFrame(rows, "taxon_id int, date_month_observed timestamp_ntz, num_observations int")
+    left = lambda n: {r.unique_id for r in forecast.prep(panel, "taxon_id", n, P).collect()}
+    assert left(P.min_total_species) == {2, 3, 4} and left(P.min_total_species_location) == {4}
+
+
 def test_stamp_conforms_to_stored_schema(spark):
     core = forecast.seasonal_naive(_series(spark, list(range(30))), P)
     out = forecast.stamp(core, "monthly_species_summary", P.as_of)

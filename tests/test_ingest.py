@@ -118,14 +118,54 @@ def test_available_now_stream_merges_without_duplicates(spark, raw_df):
     assert streaming.read_log(spark, target).count() == 30
 
 
-def test_dedupe_stream_drops_repeats_across_batches(spark, raw_df):
+def test_dedupe_stream_keeps_every_id_whatever_its_age(spark, raw_df):
+    """Eight files with mixed dates, each id in several copies that differ: every id stays, with its smallest copy,
+    and the batch size changes nothing."""
     base = tempfile.mkdtemp(prefix="dedupe-")
-    landing, target = os.path.join(base, "landing"), os.path.join(base, "out")
-    raw = raw_df([raw_row(inaturalist_id=i) for i in range(1, 11)])
-    api_pages.land_pages(api_pages.pages_from_observations(raw, 1), landing)
-    api_pages.land_pages(api_pages.pages_from_observations(raw, 1), landing)
-    streaming.dedupe_stream(spark, landing, target, os.path.join(base, "ckpt"), AS_OF)
-    assert streaming.read_log(spark, target).count() == 10
+    landing = os.path.join(base, "landing")
+    stamp = [ts(f"{y}-05-01 08:00:00") for y in (2001, 1996, 1999, 2000, 1995, 1998, 2001, 1997)]
+    for f in range(8):
+        rows = [raw_row(inaturalist_id=i, updated_at=stamp[i % 8], species_guess="cab"[(f + i) % 3]) for i in range(f, f + 24)]
+        api_pages.land_pages(api_pages.pages_from_observations(raw_df(rows).coalesce(1), 1), landing)
+    got = []
+    for n, size in enumerate((1, 3, None)):
+        out = streaming.dedupe_stream(spark, landing, os.path.join(base, f"out{n}"), os.path.join(base, f"ckpt{n}"), AS_OF, size)
+        got.append(sorted((r.inaturalist_id, r.species_guess, r.id) for r in out.collect()))
+    assert got[0] == got[1] == got[2] and [g[0] for g in got[0]] == list(range(31))
+    files = {i: {"cab"[(f + i) % 3] for f in range(8) if f <= i < f + 24} for i in range(31)}
+    assert all(guess == min(files[i]) for i, guess, _ in got[0])
+
+
+def test_captive_results_are_left_out(spark):
+    folder = tempfile.mkdtemp(prefix="pages-")
+    _write_pages(folder, [{"place_id": 1, "results": [_result(1) | {"captive": True}, _result(2) | {"captive": False},
+                                                       _result(3), _result(4, details="missing", taxon=False) | {"captive": None}]}])
+    results = api_pages.wild(api_pages.explode_results(api_pages.read_pages(spark, folder)))
+    assert sorted(r.inaturalist_id for r in api_pages.flatten_results(results, AS_OF).collect()) == [2, 3, 4]
+
+
+def test_job_asks_for_taxa_and_places(spark, raw_df):
+    from fieldnotes.params import Params
+    from fieldnotes.plans import jobs
+
+    base = tempfile.mkdtemp(prefix="ask-")
+    raw = raw_df([raw_row(inaturalist_id=1, taxon_id=10), raw_row(inaturalist_id=2, taxon_id=20), raw_row(inaturalist_id=3, taxon_id=10, place_ids="{9}")])
+    for place in (1, 9):
+        api_pages.land_pages(api_pages.pages_from_observations(raw, place), f"{base}/landing")
+    assert jobs.ingest(spark, f"{base}/landing", Params(as_of=AS_OF, taxon_ids=(10,)), f"{base}/wh") == 1
+    assert jobs.ingest(spark, f"{base}/landing", Params(as_of=AS_OF, places=()), f"{base}/wh2") == 3
+
+
+def test_new_rows_read_the_days_of_the_batch_only(spark, raw_df):
+    path = os.path.join(tempfile.mkdtemp(prefix="days-"), "observations")
+    old = raw_df([raw_row(inaturalist_id=i, updated_at=ts(f"2001-05-0{1 + i % 5} 08:00:00")) for i in range(10)])
+    incremental.load_increment(spark, old, path, RAW_OBSERVATION)
+    stored = spark.read.schema(incremental.with_day_schema(RAW_OBSERVATION)).parquet(path)
+    batch = raw_df([raw_row(inaturalist_id=1, updated_at=ts("2001-05-02 08:00:00")), raw_row(inaturalist_id=99)])
+    fresh = incremental.new_rows(batch, stored)
+    assert [r.inaturalist_id for r in fresh.collect()] == [99]
+    assert os.path.isdir(f"{path}/updated_on=2001-05-02")
+    assert incremental.high_water_mark(stored, incremental.DAY).first().high_water_mark == "2001-05-05"
 
 
 def test_pull_reads_only_landings_since_the_high_water_mark(spark, raw_df):
@@ -137,7 +177,7 @@ def test_pull_reads_only_landings_since_the_high_water_mark(spark, raw_df):
     old = raw_df([raw_row(inaturalist_id=i, updated_at=ts("2001-05-01 08:00:00")) for i in range(1, 6)])
     new = raw_df([raw_row(inaturalist_id=i, updated_at=ts("2001-06-02 09:00:00")) for i in range(4, 9)])
     api_pages.land_pages(api_pages.pages_from_observations(old, 1), landing, load_date=dt.date(2001, 5, 1))
-    p = Params(as_of=dt.date(2001, 6, 3))
+    p = Params(as_of=dt.date(2001, 6, 3), epoch=dt.date(1995, 1, 1))
     assert jobs.ingest(spark, landing, p, warehouse) == 5
     api_pages.land_pages(api_pages.pages_from_observations(new, 1), landing, load_date=dt.date(2001, 6, 2))
     pruned = api_pages.read_pages(spark, landing, since=dt.date(2001, 5, 2))
