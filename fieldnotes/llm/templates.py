@@ -53,47 +53,70 @@ PARTS = re.compile(r"[$€£]?[0-9]+(?:[.,:/][0-9]+)*%?|[^\W\d_]+(?:['’-][^\W\
 LINE_END = b"\x01"  # stands for a line feed, which ends a sentence
 SLOT_CODES = np.array([0, *(xxhash.xxh3_64_intdigest(x) for x in (b"number", b"unit", b"name"))], np.uint64)
 END_MARKS = (".", "!", "?")
-CACHED = 200_000  # words whose tokens are remembered
+CLOSING = "\"')]»”’"
+CACHED = 400_000  # words whose tokens are remembered
+WORDS_KNOWN = 1 << 18  # words of a benchmark up to which they are told to the tasks, which then skip all others
+
+
+def kind_of(part: str) -> int:
+    """Kind of a number or a run of letters."""
+    if not part[0].isalpha():
+        return NUMBER
+    if part.lower() in UNITS:
+        return UNIT
+    return NAME if part[0].isupper() and part[1:].islower() else LITERAL
+
+
+def hashed(part: str) -> int:
+    return xxhash.xxh3_64_intdigest(part.lower())
 
 
 def word_tokens(word: str) -> list[tuple[int, int]]:
     """(kind, hash of the value) of the tokens in a word; names are still to be told from sentence starts."""
-    out = []
-    for part in PARTS.findall(word):
-        if part[0].isdigit() or part[0] in "$€£":
-            kind = NUMBER
-        elif part.lower() in UNITS:
-            kind = UNIT
-        elif part[0].isupper() and part[1:].islower():
-            kind = NAME
-        else:
-            kind = LITERAL
-        out.append((kind, xxhash.xxh3_64_intdigest(part.lower().encode())))
-    return out
+    core = word.rstrip(".,;:!?")
+    if core.isalpha():  # one run of letters, as most words are
+        return [(kind_of(core), hashed(core))]
+    return [(kind_of(part), hashed(part)) for part in PARTS.findall(word)]
+
+
+def is_plain(core: bytes) -> bool:
+    """One run of lower-case letters."""
+    if core.isascii():
+        return core.isalpha() and core.islower()
+    text = core.decode()
+    return text.isalpha() and text.islower()
 
 
 class Tokens(dict):
     """Template tokens of texts. Maps a word to its number; a new word is taken apart, recent ones are remembered."""
 
-    def __init__(self) -> None:
+    def __init__(self, known: frozenset[bytes] | None = None) -> None:
+        """``known``: the only lower-case words whose identity matters; all others are one literal that matches nothing."""
         super().__init__()
+        self.known = known
         self.empty()
 
     def empty(self) -> None:
         self.clear()
-        self.kinds: list[int] = []
-        self.values: list[int] = []
-        self.starts: list[int] = [0]
-        self.ends: list[bool] = []
+        # numbers 0 and 1: an unknown word, and one that ends a sentence
+        self.kinds: list[int] = [LITERAL, LITERAL]
+        self.values: list[int] = [0, 0]
+        self.starts: list[int] = [0, 1, 2]
+        self.ends: list[bool] = [False, True]
 
     def __missing__(self, word: bytes) -> int:
-        i = self[word] = len(self)
+        if self.known is not None:
+            core = word.rstrip(b".,;:!?")
+            if core not in self.known and is_plain(core):
+                i = self[word] = int(word[-1:] in (b".", b"!", b"?"))
+                return i
+        i = self[word] = len(self.ends)
         text = word.decode()
         for kind, value in word_tokens(text) if word != LINE_END else ():
             self.kinds.append(kind)
             self.values.append(value)
         self.starts.append(len(self.kinds))
-        self.ends.append(word == LINE_END or text.rstrip("\"')]»”’")[-1:] in END_MARKS)
+        self.ends.append(word == LINE_END or text[-1] in END_MARKS or (text[-1] in CLOSING and text.rstrip(CLOSING)[-1:] in END_MARKS))
         return i
 
     def of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -189,12 +212,25 @@ def item_windows(items: DataFrame) -> DataFrame:
     return items.mapInArrow(run, schema)
 
 
-def text_windows(texts: DataFrame, keys: KeyFilter, widths: list[int]) -> DataFrame:
+def vocabulary(items: DataFrame) -> frozenset[bytes] | None:
+    """Lower-cased words of all items and units, or None if there are more than ``WORDS_KNOWN``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            found = {part.lower() for t in b.column("text").to_pylist() for part in PARTS.findall(t or "")}
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.string())], ["word"])
+
+    words = items.select("text").mapInArrow(run, "word string").distinct().limit(WORDS_KNOWN + 1).toArrow().column("word").to_pylist()
+    return frozenset(w.encode() for w in UNITS.union(words)) if len(words) <= WORDS_KNOWN else None
+
+
+def text_windows(texts: DataFrame, keys: KeyFilter, widths: list[int], known: frozenset[bytes] | None) -> DataFrame:
     """(k, w, at, slot_at, slot_value) of the windows of (k, text) that the benchmark may hold."""
-    shared = Shared(texts.sparkSession, keys)
+    shared = Shared(texts.sparkSession, (keys, known))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Tokens()
+        keys, known = shared.value
+        tokens = Tokens(known)
         for b in slices(batches):
             rows = []
             k = b.column("k").to_numpy()
@@ -202,7 +238,7 @@ def text_windows(texts: DataFrame, keys: KeyFilter, widths: list[int]) -> DataFr
             first = np.searchsorted(text, np.arange(len(k)))
             for width in widths:
                 start, hashes = window_hashes(text, kind, value, width)
-                hit = np.flatnonzero(shared.value.may_hold(hashes))
+                hit = np.flatnonzero(keys.may_hold(hashes))
                 rows += [(int(k[text[i]]), int(h), int(i - first[text[i]]), *slots(kind, value, i, width))
                          for i, h in zip(start[hit].tolist(), hashes[hit].view(np.int64).tolist())]
             if rows:
@@ -216,7 +252,7 @@ def matches(texts: DataFrame, items: DataFrame) -> DataFrame:
     """(k, item_id, coverage) of the texts (k, text) and the items (item_id, text) that contaminate them."""
     known = item_windows(items).select("*", F.xxhash64("item_id").alias("item")).withColumnsRenamed({"at": "item_at", "slot_value": "item_value"})
     widths = [r["width"] for r in known.select("width").distinct().collect()]  # at most WINDOW of them
-    found = text_windows(texts, key_filter(known.select("w").distinct()), sorted(widths))
+    found = text_windows(texts, key_filter(known.select("w").distinct()), sorted(widths), vocabulary(items))
     both = found.join(known.drop("slot_at"), "w").withColumn("diagonal", F.col("at") - F.col("item_at"))
     line = ["k", "item_id", "n_windows", "diagonal"]
     pair = F.explode_outer(F.arrays_zip("slot_at", "item_value", "slot_value")).alias("s")
