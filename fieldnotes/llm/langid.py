@@ -58,6 +58,11 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.concatenate([[True], x[1:] != x[:-1]])] if len(x) else x
+
+
 def grams(text: str | None) -> np.ndarray:
     """Distinct n-gram hashes of the lower-cased letters; every run of other characters is one blank, as are both ends."""
     found = []
@@ -77,8 +82,9 @@ def grams(text: str | None) -> np.ndarray:
         for n in range(2, max(SIZES) + 1):
             h = h[:-1] * np.uint64(0x9E3779B97F4A7C15) + c[n - 1 :]
             if n in SIZES:
-                found.append(np.unique(mixed(h + np.uint64(n))))
-    return np.unique(np.concatenate(found)) if found else np.empty(0, np.uint64)
+                found.append(mixed(h + np.uint64(n)))
+        found = [distinct(np.concatenate(found))]
+    return found[0] if found else np.empty(0, np.uint64)
 
 
 @dataclass
