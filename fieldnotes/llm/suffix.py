@@ -46,9 +46,9 @@ from fieldnotes.llm.util import KeyFilter, Shared, cut, key_filter, slices, tabl
 LENGTH = 200
 GRAM = 32
 PIECE = 4 << 20  # bytes of a text worked on at once
-SHARD = 4 << 20  # bytes of runs in a shard
+SHARD = 2 << 20  # bytes of runs in a shard
 END = 0xFF  # between runs: no byte of UTF-8
-LANE = 512  # suffixes a lane of Kasai's scan goes through
+LANE = 128  # suffixes a lane of Kasai's scan goes through
 
 
 def sliding(x: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
@@ -95,7 +95,7 @@ def suffix_array(b: np.ndarray) -> np.ndarray:
     sorted again, by the group of the suffix as far ahead as is known to agree, which doubles each time."""
     n, known = len(b), 8
     words = eight(b)
-    order = np.argsort(words, kind="stable")
+    order = np.argsort(words)
     new = np.concatenate([[True], words[order[1:]] != words[order[:-1]]])
     group = np.empty(n + 1, np.int64)
     group[n] = -1
@@ -108,7 +108,7 @@ def suffix_array(b: np.ndarray) -> np.ndarray:
         at = order[tied]
         ahead = group[np.minimum(at + known, n)]
         own = group[at]
-        again = np.lexsort((ahead, own))
+        again = np.argsort(own * (n + 1) + ahead + 1)
         at, own, ahead = at[again], own[again], ahead[again]
         order[tied] = at
         differs = np.concatenate([[True], (own[1:] != own[:-1]) | (ahead[1:] != ahead[:-1])])
