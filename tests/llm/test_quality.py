@@ -34,8 +34,8 @@ def test_bands(spark, docs_of):
     clean = [prose(rng, n, 3000) for n in (30, 300, 3000)]
     noise = rng.integers(33, 0x2000, 4000)
     opaque = "".join(map(chr, noise[(noise < 0xD800)]))
-    repetitive = " ".join(f"row {i} of the table is the same" for i in range(2000))  # no window twice
-    half = prose(rng, 1500, 3000) + " " + " ".join(f"row {i} of the table is the same" for i in range(600))
+    repetitive = " ".join(f"row alpha{i} column beta{i} value gamma{i}" for i in range(2000))  # no window twice
+    half = prose(rng, 1500, 3000) + " " + " ".join(f"row alpha{i} column beta{i} value gamma{i}" for i in range(600))
     rows = [*enumerate(clean), (10, " ".join(opaque[i : i + 60] for i in range(0, len(opaque), 60))), (11, repetitive), (12, half)]
     got = {r["doc_id"]: (r["base_failed"], r["kept"]) for r in quality.verdicts(docs_of(rows)).collect()}
     assert got == {0: (False, True), 1: (False, True), 2: (False, True), 10: (False, False), 11: (False, False), 12: (False, False)}
