@@ -9,7 +9,7 @@ from fieldnotes.params import Params
 
 from conftest import raw_row, ts
 
-P = Params(as_of=dt.date(2001, 10, 15), epoch=dt.date(1995, 1, 1), lookback_years=1)
+P = Params(as_of=dt.date(2001, 10, 15), epoch=dt.date(1995, 1, 1), lookback_years=1, dow_since=dt.date(2000, 1, 1))
 
 
 def test_staging_guess_flags_and_epoch_bound(spark, raw_df):
