@@ -126,6 +126,7 @@ def names_in(text: str) -> list[Mention]:
             break
     if not known:
         return []
+    known |= {w.upper(): kind for w, kind in known.items()}
     word = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, sorted(known, key=len, reverse=True))) + r")(?!\w)")
     return [(m.start(), m.end(), f"{known[m[0]]} {script_of(m[0])}", m[0].casefold()) for m in word.finditer(text)]
 

@@ -13,7 +13,7 @@ def replaced(spark, docs_of, rows):
 def test_types_and_formats(spark, docs_of):
     out = replaced(spark, docs_of, [(1, TEXT)])[1]
     text = out["text"]
-    assert out["n_entities"] == 14 and out["kinds"] == ["card", "email", "family", "given", "ip", "phone", "secret", "ssn"]
+    assert out["n_entities"] == 15 and out["kinds"] == ["card", "email", "family", "given", "ip", "phone", "secret", "ssn"]
     for known in ("John", "Smith", "SMITH", "john.smith@mail.example.com", "555-3824", "192.168.10.7", "4111 1111", "123-45-6789", "24be6443", "hunter2x", "Иванова"):
         assert known not in text
     phones = re.findall(r"\+1 \((\d{3})\) (\d{3}-\d{4})|(?<=called )(\d{3})-(\d{3}-\d{4})", text)
