@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldnotes.llm.util import KeyFilter, Shared, key_filter, slices, table
+from fieldnotes.llm.util import KeyFilter, Shared, cut, key_filter, slices, table
 
 WINDOW = 8
 LITERALS = 4
@@ -253,6 +253,7 @@ def matches(texts: DataFrame, items: DataFrame) -> DataFrame:
     known = item_windows(items).select("*", F.xxhash64("item_id").alias("item")).withColumnsRenamed({"at": "item_at", "slot_value": "item_value"})
     widths = [r["width"] for r in known.select("width").distinct().collect()]  # at most WINDOW of them
     found = text_windows(texts, key_filter(known.select("w").distinct()), sorted(widths), vocabulary(items))
+    found = cut(found, "template-windows")  # read twice below; the texts are scanned once
     both = found.join(known.drop("slot_at"), "w").withColumn("diagonal", F.col("at") - F.col("item_at"))
     line = ["k", "item_id", "n_windows", "diagonal"]
     pair = F.explode_outer(F.arrays_zip("slot_at", "item_value", "slot_value")).alias("s")
