@@ -108,7 +108,6 @@ def _merge(spark: SparkSession, new: DataFrame, path: str, keys: list[str]) -> N
             _write(new, path)
             return
     old = spark.read.parquet(path)
-    # a second reader must not see the merge half copied: the same rows, written once and moved into place by the copy
     _write(incremental.upsert(old, new.select(*old.columns), keys), nxt)
     _write(spark.read.parquet(nxt), path)
 

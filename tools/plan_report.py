@@ -60,7 +60,7 @@ def main() -> None:
     print("computed once and read twice) with automatic broadcasts off, so every join")
     print("that is not explicitly size-bounded shows as it would on inputs too big to broadcast. The")
     print("test-data mapping (line items joined with orders, parts, suppliers) accounts for 4 shuffles")
-    print("(3 sort-merge joins and the round-robin spread of the one-row-group scan) per pass over the facts.\n")
+    print("(sort-merge joins of line items with orders, parts and suppliers) per pass over the facts.\n")
     print("| query | shuffles | reused | range | broadcasts | SMJ | cartesian | expand | windows | pandas "
           "| range filters at the scan |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")
