@@ -27,18 +27,18 @@ def updated_since(rows: DataFrame, hwm: DataFrame, col: str = "updated_at") -> D
     return rows.where(since.isNull() | (F.col(col) >= since))
 
 
-#: Partition column of the log: the day of ``updated_at``, which the row id contains.
-DAY = "updated_on"
+#: Partition column of the log: the first day of the month of ``updated_at``, which the row id contains.
+MONTH = "updated_month"
 
 
-def with_day(rows: DataFrame) -> DataFrame:
-    """``rows`` with the day of their version; rows without one share the first day there is."""
-    day = F.coalesce(F.to_date("updated_at"), F.lit("0001-01-01").cast("date"))
-    return rows if DAY in rows.columns else rows.withColumn(DAY, day)
+def with_month(rows: DataFrame) -> DataFrame:
+    """``rows`` with the month of their version; rows without one share the first month there is."""
+    month = F.coalesce(F.trunc(F.to_date("updated_at"), "MM"), F.lit("0001-01-01").cast("date"))
+    return rows if MONTH in rows.columns else rows.withColumn(MONTH, month)
 
 
-def with_day_schema(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField(DAY, T.DateType())])
+def with_month_schema(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(MONTH, T.DateType())])
 
 
 def dedupe_by_key(df: DataFrame, key: str = "id") -> DataFrame:
@@ -63,16 +63,16 @@ def new_rows(batch: DataFrame, stored: DataFrame | None, key: str = "id") -> Dat
     The log only grows while a batch stays small, so the stored side is never
     a build side: first the stored keys that reappear in the batch are found
     with a semi-join whose build side is the batch's keys, then the batch is
-    anti-joined with that small set. If the stored side has the day of the row
-    version (``DAY``), it is joined as well, so only the batch's days are read.
+    anti-joined with that small set. If the stored side has the month of the row
+    version (``MONTH``), it is joined as well, so only the batch's months are read.
     """
     deduped = dedupe_by_key(batch, key)
     if stored is None:
         return deduped
     on = [key]
     keys = deduped.select(key)
-    if DAY in stored.columns:
-        on, keys = [DAY, key], with_day(deduped).select(DAY, key)
+    if MONTH in stored.columns:
+        on, keys = [MONTH, key], with_month(deduped).select(MONTH, key)
     known = stored.select(*on).join(keys, on, "left_semi").select(key).distinct()
     return deduped.join(known, key, "left_anti")
 
@@ -116,7 +116,7 @@ def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> N
 
 def load_increment(spark: SparkSession, batch: DataFrame, path: str, schema: T.StructType,
                    key: str = "id") -> int:
-    """Append the new rows of ``batch`` to the table at ``path``, partitioned by ``DAY``; return how many.
+    """Append the new rows of ``batch`` to the table at ``path``, partitioned by ``MONTH``; return how many.
 
     The batch is written to a staging folder first, so it is parsed once; the new rows are
     written as well before the append, because the anti-join reads the target.
@@ -124,10 +124,10 @@ def load_increment(spark: SparkSession, batch: DataFrame, path: str, schema: T.S
     staging = f"{path.rstrip('/')}_staging"
     batch.write.mode("overwrite").parquet(f"{staging}_batch")
     batch = spark.read.schema(schema).parquet(f"{staging}_batch")
-    stored = spark.read.schema(with_day_schema(schema)).parquet(path) if table_exists(spark, path) else None
+    stored = spark.read.schema(with_month_schema(schema)).parquet(path) if table_exists(spark, path) else None
     new_rows(batch, stored, key).write.mode("overwrite").parquet(staging)
     written = spark.read.schema(schema).parquet(staging)
     n = written.count()
     if n:
-        append(with_day(written), path, partition_by=[DAY])
+        append(with_month(written), path, partition_by=[MONTH])
     return n

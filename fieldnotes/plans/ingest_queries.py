@@ -128,7 +128,7 @@ def append_sink(spark, sf_dir):
     incremental.load_increment(spark, stored, path, RAW_OBSERVATION)
     incremental.load_increment(spark, fetched, path, RAW_OBSERVATION)
     incremental.load_increment(spark, fetched, path, RAW_OBSERVATION)
-    return spark.read.schema(incremental.with_day_schema(RAW_OBSERVATION)).parquet(path).select(*RAW_OBSERVATION.names)
+    return spark.read.schema(incremental.with_month_schema(RAW_OBSERVATION)).parquet(path).select(*RAW_OBSERVATION.names)
 
 
 def _land_all(spark, sf_dir) -> str:

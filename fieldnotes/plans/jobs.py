@@ -72,7 +72,9 @@ def ingest(spark: SparkSession, landing: str, params: Params, location: str | No
     log_path = f"{_root(spark, location)}/observations"
     since = None
     if incremental.table_exists(spark, log_path):
-        mark = incremental.high_water_mark(stored_log(spark, location), incremental.DAY).first()["high_water_mark"]
+        log = stored_log(spark, location)
+        last = log.agg(F.max(incremental.MONTH)).first()[0]  # then that month's folder only
+        mark = incremental.high_water_mark(log.where(F.col(incremental.MONTH) == F.lit(last))).first()["high_water_mark"]
         since = dt.date.fromisoformat(mark) if mark else None
     results = api_pages.wild(api_pages.explode_results(api_pages.read_pages(spark, landing, since)), params.captive)
     batch = api_pages.source_filter(api_pages.flatten_results(results, params.as_of), updated_since=since,
@@ -81,8 +83,8 @@ def ingest(spark: SparkSession, landing: str, params: Params, location: str | No
 
 
 def stored_log(spark: SparkSession, location: str | None = None) -> DataFrame:
-    """The log with its partition column, the day of the row version."""
-    return spark.read.schema(incremental.with_day_schema(RAW_OBSERVATION)).parquet(f"{_root(spark, location)}/observations")
+    """The log with its partition column, the month of the row version."""
+    return spark.read.schema(incremental.with_month_schema(RAW_OBSERVATION)).parquet(f"{_root(spark, location)}/observations")
 
 
 def _write(df: DataFrame, path: str) -> None:

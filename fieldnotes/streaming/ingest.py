@@ -15,7 +15,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldnotes.operators.incremental import DAY, dedupe_by_key, table_exists, with_day, with_day_schema
+from fieldnotes.operators.incremental import MONTH, dedupe_by_key, table_exists, with_month, with_month_schema
 from fieldnotes.schemas import RAW_API, RAW_OBSERVATION
 from fieldnotes.sources.api_pages import explode_results, flatten_results
 
@@ -36,17 +36,17 @@ def observation_stream(spark: SparkSession, landing: str, loaded_on: dt.date,
 def merge_batch(target: str):
     """``foreachBatch`` body: append the copies (whole rows) of the batch that are not stored.
 
-    The log is partitioned by the day of ``updated_at``, which is part of the
-    row id, so the join on the day reads the batch's days only.
+    The log is partitioned by the month of ``updated_at``, which is part of the
+    row id, so the join on the month reads the batch's months only.
     """
     def run(batch: DataFrame, epoch_id: int) -> None:  # noqa: ARG001 - epoch kept for the signature
         spark = batch.sparkSession
-        rows = with_day(batch.distinct()).withColumn("_copy", F.xxhash64(*RAW_OBSERVATION.names))
+        rows = with_month(batch.distinct()).withColumn("_copy", F.xxhash64(*RAW_OBSERVATION.names))
         if table_exists(spark, target):
-            stored = with_day(spark.read.schema(with_day_schema(RAW_OBSERVATION)).parquet(target))
-            stored = stored.select(DAY, "id", F.xxhash64(*RAW_OBSERVATION.names).alias("_copy"))
-            rows = rows.join(stored, [DAY, "id", "_copy"], "left_anti")
-        rows.drop("_copy").write.mode("append").partitionBy(DAY).parquet(target)
+            stored = with_month(spark.read.schema(with_month_schema(RAW_OBSERVATION)).parquet(target))
+            stored = stored.select(MONTH, "id", F.xxhash64(*RAW_OBSERVATION.names).alias("_copy"))
+            rows = rows.join(stored, [MONTH, "id", "_copy"], "left_anti")
+        rows.drop("_copy").write.mode("append").partitionBy(MONTH).parquet(target)
     return run
 
 
@@ -71,7 +71,7 @@ def dedupe_stream(spark: SparkSession, landing: str, target: str, checkpoint: st
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """The smallest copy of every row id in the log."""
-    return dedupe_by_key(spark.read.schema(with_day_schema(RAW_OBSERVATION)).parquet(path).select(*RAW_OBSERVATION.names))
+    return dedupe_by_key(spark.read.schema(with_month_schema(RAW_OBSERVATION)).parquet(path).select(*RAW_OBSERVATION.names))
 
 
 __all__ = ["ingest_available_now", "dedupe_stream", "observation_stream", "read_log"]

@@ -156,16 +156,16 @@ def test_job_asks_for_taxa_and_places(spark, raw_df):
     assert jobs.ingest(spark, f"{base}/landing", Params(as_of=AS_OF, places=()), f"{base}/wh2") == 3
 
 
-def test_new_rows_read_the_days_of_the_batch_only(spark, raw_df):
+def test_new_rows_join_on_the_month_too(spark, raw_df):
     path = os.path.join(tempfile.mkdtemp(prefix="days-"), "observations")
     old = raw_df([raw_row(inaturalist_id=i, updated_at=ts(f"2001-05-0{1 + i % 5} 08:00:00")) for i in range(10)])
     incremental.load_increment(spark, old, path, RAW_OBSERVATION)
-    stored = spark.read.schema(incremental.with_day_schema(RAW_OBSERVATION)).parquet(path)
+    stored = spark.read.schema(incremental.with_month_schema(RAW_OBSERVATION)).parquet(path)
     batch = raw_df([raw_row(inaturalist_id=1, updated_at=ts("2001-05-02 08:00:00")), raw_row(inaturalist_id=99)])
     fresh = incremental.new_rows(batch, stored)
     assert [r.inaturalist_id for r in fresh.collect()] == [99]
-    assert os.path.isdir(f"{path}/updated_on=2001-05-02")
-    assert incremental.high_water_mark(stored, incremental.DAY).first().high_water_mark == "2001-05-05"
+    assert os.path.isdir(f"{path}/updated_month=2001-05-01")
+    assert incremental.high_water_mark(stored).first().high_water_mark == "2001-05-05"
 
 
 def test_pull_reads_only_landings_since_the_high_water_mark(spark, raw_df):
