@@ -12,8 +12,9 @@ the bits in which their paths differ are added up, and a pair is dropped as
 soon as they exceed the budget. Spark deals out the walk by the trie's roots:
 of ``budget + 1`` bit blocks two linked fingerprints agree in at least one, so
 each fingerprint goes once per block to the root of that block's value. A root
-with more than ``most`` fingerprints is split the same way by its remaining
-bits (twice at most), which keeps every link. A task holds the roots it is
+with more than ``most`` fingerprints is split the same way (twice at most): the
+bits that it leaves free are cut into ``budget + 1`` new blocks, of which two
+linked fingerprints again agree in at least one, so every link is kept. A task holds the roots it is
 walking and a bounded frontier of node pairs, and returns a spanning forest of
 the links it found, never all pairs of a group. Linked fingerprints are then
 joined into components over the whole corpus.
@@ -139,27 +140,32 @@ def links_below(x: np.ndarray, bounds: np.ndarray, budget: int) -> tuple[np.ndar
     return child, top[child]
 
 
-def blocks(budget: int) -> list[tuple[int, int]]:
-    """budget + 1 bit blocks (shift, width) that cover the fingerprint."""
-    cuts = [BITS * i // (budget + 1) for i in range(budget + 2)]
-    return [(BITS - b, b - a) for a, b in zip(cuts, cuts[1:])]
+def masks(budget: int, levels: int) -> list[int]:
+    """Fixed bits of every node of the split tree. Node 0 fixes none; child j of node p is ``p * (budget + 1) + j + 1``.
+
+    A node's children cut the bits that it leaves free into budget + 1 blocks and fix one block each. Fingerprints that
+    agree in a node's bits and differ in at most ``budget`` others thus agree in all bits of one of its children.
+    """
+    out = [0]
+    for p in range(sum((budget + 1) ** i for i in range(levels))):
+        free = [b for b in range(BITS - 1, -1, -1) if not out[p] >> b & 1]
+        cuts = [len(free) * i // (budget + 1) for i in range(budget + 2)]
+        out += [out[p] | sum(1 << b for b in free[x:y]) for x, y in zip(cuts, cuts[1:])]
+    return out
 
 
 def trie_links(fps: DataFrame, budget: int, most: int = MOST) -> DataFrame:
     """Links (u, v) between distinct fingerprints ``fp``: a spanning forest of each root's."""
-    parts = blocks(budget)
-
-    def keyed(df: DataFrame, level: int) -> DataFrame:
-        """Roots one level down: the value of each block, behind the key so far."""
-        keys = [F.concat_ws("/", "key", F.lit(f"{i}:"), F.shiftrightunsigned("fp", s).bitwiseAND(F.lit((1 << w) - 1)).cast("string"))
-                for i, (s, w) in enumerate(parts)]
-        keys = F.array(*keys)
-        if level:  # a block already in the key says nothing new
-            keys = F.filter(keys, lambda k: F.size(F.array_distinct(F.regexp_extract_all(k, F.lit(r"(\d+):")))) > level)
-        return df.select("fp", F.explode(keys).alias("key"))
-
-    ready, rest = None, keyed(fps.withColumn("key", F.lit("")), 0)
-    for level in (1, 2):
+    fixed = F.array(*[F.lit(m - (1 << BITS) if m >> (BITS - 1) else m) for m in masks(budget, 3)])
+
+    def keyed(df: DataFrame) -> DataFrame:
+        """Roots one level down: the node and its fixed bits."""
+        nodes = F.explode(F.array(*[F.col("node") * (budget + 1) + (j + 1) for j in range(budget + 1)]))
+        nodes = df.select("fp", nodes.alias("node"))
+        return nodes.select("fp", "node", F.concat_ws(":", "node", F.col("fp").bitwiseAND(F.get(fixed, F.col("node")))).alias("key"))
+
+    ready, rest = None, keyed(fps.withColumn("node", F.lit(0)))
+    for _ in range(2):
         rest = cut(rest, "trie-roots")
         sizes = rest.groupBy("key").count()
         big = sizes.where(F.col("count") > most).select("key")
@@ -168,7 +174,7 @@ def trie_links(fps: DataFrame, budget: int, most: int = MOST) -> DataFrame:
         rest = rest.join(big, "key", "left_semi")
         if rest.isEmpty():
             break
-        rest = keyed(rest, level)
+        rest = keyed(rest)
     else:
         ready = ready.unionByName(rest)
 

@@ -65,6 +65,23 @@ def test_trie_against_all_pairs(spark):
         assert all((a ^ b).bit_count() <= 4 * len(x) for a, b in links)
 
 
+def test_split_roots_keep_isolated_links(spark):
+    """Pairs that agree in one block only and differ by one bit in each other one, in roots that are split once and twice."""
+    rng = np.random.default_rng(9)
+    pairs = []
+    for free in (51, 38):  # the leading 13 or 26 bits, which hold the first one or two blocks, are the same in all of a group
+        low = rng.integers(0, 2**free, 40, dtype=np.uint64)
+        for x in (np.uint64(0x9E3779B97F4A7C15) >> np.uint64(free) << np.uint64(free)) | low:
+            y = int(x)
+            for bit in (7, 20, 30, 45) if free == 51 else (3, 10, 21, 32):  # the first block is bits 52 to 63
+                y ^= 1 << bit
+            pairs.append((int(x), y))
+    fps = np.array(sorted({f for p in pairs for f in p}), np.uint64)
+    df = spark.createDataFrame([(int(f),) for f in fps.view(np.int64)], "fp long")
+    root = union_find([(r["u"] % 2**64, r["v"] % 2**64) for r in simhash.trie_links(df, 4, 12).collect()])
+    assert all(root.get(x, x) == root.get(y, y) for x, y in pairs)
+
+
 def test_links_below_is_a_forest():
     x = planted(np.random.default_rng(8), 600)
     a, b = simhash.links_below(x, np.array([0, len(x)]), 4)
