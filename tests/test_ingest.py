@@ -10,7 +10,7 @@ from fieldnotes.schemas import RAW_OBSERVATION
 from fieldnotes.sources import api_pages
 from fieldnotes.streaming import ingest as streaming
 
-from conftest import raw_row, ts
+from tests.support import raw_row, ts
 
 AS_OF = dt.date(2001, 10, 15)
 

@@ -7,7 +7,7 @@ from fieldnotes.operators import panel
 from fieldnotes.params import FIXTURE_PARAMS as P
 from fieldnotes.plans.registry import models
 
-from conftest import SMOKE_DIR
+from tests.support import SMOKE_DIR
 
 
 def test_grid_size_is_periods_times_entities(spark):

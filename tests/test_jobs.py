@@ -12,7 +12,7 @@ from fieldnotes.plans import jobs
 from fieldnotes.sources import api_pages
 from fieldnotes.sources.testdata import raw_observations
 
-from conftest import SMOKE_DIR
+from tests.support import SMOKE_DIR
 
 
 def test_ingest_transform_forecast(spark):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from fieldnotes.operators import dims, panel, rollups, spines, staging
 from fieldnotes.params import Params
 
-from conftest import raw_row, ts
+from tests.support import raw_row, ts
 
 P = Params(as_of=dt.date(2001, 10, 15), epoch=dt.date(1995, 1, 1), lookback_years=1, dow_since=dt.date(2000, 1, 1))
 

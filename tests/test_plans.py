@@ -8,7 +8,7 @@ from fieldnotes.plans import jobs
 from fieldnotes.plans.registry import QUERIES
 from fieldnotes.params import FIXTURE_PARAMS as P
 
-from conftest import SMOKE_DIR
+from tests.support import SMOKE_DIR
 
 
 def plan(df) -> str:

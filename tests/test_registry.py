@@ -6,7 +6,7 @@ import pytest
 import __spark_entry__ as E
 from fieldnotes.plans.check import compare, duck
 
-from conftest import SMOKE_DIR
+from tests.support import SMOKE_DIR
 
 ORACLES = E.oracle_sql()
 QUERIES = E.queries()
