@@ -47,7 +47,9 @@ from pyspark.sql import types as T
 from fieldnotes.llm.util import Shared, slices, table
 
 SPACE = "▁"  # stands for a space in pieces
-CACHED = 1 << 19  # chunks that a task remembers, besides those of the texts at hand
+CACHED = 1 << 18  # chunks that a task remembers, besides those of the texts at hand
+SLICE = 2 << 20  # bytes of text that are encoded at once
+ROWS = 256  # that are decoded at once
 SHORT = 64  # characters; longer chunks are merged one by one
 
 # Fixed values of the model file's format: kinds of pieces and the kind of model.
@@ -368,7 +370,7 @@ class Model:
         coded = pa.array(list(chain.from_iterable(chunks)), pa.large_string()).dictionary_encode()
         code = coded.indices.to_numpy()
         ids, size = self.ids_of(coded.dictionary.to_pylist())
-        all_ids, many = ragged(ids, np.cumsum(size) - size, size, code), size[code]
+        all_ids, many = ragged(ids.astype(np.int32), np.cumsum(size) - size, size, code), size[code]
         ends = np.append(0, np.cumsum(many))[np.cumsum([0, *map(len, chunks)])]  # pieces before the end of each text
         chars, is_byte, inner = self.steps
         step = chars[all_ids]
@@ -419,7 +421,7 @@ def encode(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for b in slices(batches):
+        for b in slices(batches, limit=SLICE):
             many, *columns = model.encode(b.column("text").to_pylist())
             offsets = pa.array(np.append(0, np.cumsum(many)), pa.int32())
             lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in columns]
@@ -437,8 +439,8 @@ def with_decoded(rows: DataFrame, model: Model, *, ids_col: str = "ids", name: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decode = shared.value.decode
         codecs.register_error("one by one", one_by_one)
-        for b in batches:
-            texts = [decode(x.as_py() or []) for x in b.column(ids_col)]
+        for b in (batch.slice(i, ROWS) for batch in batches for i in range(0, batch.num_rows, ROWS)):
+            texts = [decode(ids or []) for ids in b.column(ids_col).to_pylist()]
             yield b.append_column(name, pa.array(texts, pa.string()))
 
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(name, T.StringType())]))
