@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fieldnotes.llm import langid, language_model, lines, mixing, periods, pieces, quality, simhash, suffix, surrogates, templates, warc
+from fieldnotes.llm import langid, language_model, lines, mixing, periods, pieces, quality, simhash, spelling, suffix, surrogates, templates, warc
 
 QUERIES = {
     "op1_fuzzy_lines": lines.op1_fuzzy_lines,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_warc_dictionary": warc.op8_warc_dictionary,
     "op9_suffix_arrays": suffix.op9_suffix_arrays,
     "op10_pitman_yor": language_model.op10_pitman_yor,
+    "op11_sorted_variants": spelling.op11_sorted_variants,
     "op12_basic_factors": periods.op12_basic_factors,
     "op13_offset_pieces": pieces.op13_offset_pieces,
 }
