@@ -29,6 +29,14 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(name: str, *frames: DataFrame) -> str:
+    """``name``, with underscores before it until no column of ``frames`` is called so (in any case of letters)."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 class Shared:
     """A broadcast object of bounded size. It is shipped with its class, so executors need not have this package."""
 
