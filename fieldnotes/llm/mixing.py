@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from fieldnotes.llm.util import WORD, cut, table
+from fieldnotes.llm.util import WORD, cut, fresh, table
 
 WEIGHTS = (5, 2, 1)  # by the source's place in code point order, repeating
 MOST = 3  # times a document may be taken
@@ -103,10 +103,11 @@ def take(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST,
     Columns of ``docs`` with one of these five names give way to the mix's.
     """
     plan = mix(docs, weights, most, id_col=id_col, text_col=text_col, source_col=source_col).where("copies > 0").distinct()
-    plan = plan.withColumnsRenamed({"doc_id": "_mix_id", "source": "_mix_source", "size": "_mix_size"})
+    own = {c: fresh(f"mix_{c}", docs, plan) for c in ("doc_id", "source", "size")}
+    plan = plan.withColumnsRenamed(own)
     rest = [c for c in docs.columns if c not in ("size", "source_size", "target", "copies", "taken")]
     rows = docs.select(*rest).withColumn("size", n_words(F.col(text_col)))
-    same = F.col(id_col).eqNullSafe(F.col("_mix_id")) & F.col(source_col).eqNullSafe(F.col("_mix_source")) & (F.col("size") == F.col("_mix_size"))
+    same = F.col(id_col).eqNullSafe(F.col(own["doc_id"])) & F.col(source_col).eqNullSafe(F.col(own["source"])) & (F.col("size") == F.col(own["size"]))
     return rows.join(plan, same).select(*rest, "size", "source_size", "target", "copies", "taken")
 
 

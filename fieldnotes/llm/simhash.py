@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldnotes.llm.util import components, cut, slices, table
+from fieldnotes.llm.util import components, cut, fresh, slices, table
 
 BITS = 64
 SEED = 42
@@ -221,8 +221,9 @@ def near_duplicates(docs: DataFrame, width: int = 4, budget: int = 4, *, id_col:
 def drop_near_duplicates(docs: DataFrame, width: int = 4, budget: int = 4, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The document with the smallest id of each component, with all columns. Rows with that id stay or go together."""
     found = near_duplicates(docs, width, budget, id_col=id_col, text_col=text_col)
-    stays = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_stays")).distinct()
-    return docs.join(stays, F.col(id_col).eqNullSafe(F.col("_stays")), "left_semi")
+    name = fresh("stays", docs)
+    stays = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(stays, F.col(id_col).eqNullSafe(F.col(name)), "left_semi")
 
 
 def op6_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
