@@ -10,9 +10,9 @@ from fieldnotes.plans.base import Query, models, register
 
 MODEL_QUERIES = {
     "stg_observations": ("staged", "stg"),
-    "numbers_spine": ("numbers", "numbers"),
-    "dates_spine": ("dates", "dates"),
-    "months_spine": ("months", "months"),
+    "numbers_spine": ("log_numbers", "log_numbers"),
+    "dates_spine": ("log_dates", "log_dates"),
+    "months_spine": ("log_months", "log_months"),
     "species_dim": ("species", "species"),
     "species_to_locations": ("species_to_locations", "species_to_locations"),
     "species_to_locations_by_key": ("species_to_locations_by_key", "species_to_locations_by_key"),

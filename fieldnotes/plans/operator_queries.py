@@ -3,6 +3,7 @@ models, over the whole test tables, with its oracle SQL."""
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 
 from pyspark.sql import Window
@@ -27,6 +28,7 @@ from fieldnotes.plans.base import models, register
 from fieldnotes.sources.testdata import events, raw_observations
 
 AS_OF = O.d(P.as_of)
+SHORT = dataclasses.replace(P, lookback_years=3)  # of the lookback that cuts something off the test log
 
 # --- projections and filters ------------------------------------------------
 
@@ -39,9 +41,9 @@ def species_guess_correct(spark, sf_dir):
 
 
 @register("lookback_filter", O.sql(
-    f"SELECT * FROM months WHERE year(date_month) >= {O.LOOKBACK_YEAR}", "months"))
+    f"SELECT * FROM log_months WHERE year(date_month) >= {SHORT.as_of.year - SHORT.lookback_years}", "log_months"))
 def lookback_filter(spark, sf_dir):
-    return spines.lookback(models(spark, sf_dir).months, "date_month", P)
+    return spines.lookback(models(spark, sf_dir).log_months, "date_month", SHORT)
 
 
 @register("forecast_trim_partial", O.sql(
