@@ -8,6 +8,7 @@ lookback bounds it), so a group never outgrows one task.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -175,17 +176,27 @@ def stamp(core: DataFrame, forecast_type: F.Column | str, as_of: dt.date, level:
     )
 
 
-def forecast_all(prep_species: DataFrame, prep_location: DataFrame, params: Params,
-                 model: str = "grouped") -> DataFrame:
-    """Both grains in one job: union the series and fit per (type, id)."""
-    naive = model == "seasonal_naive"
+Fit = Callable[..., DataFrame]  # (series, params, keys) -> FORECAST_CORE and further keys
+
+
+def both_grains(prep_species: DataFrame, prep_location: DataFrame, params: Params, suffix: str = "") -> DataFrame:
+    """The finished months of both grains' series as one frame, told apart by ``forecast_type``."""
 
     def tag(df: DataFrame, view: str) -> DataFrame:
         return trim_partial(df, params).select(
-            F.col("unique_id").cast("string").alias("unique_id"), "ds", "y",
-            F.lit(f"{view}{NAIVE_SUFFIX}" if naive else view).alias("forecast_type"))
+            F.col("unique_id").cast("string").alias("unique_id"), "ds", "y", F.lit(f"{view}{suffix}").alias("forecast_type"))
+
+    return tag(prep_species, "monthly_species_summary").unionByName(tag(prep_location, "monthly_species_summary_by_location"))
 
-    series = tag(prep_species, "monthly_species_summary").unionByName(tag(prep_location, "monthly_species_summary_by_location"))
-    fit = seasonal_naive if naive else grouped_forecast
+
+def forecast_all(prep_species: DataFrame, prep_location: DataFrame, params: Params,
+                 model: str | Fit = "grouped") -> DataFrame:
+    """Both grains in one job: union the series and fit per (type, id), by a named model or a caller's own."""
+    from fieldnotes.operators.order_search import order_search
+
+    naive = model == "seasonal_naive"
+    named = {"grouped": grouped_forecast, "seasonal_naive": seasonal_naive, "order_search": order_search}
+    fit = named[model] if isinstance(model, str) else model
+    series = both_grains(prep_species, prep_location, params, NAIVE_SUFFIX if naive else "")
     core = fit(series, params, keys=("forecast_type", "unique_id"))
     return stamp(core, F.col("forecast_type"), params.as_of, params.level)

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fieldnotes.operators import forecast, incremental, staging
+from fieldnotes.operators import forecast, incremental, model_map, order_search, staging
 from fieldnotes.params import FIXTURE_PARAMS as P
 from fieldnotes.plans import oracle as O
 from fieldnotes.plans.base import models, register
@@ -61,6 +61,35 @@ def forecast_all(spark, sf_dir):
     return forecast.forecast_all(m.forecast_prep_species, m.forecast_prep_species_location, P)
 
 
+ORDER = "unique_id, d, p, s, n, aicc"
+
+
+@register("forecast_orders", O.sql(
+    f"SELECT '{SPECIES_VIEW}' AS forecast_type, {ORDER} FROM search_species_chosen\nUNION ALL\n"
+    f"SELECT '{LOCATION_VIEW}' AS forecast_type, {ORDER} FROM search_location_chosen", "search_species_chosen", "search_location_chosen"))
+def forecast_orders(spark, sf_dir):
+    """The chosen order of every series of both grains, with its AICc."""
+    m = models(spark, sf_dir)
+    series = forecast.both_grains(m.forecast_prep_species, m.forecast_prep_species_location, P)
+    return order_search.chosen_orders(series, P, ("forecast_type", "unique_id")).select("forecast_type", "unique_id", "d", "p", "s", "n", "aicc")
+
+
+@register("forecast_order_search", _both_sql("search"))
+def forecast_order_search(spark, sf_dir):
+    m = models(spark, sf_dir)
+    return forecast.forecast_all(m.forecast_prep_species, m.forecast_prep_species_location, P, model="order_search")
+
+
+@register("forecast_model_map", O.sql(
+    f"SELECT '{SPECIES_VIEW}' AS forecast_type, *, CAST(NULL AS VARCHAR) AS failure FROM naive_species\nUNION ALL\n"
+    f"SELECT '{LOCATION_VIEW}' AS forecast_type, *, CAST(NULL AS VARCHAR) AS failure FROM naive_location", "naive_species", "naive_location"))
+def forecast_model_map(spark, sf_dir):
+    """A caller's numpy model, run once per series of both grains."""
+    m = models(spark, sf_dir)
+    series = forecast.both_grains(m.forecast_prep_species, m.forecast_prep_species_location, P)
+    return model_map.map_models(series, model_map.seasonal_repeat(P.season), P, ("forecast_type", "unique_id"))
+
+
 @register("stg_forecasts", _both_sql("naive", forecast.NAIVE_SUFFIX))
 def stg_forecasts(spark, sf_dir):
     """Baseline forecasts of both grains appended to a forecasts table, then

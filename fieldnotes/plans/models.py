@@ -49,6 +49,23 @@ class Models:
     def months(self) -> DataFrame:
         return spines.months_spine(self.spark, self.params)
 
+    # the same spines over the days that the log has
+    @cached_property
+    def log_bounds(self) -> DataFrame:
+        return spines.log_bounds(self.staged, self.params)
+
+    @cached_property
+    def log_numbers(self) -> DataFrame:
+        return spines.numbers_between(self.log_bounds)
+
+    @cached_property
+    def log_dates(self) -> DataFrame:
+        return spines.dates_between(self.log_bounds)
+
+    @cached_property
+    def log_months(self) -> DataFrame:
+        return spines.months_of(self.log_dates)
+
     # dimensions ----------------------------------------------------------
     @cached_property
     def species(self) -> DataFrame:
@@ -80,6 +97,10 @@ class Models:
     def daily_species_panel(self) -> DataFrame:
         return panel.panel(self.species_facts, self.species, panel.DAILY_SPECIES, self.params)
 
+    @cached_property
+    def monthly_species_counts(self) -> DataFrame:
+        return panel.grid_counts(self.species_facts, self.species, panel.MONTHLY_SPECIES, self.params)
+
     @cached_property
     def monthly_species_panel(self) -> DataFrame:
         return panel.panel(self.species_facts, self.species, panel.MONTHLY_SPECIES, self.params)

@@ -8,8 +8,10 @@ needs, in dependency order.
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 from fieldnotes.functions.keys import SURROGATE_NULL_TOKEN
+from fieldnotes.operators import order_search as search
 from fieldnotes.operators.forecast import step_sql
 from fieldnotes.params import FIXTURE_PARAMS, Params
 
@@ -102,14 +104,27 @@ FROM {prefix}_base""", f"{prefix}_base")
 
 staged_ctes("stg", "raw")
 
-cte("facts", f"""
+def facts_cte(name: str, staged: str) -> None:
+    cte(name, f"""
 SELECT *, CAST(date_trunc('month', date_day_observed) AS TIMESTAMP) AS date_month_observed
-FROM stg WHERE rank IN ('species', 'subspecies')""", "stg")
+FROM {staged} WHERE rank IN ('species', 'subspecies')""", staged)
+
+
+facts_cte("facts", "stg")
 
 cte("numbers", f"SELECT CAST(generate_series AS INTEGER) AS numbers FROM generate_series(0, {SPINE_N})")
 cte("dates", f"SELECT CAST({d(P.epoch)} + numbers AS DATE) AS date_day FROM numbers", "numbers")
 cte("months", "SELECT DISTINCT CAST(date_trunc('month', date_day) AS TIMESTAMP) AS date_month FROM dates", "dates")
 
+cte("log_bounds", f"""
+SELECT CAST(min(date_day_observed) AS DATE) AS first_day, CAST(max(_data_loaded_date) + {P.horizon_days} AS DATE) AS last_day FROM stg""", "stg")
+cte("log_numbers", """
+SELECT CAST(unnest(generate_series(0, last_day - first_day)) AS INTEGER) AS numbers FROM log_bounds""", "log_bounds")
+cte("log_dates", """
+SELECT CAST(unnest(generate_series(first_day, last_day, INTERVAL 1 DAY)) AS DATE) AS date_day FROM log_bounds""", "log_bounds")
+cte("log_months", "SELECT DISTINCT CAST(date_trunc('month', date_day) AS TIMESTAMP) AS date_month FROM log_dates", "log_dates")
+
+
 def species_cte(name: str, staged: str) -> None:
     cte(name, f"""
 SELECT taxon_id, latin_name, preferred_common_name,
@@ -123,13 +138,17 @@ GROUP BY 1, 2, 3""", staged)
 
 species_cte("species", "stg")
 
-cte("species_to_locations", f"""
+def species_to_locations_cte(name: str, staged: str) -> None:
+    cte(name, f"""
 SELECT DISTINCT
   {skey('taxon_id', 'location_id')} AS id,
   location_id, taxon_id, latin_name, preferred_common_name,
-  MAX(date_day_observed) OVER (PARTITION BY stg.id) AS most_recent_observation_date,
-  MIN(date_day_observed) OVER (PARTITION BY stg.id) AS first_observation_date
-FROM stg""", "stg")
+  MAX(date_day_observed) OVER (PARTITION BY {staged}.id) AS most_recent_observation_date,
+  MIN(date_day_observed) OVER (PARTITION BY {staged}.id) AS first_observation_date
+FROM {staged}""", staged)
+
+
+species_to_locations_cte("species_to_locations", "stg")
 
 cte("species_to_locations_by_key", f"""
 SELECT {skey('taxon_id', 'location_id')} AS id, location_id, taxon_id, latin_name, preferred_common_name,
@@ -172,7 +191,7 @@ FROM months LEFT JOIN monthly_agg ON monthly_agg.date_month_observed = months.da
 
 def _panel_sql(prefix: str, grain: str, entity_cte: str, entity_cols: list[str], join_cols: list[str],
                pkey: str, prior_default: str | None, year_lag: int, window: int,
-               pword: str, frame: str, ch: str, id_keys: list[str] | None, carry: list[str]) -> None:
+               pword: str, frame: str, ch: str, id_keys: list[str] | None, carry: list[str], facts: str = "facts") -> None:
     if grain == "day":
         spine = f"SELECT date_day AS d FROM dates WHERE year(date_day) >= {LOOKBACK_YEAR}"
         fact_date = "date_day_observed"
@@ -193,8 +212,8 @@ FROM {prefix}_spine s CROSS JOIN {entity_cte} e""", f"{prefix}_spine", entity_ct
 SELECT g.{date_col}, {carry_g},
   CAST(COALESCE(COUNT(DISTINCT f.inaturalist_id), 0) AS INTEGER) AS num_observations,
   CAST(COALESCE(SUM(CAST(f.species_guess_correct AS INTEGER)), 0) AS INTEGER) AS num_correct_guesses
-FROM {prefix}_grid g LEFT JOIN facts f ON {on}
-GROUP BY ALL""", f"{prefix}_grid", "facts")
+FROM {prefix}_grid g LEFT JOIN {facts} f ON {on}
+GROUP BY ALL""", f"{prefix}_grid", facts)
     rows = f"PARTITION BY {pkey} ORDER BY {date_col}, latin_name, preferred_common_name"
     frame_sql = f"{rows} ROWS BETWEEN {window - 1} PRECEDING AND CURRENT ROW"
     prior = (f"LAG(num_observations) OVER ({rows})" if prior_default is None
@@ -233,16 +252,23 @@ WHERE {date_col} < {d(P.as_of)}""", f"{prefix}_changes")
 SPECIES_COLS = ["taxon_id", "latin_name", "preferred_common_name"]
 _panel_sql("daily_species_summary", "day", "species", SPECIES_COLS, ["taxon_id"], "taxon_id", None, 365, 7,
            "day", "seven_day", "dod", None, SPECIES_COLS)
-_panel_sql("monthly_species_summary", "month", "species", SPECIES_COLS, ["taxon_id"], "taxon_id", "0", 12, 3,
-           "month", "three_month", "mom", ["taxon_id", "date_month_observed"], SPECIES_COLS)
-cte("species_locations", """
+
+
+def monthly_panels(suffix: str, facts: str) -> None:
+    """Both monthly panels over the facts, the species and the places with this suffix."""
+    _panel_sql(f"monthly_species_summary{suffix}", "month", f"species{suffix}", SPECIES_COLS, ["taxon_id"], "taxon_id", "0", 12, 3,
+               "month", "three_month", "mom", ["taxon_id", "date_month_observed"], SPECIES_COLS, facts)
+    cte(f"species_locations{suffix}", f"""
 SELECT id AS species_location_id, taxon_id, location_id, latin_name, preferred_common_name
-FROM species_to_locations""", "species_to_locations")
-_panel_sql("monthly_species_summary_by_location", "month", "species_locations",
-           ["species_location_id", "taxon_id", "location_id", "latin_name", "preferred_common_name"],
-           ["taxon_id", "location_id"], "species_location_id", "0", 12, 3, "month", "three_month", "mom",
-           ["species_location_id", "date_month_observed"],
-           ["species_location_id", "taxon_id", "latin_name", "preferred_common_name"])
+FROM species_to_locations{suffix}""", f"species_to_locations{suffix}")
+    _panel_sql(f"monthly_species_summary_by_location{suffix}", "month", f"species_locations{suffix}",
+               ["species_location_id", "taxon_id", "location_id", "latin_name", "preferred_common_name"],
+               ["taxon_id", "location_id"], "species_location_id", "0", 12, 3, "month", "three_month", "mom",
+               ["species_location_id", "date_month_observed"],
+               ["species_location_id", "taxon_id", "latin_name", "preferred_common_name"], facts)
+
+
+monthly_panels("", "facts")
 
 cte("weekly_species_summary", """
 SELECT *,
@@ -315,6 +341,15 @@ staged_ctes("stg_stored", "stored")
 staged_ctes("stg_new", "new_rows")
 species_cte("species_stored", "stg_stored")
 species_cte("species_new", "stg_new")
+# the log after the increment, and the four incremental models over it
+cte("increment", """
+SELECT * FROM stored_dedup UNION ALL SELECT * FROM new_rows""", "stored_dedup", "new_rows")
+staged_ctes("stg_increment", "increment")
+facts_cte("facts_increment", "stg_increment")
+species_cte("species_increment", "stg_increment")
+species_to_locations_cte("species_to_locations_increment", "stg_increment")
+monthly_panels("_increment", "facts_increment")
+
 cte("places", "SELECT * FROM (VALUES " + ", ".join(f"({p})" for p in P.places) + ") t(place_id)")
 cte("landed", f"""
 SELECT places.place_id, raw.* FROM raw, places
@@ -336,11 +371,12 @@ SELECT unique_id, max(ds) AS last_ds, sqrt(avg(e * e)) AS s FROM (
   SELECT unique_id, ds, y - LAG(y, {P.season}) OVER (PARTITION BY unique_id ORDER BY ds) AS e
   FROM {prefix}_series
 ) t GROUP BY 1""", f"{prefix}_series")
-    cte(f"{prefix}_steps", f"""
-SELECT unique_id, last_ds, s, CAST(generate_series AS INTEGER) AS h,
-  CAST(last_ds + to_months(CAST((generate_series - 1) % {P.season} + 1 - {P.season} AS INTEGER)) AS TIMESTAMP) AS src_ds,
-  CAST(last_day(last_ds + to_months(CAST(generate_series AS INTEGER))) AS TIMESTAMP) AS ds
-FROM {prefix}_stats, generate_series(1, {P.h})""", f"{prefix}_stats")
+    steps = []
+    for k in range(1, P.h + 1):
+        back = (k - 1) % P.season + 1 - P.season
+        steps.append(f"SELECT unique_id, s, CAST({k} AS INTEGER) AS h, CAST(last_ds + to_months({back}) AS TIMESTAMP) AS src_ds, "
+                     f"CAST(last_day(last_ds + to_months({k})) AS TIMESTAMP) AS ds FROM {prefix}_stats")
+    cte(f"{prefix}_steps", "\nUNION ALL\n".join(steps), f"{prefix}_stats")
     cte(prefix, f"""
 SELECT st.unique_id, st.ds,
   CAST(se.y AS DOUBLE) AS y_hat,
@@ -384,6 +420,48 @@ FROM {prefix}_steps st LEFT JOIN {prefix}_diffs se ON se.unique_id = st.unique_i
         f"{prefix}_steps", f"{prefix}_diffs")
 
 
+def layered(prefix: str, source: str, layers: list[dict[str, str]]) -> str:
+    """One CTE for each layer, the first one over ``source``; the name of the last."""
+    for i, layer in enumerate(layers):
+        name = f"{prefix}_{i}"
+        cte(name, f"SELECT *, {', '.join(f'{e} AS {n}' for n, e in layer.items())} FROM {source}", source)
+        source = name
+    return source
+
+
+def search_ctes(prefix: str, prep: str) -> None:
+    """The order search: sums of products of the lags, elimination, and the least AICc."""
+    season, h = P.season, P.h
+    lags = ", ".join(f"LAG(y0, {i}) OVER w AS y{i}" for i in search.lags_needed(season, h) if i)
+    cte(f"{prefix}_lags", f"""
+SELECT *, {lags} FROM (
+  SELECT CAST(unique_id AS VARCHAR) AS unique_id, ds, CAST(y AS BIGINT) AS y0 FROM {prep} WHERE ds < {ts(AS_OF_MONTH)}) t
+WINDOW w AS (PARTITION BY unique_id ORDER BY ds)
+QUALIFY y{season + search.MAX_D} IS NOT NULL""", prep)
+    cte(f"{prefix}_months", "\nUNION ALL\n".join(
+        f"SELECT unique_id, ds, {d} AS d, {', '.join(f'{e} AS {n}' for n, e in search.places(d, season, h).items())} FROM {prefix}_lags"
+        for d in range(search.MAX_D + 1)), f"{prefix}_lags")
+    sums = ", ".join(f"CAST(sum(v{i} * v{j}) AS BIGINT) AS s_{i}{j}" for i, j in search.PAIRS)
+    last = ", ".join(f"arg_max({n}, ds) AS {n}" for n in search.kept(season, h))
+    cte(f"{prefix}_sums", f"SELECT unique_id, d, max(ds) AS end_ds, {sums}, {last} FROM {prefix}_months GROUP BY ALL", f"{prefix}_months")
+    cte(f"{prefix}_both", f"SELECT *, 0 AS s FROM {prefix}_sums UNION ALL SELECT *, 1 AS s FROM {prefix}_sums", f"{prefix}_sums")
+    fits = layered(f"{prefix}_elimination", f"{prefix}_both", search.elimination())
+    cte(f"{prefix}_candidates", "\nUNION ALL\n".join(f"SELECT *, {p} AS p, rss{p} AS rss FROM {fits}" for p in range(search.MAX_P + 1)), fits)
+    rated = layered(f"{prefix}_criterion", f"{prefix}_candidates", search.criterion())
+    cte(f"{prefix}_best", f"""
+SELECT * FROM {rated} WHERE aicc IS NOT NULL QUALIFY row_number() OVER (PARTITION BY unique_id ORDER BY aicc, k, d, s, p) = 1""", rated)
+    cte(f"{prefix}_chosen", f"""
+SELECT e.unique_id, e.end_ds, b.* EXCLUDE (unique_id, end_ds)
+FROM (SELECT unique_id, max(end_ds) AS end_ds FROM {prefix}_sums GROUP BY 1) e LEFT JOIN {prefix}_best b ON b.unique_id = e.unique_id""",
+        f"{prefix}_sums", f"{prefix}_best")
+    run = layered(f"{prefix}_forward", f"{prefix}_chosen", search.coefficients() + search.forward(season, h))
+    step = f"""SELECT unique_id, CAST(last_day(end_ds + to_months({{k}})) AS TIMESTAMP) AS ds, x{{k}} AS y_hat,
+  x{{k}} - {Z90} * sqrt(s2 * u{{k}}) AS y_hat_lo, x{{k}} + {Z90} * sqrt(s2 * u{{k}}) AS y_hat_hi FROM {run}"""
+    cte(prefix, "\nUNION ALL\n".join(step.format(k=k) for k in range(1, h + 1)), run)
+
+
+search_ctes("search_species", "forecast_prep_species")
+search_ctes("search_location", "forecast_prep_species_location")
 naive_ctes("naive_species", "forecast_prep_species")
 lsq_ctes("lsq_species", "forecast_prep_species")
 lsq_ctes("lsq_location", "forecast_prep_species_location")
@@ -405,7 +483,7 @@ def sql(final: str, *names: str) -> str:
         visit(n)
     if not order:
         return final
-    uses = [dep for n in order for dep in CTES[n][1]]
+    uses = re.findall(r"\w+", " ".join([final, *(CTES[n][0] for n in order)]))
     shared = {n: " MATERIALIZED" if uses.count(n) > 1 else "" for n in order}
     body = ",\n".join(f"{n} AS{shared[n]} ({CTES[n][0]}\n)" for n in order)
     return f"WITH {body}\n{final}"

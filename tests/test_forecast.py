@@ -98,3 +98,130 @@ def test_stamp_conforms_to_stored_schema(spark):
     assert out.columns == ["ds", "unique_id", "auto_arima", "auto_arima_lo_90", "auto_arima_hi_90",
                            "forecast_type", "_date_forecasted"]
     assert out.first()._date_forecasted == P.as_of
+
+
+def _search_by_library(vals, season=12):
+    """The order search with numpy's least squares: (d, p, s, forecasts, half widths)."""
+    import numpy as np
+
+    best = None
+    for d in range(3):
+        w = np.diff(np.array(vals, float), d)
+        first = season + 2 - d  # the same months for every candidate
+        for s in (0, 1):
+            for p in range(4):
+                t = np.arange(first, len(w))
+                x = np.stack([np.ones(len(t)), *([w[t - season]] * s), *(w[t - i] for i in range(1, p + 1))], 1)
+                if np.linalg.matrix_rank(x) < x.shape[1]:
+                    continue
+                c, *_ = np.linalg.lstsq(x, w[t], rcond=None)
+                n, k = len(t), p + s + 2
+                s2 = ((w[t] - x @ c) ** 2).sum() / n
+                aicc = round(n * np.log(max(s2, 1e-6)) + 2 * k + 2 * k * (k + 1) / (n - k - 1), 6)
+                if best is None or (aicc, k, d, s, p) < best[0]:
+                    best = ((aicc, k, d, s, p), w, c, s2)
+    (aicc, k, d, s, p), w, c, s2 = best
+    w, y, psi = list(w), list(map(float, vals)), [1.0]
+    for h in range(4):
+        w.append(c[0] + (c[1] * w[-season] if s else 0) + sum(c[s + i] * w[-i] for i in range(1, p + 1)))
+        y.append(w[-1] + (0, y[-1], 2 * y[-1] - y[-2])[d])
+        psi.append(sum(c[s + i] * psi[-i] for i in range(1, min(p, len(psi)) + 1)))
+    weights = psi[:4]
+    for _ in range(d):
+        weights = list(np.cumsum(weights))
+    half = forecast.Z90 * np.sqrt(s2 * np.cumsum(np.square(weights)))
+    return d, p, s, aicc, y[-4:], half
+
+
+def _autoregressive(seed, coefficients, n, d=0, scale=1000, season=0):
+    import numpy as np
+
+    rng = np.random.default_rng(seed)
+    w = list(rng.normal(0, scale, 20))
+    for _ in range(n + 40):
+        w.append(sum(c * w[-1 - i] for i, c in enumerate(coefficients)) + (season and 0.8 * w[-12]) + rng.normal(0, scale / 10))
+    w = np.array(w[-n:])
+    for _ in range(d):
+        w = np.cumsum(w)
+    return np.round(w).astype(int) + 50_000
+
+
+def test_order_search_against_least_squares(spark):
+    """Every series gets the order, forecasts and bounds that a library gives; AR(2) and its differences are found."""
+    from fieldnotes.operators import order_search
+
+    made = {"ar2": _autoregressive(1, (0.5, -0.8), 60), "ar2 summed": _autoregressive(6, (0.5, -0.8), 60, 1),
+            "ar2 summed twice": _autoregressive(6, (0.4, -0.8), 60, 2), "seasonal": _autoregressive(4, (0.0,), 60, season=1),
+            "noise": _autoregressive(5, (0.0,), 45), "ar3": _autoregressive(6, (0.3, 0.2, -0.7), 80)}
+    s = None
+    for uid, vals in made.items():
+        one = _series(spark, vals, uid, "1996-01-01")
+        s = one if s is None else s.unionByName(one)
+    orders = {r.unique_id: r for r in order_search.chosen_orders(s, P).collect()}
+    found = {}
+    for r in order_search.order_search(s, P).orderBy("ds").collect():
+        found.setdefault(r.unique_id, []).append(r)
+    for uid, vals in made.items():
+        d, p, seasonal, aicc, y, half = _search_by_library(vals)
+        o = orders[uid]
+        assert (o.d, o.p, o.s) == (d, p, seasonal) and abs(o.aicc - aicc) < 1e-4, uid
+        for r, x, e in zip(found[uid], y, half):
+            assert abs(r.y_hat - x) < 1e-4 * abs(x) and abs(r.y_hat_hi - r.y_hat - e) < 1e-4 * e and abs(r.y_hat - r.y_hat_lo - e) < 1e-4 * e
+    assert (orders["ar2"].d, orders["ar2"].p) == (0, 2) and (orders["ar2 summed"].d, orders["ar2 summed"].p) == (1, 2)
+    assert orders["ar2 summed twice"].d == 2 and orders["seasonal"].s == 1
+
+
+def test_order_search_of_short_and_exact_series(spark):
+    from fieldnotes.operators import order_search
+
+    s = _series(spark, range(14), "short").unionByName(_series(spark, range(16), "few")).unionByName(_series(spark, [5] * 40, "flat")).unionByName(
+        _series(spark, [3 * i + 7 for i in range(40)], "line"))
+    out = {}
+    for r in order_search.order_search(s, P).orderBy("ds").collect():
+        out.setdefault(r.unique_id, []).append(r)
+    assert set(out) == {"few", "flat", "line"}
+    assert [r.y_hat for r in out["few"]] == [None] * 4 and len(out["few"]) == 4
+    assert [r.y_hat for r in out["flat"]] == [5.0] * 4 and all(r.y_hat_lo == r.y_hat_hi == 5.0 for r in out["flat"])
+    assert all(abs(r.y_hat - (3 * i + 7)) < 1e-6 for i, r in enumerate(out["line"], 40))
+    assert order_search.order_search(s.where("false"), P).count() == 0
+
+
+def test_model_map_runs_a_callers_model(spark):
+    """A numpy model over several series; the one that raises and the one of another shape are reported, the others go on."""
+    import numpy as np
+
+    from fieldnotes.operators import model_map
+
+    def drift(ds, y, h):
+        if y[0] == 13:
+            raise ZeroDivisionError("thirteen")
+        if y[0] == 14:
+            return y[:1], y[:1], y[:1]
+        point = y[-1] + (y[-1] - y[0]) / (len(y) - 1) * np.arange(1, h + 1)
+        return point, point - 1, point + 1
+
+    s = _series(spark, range(0, 60, 2), "a").unionByName(_series(spark, [13, 1], "b")).unionByName(_series(spark, [14, 1], "c")).repartition(5)
+    out = {}
+    for r in model_map.map_models(s, drift, P).orderBy("ds").collect():
+        out.setdefault(r.unique_id, []).append(r)
+    assert [(r.y_hat, r.y_hat_lo, r.failure) for r in out["a"]] == [(60.0 + 2 * i, 59.0 + 2 * i, None) for i in range(4)]
+    assert [r.failure for r in out["b"]] == ["ZeroDivisionError: thirteen"] * 4 and [r.y_hat for r in out["b"]] == [None] * 4
+    assert [r.failure for r in out["c"]] == ["ValueError: not three arrays of 4 values"] * 4
+    assert model_map.map_models(s.where("false"), drift, P).count() == 0
+    stamped = forecast.stamp(model_map.as_fit(drift)(s, P, ("unique_id",)), "own", P.as_of)
+    assert stamped.where("auto_arima IS NULL").count() == 8 and stamped.count() == 12
+
+
+def test_spines_follow_the_log(spark, raw_df):
+    from tests.support import raw_row, ts
+
+    from fieldnotes.plans.models import Models
+
+    raw = raw_df([raw_row(inaturalist_id=i, observed_date=ts(d)) for i, d in enumerate(("2001-08-30 05:00:00", "2001-09-02 00:00:00"))])
+    m = Models(spark, raw, Params(as_of=dt.date(2001, 9, 3), epoch=dt.date(2001, 1, 1), horizon_days=30))
+    days = [r.date_day for r in m.log_dates.orderBy("date_day").collect()]
+    assert days[0] == dt.date(2001, 8, 30) and days[-1] == dt.date(2001, 11, 14) and len(days) == 77  # 30 days past the load of the rows
+    assert [r.numbers for r in m.log_numbers.orderBy("numbers").collect()] == list(range(77))
+    assert [r.date_month.month for r in m.log_months.orderBy("date_month").collect()] == [8, 9, 10, 11]
+    none = Models(spark, raw.where("false"), P)
+    assert none.log_dates.count() == none.log_numbers.count() == none.log_months.count() == 0
