@@ -4,6 +4,12 @@
   completion (``trigger(availableNow=True)``); each micro-batch appends the
   copies that the log does not hold yet, inside ``foreachBatch``, so a batch
   replayed after a failure appends nothing twice.
+* ``forget_repeats`` keeps the copies of the last while in the state store, so
+  that pages pulled again soon after never reach the log. Its event time is the
+  time of the micro-batch, which never runs backwards: no row is late, none is
+  dropped for the age of its observation, and the state holds what arrived within
+  the horizon only. A copy that comes again after it has been forgotten is
+  settled by the anti-join with the log.
 * ``read_log`` gives one copy per row id, the smallest. Which micro-batch
   brought a copy first does not matter, and no id is ever dropped for its age.
 """
@@ -33,6 +39,15 @@ def observation_stream(spark: SparkSession, landing: str, loaded_on: dt.date,
     return flatten_results(explode_results(pages), loaded_on)
 
 
+COPY = "_copy"
+
+
+def forget_repeats(rows: DataFrame, remember: str) -> DataFrame:
+    """The stream without whole-row copies that arrived within ``remember`` (an interval text) before."""
+    rows = rows.withColumn("_arrived", F.current_timestamp()).withColumn(COPY, F.xxhash64(*RAW_OBSERVATION.names))
+    return rows.withWatermark("_arrived", remember).dropDuplicatesWithinWatermark(["id", COPY]).drop("_arrived", COPY)
+
+
 def merge_batch(target: str):
     """``foreachBatch`` body: append the copies (whole rows) of the batch that are not stored.
 
@@ -41,31 +56,30 @@ def merge_batch(target: str):
     """
     def run(batch: DataFrame, epoch_id: int) -> None:  # noqa: ARG001 - epoch kept for the signature
         spark = batch.sparkSession
-        rows = with_month(batch.distinct()).withColumn("_copy", F.xxhash64(*RAW_OBSERVATION.names))
+        rows = with_month(batch.distinct()).withColumn(COPY, F.xxhash64(*RAW_OBSERVATION.names))
         if table_exists(spark, target):
             stored = with_month(spark.read.schema(with_month_schema(RAW_OBSERVATION)).parquet(target))
-            stored = stored.select(MONTH, "id", F.xxhash64(*RAW_OBSERVATION.names).alias("_copy"))
-            rows = rows.join(stored, [MONTH, "id", "_copy"], "left_anti")
-        rows.drop("_copy").write.mode("append").partitionBy(MONTH).parquet(target)
+            stored = stored.select(MONTH, "id", F.xxhash64(*RAW_OBSERVATION.names).alias(COPY))
+            rows = rows.join(stored, [MONTH, "id", COPY], "left_anti")
+        rows.drop(COPY).write.mode("append").partitionBy(MONTH).parquet(target)
     return run
 
 
-def ingest_available_now(spark: SparkSession, landing: str, target: str, checkpoint: str,
-                         loaded_on: dt.date, max_files_per_trigger: int | None = None) -> None:
-    query = (
-        observation_stream(spark, landing, loaded_on, max_files_per_trigger)
-        .writeStream.foreachBatch(merge_batch(target))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+def ingest_available_now(spark: SparkSession, landing: str, target: str, checkpoint: str, loaded_on: dt.date,
+                         max_files_per_trigger: int | None = None, remember: str | None = None) -> list:
+    """Land everything new in the log at ``target``; the progress reports of the run. With ``remember`` repeats within it are forgotten first."""
+    rows = observation_stream(spark, landing, loaded_on, max_files_per_trigger)
+    if remember:
+        rows = forget_repeats(rows, remember)
+    query = rows.writeStream.foreachBatch(merge_batch(target)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
+    return list(query.recentProgress)
 
 
 def dedupe_stream(spark: SparkSession, landing: str, target: str, checkpoint: str, loaded_on: dt.date,
-                  max_files_per_trigger: int | None = None) -> DataFrame:
+                  max_files_per_trigger: int | None = None, remember: str = "1 hour") -> DataFrame:
     """Land the stream in the log at ``target`` and return it with one copy per row id, whatever the age of the rows."""
-    ingest_available_now(spark, landing, target, checkpoint, loaded_on, max_files_per_trigger)
+    ingest_available_now(spark, landing, target, checkpoint, loaded_on, max_files_per_trigger, remember)
     return read_log(spark, target)
 
 
@@ -74,4 +88,4 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return dedupe_by_key(spark.read.schema(with_month_schema(RAW_OBSERVATION)).parquet(path).select(*RAW_OBSERVATION.names))
 
 
-__all__ = ["ingest_available_now", "dedupe_stream", "observation_stream", "read_log"]
+__all__ = ["ingest_available_now", "dedupe_stream", "forget_repeats", "observation_stream", "read_log"]

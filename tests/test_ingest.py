@@ -136,6 +136,27 @@ def test_dedupe_stream_keeps_every_id_whatever_its_age(spark, raw_df):
     assert all(guess == min(files[i]) for i, guess, _ in got[0])
 
 
+def test_state_of_the_stream_is_bounded_and_loses_nothing(spark, raw_df):
+    """Twelve files, each a new id in and an old one out, observed in ever earlier years: with a short memory the state
+    holds a few batches, with a long one everything; the log is the same, forgotten copies are settled by the anti-join."""
+    base = tempfile.mkdtemp(prefix="state-")
+    landing = os.path.join(base, "landing")
+    for f in range(12):
+        rows = [raw_row(inaturalist_id=i, updated_at=ts(f"{2001 - i // 4}-05-01 08:00:00")) for i in range(f, f + 6)]
+        api_pages.land_pages(api_pages.pages_from_observations(raw_df(rows).coalesce(1), 1), landing)
+    api_pages.land_pages(api_pages.pages_from_observations(raw_df([raw_row(inaturalist_id=0, updated_at=ts("2001-05-01 08:00:00"))]), 1), landing)
+    got, state, logged = [], [], []
+    for n, remember in enumerate(("0 seconds", "1 hour")):
+        target = os.path.join(base, f"log{n}")
+        progress = streaming.ingest_available_now(spark, landing, target, os.path.join(base, f"ckpt{n}"), AS_OF, 1, remember)
+        state.append([p["stateOperators"][0]["numRowsTotal"] for p in progress])
+        assert sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in progress) == 0
+        got.append(sorted(r.inaturalist_id for r in streaming.read_log(spark, target).collect()))
+        logged.append(spark.read.parquet(target).count())
+    assert got[0] == got[1] == list(range(17)) and logged == [17, 17]
+    assert max(state[0]) <= 12 and max(state[1]) == 17
+
+
 def test_captive_results_are_left_out(spark):
     folder = tempfile.mkdtemp(prefix="pages-")
     _write_pages(folder, [{"place_id": 1, "results": [_result(1) | {"captive": True}, _result(2) | {"captive": False},
