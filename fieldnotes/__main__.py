@@ -64,7 +64,7 @@ def main(argv: list[str] | None = None) -> int:
             cmd.add_argument("--min-total-species", type=int, default=None)
             cmd.add_argument("--min-total-location", type=int, default=None)
         if name == "forecast":
-            cmd.add_argument("--model", default="grouped", choices=["grouped", "seasonal_naive"])
+            cmd.add_argument("--model", default="order_search", choices=["order_search", "grouped", "seasonal_naive"])
     args = parser.parse_args(argv)
 
     from fieldnotes.plans import jobs
@@ -85,7 +85,7 @@ def main(argv: list[str] | None = None) -> int:
         result = {"new_rows": jobs.ingest(spark, args.landing, params, args.warehouse)}
     elif args.command == "transform":
         only = args.only.split(",") if args.only else None
-        result = jobs.transform(spark, params, args.warehouse, only)
+        result = {"stored": sorted(jobs.transform(spark, params, args.warehouse, only))}
     else:
         result = {"forecast_rows": jobs.forecast(spark, params, args.warehouse, args.model)}
     print(json.dumps(result))

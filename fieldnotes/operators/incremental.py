@@ -6,6 +6,7 @@ one-row DataFrame, and "not already stored" is a left-anti join.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,20 +84,15 @@ def upsert(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
     return updates.unionByName(kept)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())  # noqa: SLF001
-    return fs.exists(jvm_path)
-
-
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """True when a Parquet table has been written at ``path``."""
-    return _exists(spark, path)
-
-
-def committed(spark: SparkSession, path: str) -> bool:
-    """True when a write job to ``path`` committed (its ``_SUCCESS`` marker)."""
-    return _exists(spark, f"{path.rstrip('/')}/_SUCCESS")
+    """True when there is a table's folder at ``path``."""
+    try:
+        spark.read.schema("any string").parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -4,7 +4,8 @@
 * ``transform`` - the log -> every model, written as Parquet tables. Staging
                   is written once and read back, so downstream models scan
                   the compact staged table instead of re-deriving it; the
-                  incremental dimensions are merged by key.
+                  incremental dimensions are merged by key. Each table is written once, as a
+                  new version beside the one that readers see until it is committed.
 * ``forecast``  - forecast-prep tables -> appended, stamped forecasts.
 
 Tables live under the shared folder (``spark.checkpoint.dir``) unless a
@@ -18,9 +19,11 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fieldnotes.operators import forecast as fc
 from fieldnotes.operators import incremental
+from fieldnotes.operators.versions import PartTable
 from fieldnotes.params import Params
 from fieldnotes.plans.models import Models
 from fieldnotes.schemas import FORECAST, RAW_OBSERVATION
@@ -56,6 +59,11 @@ STORED_PANELS = {
 }
 
 
+# the forecast inputs: the series id is a taxon, or the key of a taxon at a place
+SERIES = {name: T.StructType([T.StructField("ds", T.TimestampNTZType()), T.StructField("unique_id", kind), T.StructField("y", T.IntegerType())])
+          for name, kind in (("monthly_species_summary", T.IntegerType()), ("monthly_species_summary_by_location", T.StringType()))}
+
+
 def _root(spark: SparkSession, location: str | None) -> str:
     return (location or f"{shared_dir(spark)}/warehouse").rstrip("/")
 
@@ -87,36 +95,25 @@ def stored_log(spark: SparkSession, location: str | None = None) -> DataFrame:
     return spark.read.schema(incremental.with_month_schema(RAW_OBSERVATION)).parquet(f"{_root(spark, location)}/observations")
 
 
-def _write(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+def stored_model(spark: SparkSession, name: str, location: str | None = None) -> PartTable:
+    """The table of a model that ``transform`` writes."""
+    return PartTable(spark, f"{_root(spark, location)}/{name}")
 
 
-def _merge(spark: SparkSession, new: DataFrame, path: str, keys: list[str]) -> None:
-    """Keyed upsert into the table at ``path``.
+def _store(spark: SparkSession, path: str, df: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """``df`` as the new version of the table at ``path``, merged by ``keys`` into the one before if there are any; the stored rows.
 
-    The merge is written to ``path__next`` first (a table cannot be
-    overwritten while it is read), then copied over ``path``. If a crash
-    interrupts the copy, the next run finds ``path`` without its marker and
-    restores it from the complete ``__next`` before merging. A stored table
-    without a marker and without such a copy is never overwritten.
+    The table is written once, beside the version that readers see until the new one is committed.
     """
-    nxt = f"{path}__next"
-    if not incremental.committed(spark, path):
-        if incremental.committed(spark, nxt):
-            _write(spark.read.parquet(nxt), path)
-        elif incremental.table_exists(spark, path):
-            raise RuntimeError(f"{path} is incomplete (no _SUCCESS marker) and has no copy: restore it, or remove it to rebuild")
-        else:
-            _write(new, path)
-            return
-    old = spark.read.parquet(path)
-    _write(incremental.upsert(old, new.select(*old.columns), keys), nxt)
-    _write(spark.read.parquet(nxt), path)
+    table = PartTable(spark, path)
+    if keys:
+        df = incremental.upsert(table.read(df.schema), df, keys)
+    return table.replace(df)
 
 
 def transform(spark: SparkSession, params: Params, location: str | None = None,
-              only: list[str] | None = None) -> dict[str, str]:
-    """Build the models from the stored log; returns model name -> table path.
+              only: list[str] | None = None) -> dict[str, DataFrame]:
+    """Build the models from the stored log; returns model name -> stored rows.
 
     Rows of a stored table have no order for its readers, so the models are
     built without their final global sorts (a range shuffle each).
@@ -124,30 +121,22 @@ def transform(spark: SparkSession, params: Params, location: str | None = None,
     params = dataclasses.replace(params, order_output=False)
     root = _root(spark, location)
     raw = stored_log(spark, location).select(*RAW_OBSERVATION.names)
-    staged_path = f"{root}/stg_observations"
-    _write(Models(spark, raw, params).staged, staged_path)
-    models = Models(spark, None, params, staged=spark.read.parquet(staged_path))
-    out = {"stg_observations": staged_path}
+    out = {"stg_observations": _store(spark, f"{root}/stg_observations", Models(spark, raw, params).staged)}
+    models = Models(spark, None, params, staged=out["stg_observations"])
     for name, (attr, keys) in TRANSFORM_MODELS.items():
         if only and name not in only:
             continue
-        path = f"{root}/{name}"
-        df = getattr(models, attr)
-        if keys:
-            _merge(spark, df, path, keys)
-        else:
-            _write(df, path)
-        out[name] = path
+        out[name] = _store(spark, f"{root}/{name}", getattr(models, attr), keys)
         if name in STORED_PANELS:  # what is built on a panel reads the stored one
-            models.__dict__[STORED_PANELS[name]] = spark.read.parquet(path)
+            models.__dict__[STORED_PANELS[name]] = out[name]
     return out
 
 
-def forecast(spark: SparkSession, params: Params, location: str | None = None, model: str = "grouped") -> int:
+def forecast(spark: SparkSession, params: Params, location: str | None = None, model: str = "order_search") -> int:
     """Forecast both grains from the prep tables into ``forecasts``; a repeated run replaces its own day and types."""
     root = _root(spark, location)
-    species = spark.read.parquet(f"{root}/forecast_prep__monthly_species_summary")
-    by_location = spark.read.parquet(f"{root}/forecast_prep__monthly_species_summary_by_location")
+    species, by_location = (stored_model(spark, f"forecast_prep__{t}", location).read(SERIES[t])
+                            for t in ("monthly_species_summary", "monthly_species_summary_by_location"))
     out = fc.forecast_all(species, by_location, params, model=model)
     path = f"{root}/forecasts"
     staging = f"{path}_run_{params.as_of.isoformat()}"

@@ -4,7 +4,6 @@ transform, forecast."""
 import os
 import tempfile
 
-import pytest
 from pyspark.sql import functions as F
 
 from fieldnotes.params import FIXTURE_PARAMS as P
@@ -26,30 +25,19 @@ def test_ingest_transform_forecast(spark):
     assert jobs.ingest(spark, landing, P, warehouse) == distinct_ids
     assert jobs.ingest(spark, landing, P, warehouse) == 0  # same pages again: nothing new
 
-    paths = jobs.transform(spark, P, warehouse)
-    assert set(jobs.TRANSFORM_MODELS) <= set(paths)
-    monthly = spark.read.parquet(paths["monthly_species_summary"])
-    species = spark.read.parquet(paths["species"])
+    stored = jobs.transform(spark, P, warehouse)
+    assert set(jobs.TRANSFORM_MODELS) <= set(stored)
+    monthly, species = stored["monthly_species_summary"], stored["species"]
     months = monthly.select("date_month_observed").distinct().count()
     n_monthly, n_species = monthly.count(), species.count()
     assert n_monthly == months * n_species  # dense grid
     merged = ["species", "species_to_locations", "monthly_species_summary", "monthly_species_summary_by_location"]
-    before = {m: sorted(map(str, spark.read.parquet(paths[m]).collect())) for m in merged}
+    before = {m: sorted(map(str, stored[m].collect())) for m in merged}
     jobs.transform(spark, P, warehouse, only=merged)  # a re-run merges by key and changes nothing
     for m in merged:
-        assert sorted(map(str, spark.read.parquet(paths[m]).collect())) == before[m], m
+        assert sorted(map(str, jobs.stored_model(spark, m, warehouse).read(stored[m].schema).collect())) == before[m], m
 
-    for model in ("seasonal_naive", "grouped"):
+    for model in ("seasonal_naive", "grouped", "order_search"):
         n = jobs.forecast(spark, P, warehouse, model=model)
         assert n > 0 and jobs.forecast(spark, P, warehouse, model=model) == n  # a repeated run replaces its rows
     assert jobs.stored_forecasts(spark, warehouse).count() == 2 * n
-
-
-def test_merge_never_overwrites_an_incomplete_table(spark):
-    path = os.path.join(tempfile.mkdtemp(prefix="merge-"), "t")
-    new = spark.createDataFrame([(1, "a")], "k int, v string")
-    jobs._merge(spark, new, path, ["k"])
-    os.remove(f"{path}/_SUCCESS")
-    with pytest.raises(RuntimeError):
-        jobs._merge(spark, spark.createDataFrame([(2, "b")], "k int, v string"), path, ["k"])
-    assert spark.read.parquet(path).count() == 1

@@ -4,6 +4,9 @@ import os
 import re
 import tempfile
 
+from pyspark.sql import functions as F
+
+from fieldnotes.operators import versions
 from fieldnotes.plans import jobs
 from fieldnotes.plans.registry import QUERIES
 from fieldnotes.params import FIXTURE_PARAMS as P
@@ -53,17 +56,21 @@ def test_grid_is_generated(spark):
     assert "Generate" in text and "NestedLoop" not in text and "Cartesian" not in text
 
 
-def test_merge_recovers_from_an_interrupted_copy(spark):
-    from fieldnotes.operators import incremental
-
-    root = tempfile.mkdtemp(prefix="merge-")
-    path = os.path.join(root, "t")
-    a = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
-    jobs._merge(spark, a, path, ["k"])
-    jobs._merge(spark, spark.createDataFrame([(2, "B")], "k int, v string"), path, ["k"])
-    # simulate a crash while copying __next over the table: the table is left uncommitted
-    os.remove(os.path.join(path, "_SUCCESS"))
-    assert not incremental.committed(spark, path)
-    jobs._merge(spark, spark.createDataFrame([(3, "c")], "k int, v string"), path, ["k"])
-    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [(1, "a"), (2, "B"), (3, "c")]
-    assert P.as_of  # parameters untouched
+def test_a_merge_is_written_once_and_seen_when_committed(spark, monkeypatch):
+    """A run that dies between its files and its commit changes nothing, and the next one is right."""
+    path = os.path.join(tempfile.mkdtemp(prefix="merge-"), "t")
+    make = lambda *r: spark.createDataFrame(list(r), "k int, v string")
+    assert sorted(map(tuple, jobs._store(spark, path, make((1, "a"), (2, "b")), ["k"]).collect())) == [(1, "a"), (2, "b")]
+    seen = jobs._store(spark, path, make((2, "B")), ["k"])
+    table = versions.PartTable(spark, path)
+    # the files of a third version, without its commit
+    make((9, "z")).withColumn(versions.PART, F.lit(0)).write.partitionBy(versions.PART).parquet(table.folder(3))
+    assert sorted(map(tuple, table.read(seen.schema).collect())) == [(1, "a"), (2, "B")]
+    after = jobs._store(spark, path, make((3, "c")), ["k"])
+    assert sorted(map(tuple, after.collect())) == [(1, "a"), (2, "B"), (3, "c")]
+    assert sorted(map(tuple, seen.collect())) == [(1, "a"), (2, "B")]  # who reads the version before still can
+    files = [f for d, _, names in os.walk(os.path.join(path, "data")) for f in names if f.endswith(".parquet") and os.path.getsize(os.path.join(d, f)) > 600]
+    assert len({f for f in files}) == len(files)  # nothing is a copy
+    jobs._store(spark, path, make((4, "d")))
+    assert sorted(map(tuple, table.read(seen.schema).collect())) == [(4, "d")]
+    assert {v.version for v in table.versions()} - table.emptied() == {3, 4}
