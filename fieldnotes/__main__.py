@@ -54,6 +54,7 @@ def main(argv: list[str] | None = None) -> int:
         if name == "ingest":
             cmd.add_argument("--places", type=_ints, default=None)
             cmd.add_argument("--taxa", type=_ints, default=None)
+            cmd.add_argument("--lenient", action="store_true")
         if name == "land-testdata":
             cmd.add_argument("--sf-dir", required=True)
         if name == "transform":
@@ -73,16 +74,16 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session(master=args.master)
     params = FIXTURE_PARAMS if args.command == "land-testdata" else _params(args)
     if args.command == "land-testdata":
-        from fieldnotes.sources import api_pages
+        from fieldnotes.sources import testpages
         from fieldnotes.sources.testdata import raw_observations
 
         raw = raw_observations(spark, args.sf_dir, params)
         for place in params.places:
-            api_pages.land_pages(api_pages.pages_from_observations(raw, place), args.landing,
+            testpages.land_pages(testpages.pages_from_observations(raw, place), args.landing,
                                  load_date=params.as_of)
         result = {"landed": args.landing, "places": list(params.places)}
     elif args.command == "ingest":
-        result = {"new_rows": jobs.ingest(spark, args.landing, params, args.warehouse)}
+        result = {"new_rows": jobs.ingest(spark, args.landing, params, args.warehouse, args.lenient)}
     elif args.command == "transform":
         only = args.only.split(",") if args.only else None
         result = {"stored": sorted(jobs.transform(spark, params, args.warehouse, only))}

@@ -13,7 +13,7 @@ from fieldnotes.params import FIXTURE_PARAMS as P
 from fieldnotes.plans import oracle as O
 from fieldnotes.plans.base import models, register
 from fieldnotes.sources import landing_audit
-from fieldnotes.sources.api_pages import PER_PAGE
+from fieldnotes.sources.testpages import PER_PAGE
 from fieldnotes.sources.testdata import raw_observations
 
 # --- pages that did not land: of each place's pull two pages in seven, and the last page of the first place

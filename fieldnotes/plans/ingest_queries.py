@@ -14,14 +14,14 @@ from fieldnotes.plans import oracle as O
 from fieldnotes.plans.base import register
 from fieldnotes.schemas import RAW_OBSERVATION
 from fieldnotes.session import scratch_path
-from fieldnotes.sources import api_pages
+from fieldnotes.sources import api_pages, testpages
 from fieldnotes.sources.testdata import events, raw_observations
 from fieldnotes.streaming import ingest as streaming
 
 
 def _pages_text(raw: DataFrame, place: int) -> DataFrame:
     """Landed JSON text of every page of one place."""
-    return api_pages.pages_as_json(api_pages.pages_from_observations(raw, place))
+    return testpages.pages_as_json(testpages.pages_from_observations(raw, place))
 
 
 def _landed(spark, sf_dir) -> DataFrame:
@@ -135,7 +135,7 @@ def _land_all(spark, sf_dir) -> str:
     raw = raw_observations(spark, sf_dir, P)
     landing = scratch_path(spark, "landing")
     for p in P.places:
-        api_pages.land_pages(api_pages.pages_from_observations(raw, p), landing)
+        testpages.land_pages(testpages.pages_from_observations(raw, p), landing)
     return landing
 
 

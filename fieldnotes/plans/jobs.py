@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldnotes.operators import forecast as fc
-from fieldnotes.operators import incremental
+from fieldnotes.operators import incremental, rejects
 from fieldnotes.operators.versions import PartTable
 from fieldnotes.params import Params
 from fieldnotes.plans.models import Models
@@ -68,9 +68,12 @@ def _root(spark: SparkSession, location: str | None) -> str:
     return (location or f"{shared_dir(spark)}/warehouse").rstrip("/")
 
 
-def ingest(spark: SparkSession, landing: str, params: Params, location: str | None = None) -> int:
+def ingest(spark: SparkSession, landing: str, params: Params, location: str | None = None, lenient: bool = False) -> int:
     """Append the new observation versions found in the landed pages.
 
+    A landed line that is no page, or a row that cannot be staged, ends the job; a ``lenient`` one goes on without
+    them and appends them with the reason to ``rejected_pages`` and ``rejected_observations``.
+
     The high-water mark of the stored log (one aggregated value) selects the
     pull: landing folders from that day on (partition pruning when pages are
     landed by ``load_date``) and rows updated on or after it. The rows are
@@ -84,9 +87,17 @@ def ingest(spark: SparkSession, landing: str, params: Params, location: str | No
         last = log.agg(F.max(incremental.MONTH)).first()[0]  # then that month's folder only
         mark = incremental.high_water_mark(log.where(F.col(incremental.MONTH) == F.lit(last))).first()["high_water_mark"]
         since = dt.date.fromisoformat(mark) if mark else None
-    results = api_pages.wild(api_pages.explode_results(api_pages.read_pages(spark, landing, since)), params.captive)
-    batch = api_pages.source_filter(api_pages.flatten_results(results, params.as_of), updated_since=since,
-                                    taxon_ids=params.taxon_ids, place_ids=params.places)
+    if lenient:
+        pages, bad_pages = rejects.split_pages(api_pages.read_page_texts(spark, landing, since))
+    else:
+        pages = api_pages.read_pages(spark, landing, since)
+    results = api_pages.wild(api_pages.explode_results(pages), params.captive)
+    batch = api_pages.flatten_results(results, params.as_of)
+    if lenient:
+        batch, bad_rows = rejects.split_raw(batch)
+        for name, bad in (("rejected_pages", bad_pages), ("rejected_observations", bad_rows)):
+            incremental.append(bad.withColumn("_date_rejected", F.lit(params.as_of)), f"{_root(spark, location)}/{name}")
+    batch = api_pages.source_filter(batch, updated_since=since, taxon_ids=params.taxon_ids, place_ids=params.places)
     return incremental.load_increment(spark, batch, log_path, RAW_OBSERVATION)
 
 

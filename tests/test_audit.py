@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from fieldnotes.operators import distinct_state, incremental, membership, ordering, rejects, staging
 from fieldnotes.params import Params
 from fieldnotes.schemas import RAW_OBSERVATION
-from fieldnotes.sources import api_pages, landing_audit
+from fieldnotes.sources import landing_audit, testpages
 from tests.support import raw_row, ts
 
 P = Params(as_of=dt.date(2001, 10, 15), epoch=dt.date(1995, 1, 1))
@@ -42,7 +42,7 @@ def test_lenient_staging_rejects_and_strict_staging_raises(spark, raw_df):
 
 
 def test_corrupt_pages_are_rejected_whole(spark, raw_df):
-    pages = api_pages.pages_as_json(api_pages.pages_from_observations(raw_df([raw_row(inaturalist_id=i) for i in range(3)]), 1))
+    pages = testpages.pages_as_json(testpages.pages_from_observations(raw_df([raw_row(inaturalist_id=i) for i in range(3)]), 1))
     good = pages.collect()
     texts = [r.value for r in good] + [good[0].value[:-20], "", "[1, 2]", '{"total_results": "many", "results": []}', '{"results": []}', None]
     parsed, bad = rejects.split_pages(spark.createDataFrame([(t,) for t in texts], "value string"))
@@ -99,3 +99,21 @@ def test_a_batch_of_unseen_ids_reads_no_log_file(spark, raw_df):
     assert fresh.count() == 20 and not any("observations" in f for f in fresh.inputFiles())
     again = membership.new_rows(raw_df([raw_row(inaturalist_id=i) for i in range(49, 60)]), stored, words)
     assert again.count() == 10 and any("observations" in f for f in again.inputFiles())
+
+
+def test_lenient_ingest_goes_on_and_strict_ingest_ends(spark, raw_df):
+    from fieldnotes.plans import jobs
+
+    base = tempfile.mkdtemp(prefix="lenient-")
+    rows = [raw_row(inaturalist_id=1), raw_row(inaturalist_id=2, location="45.5,west"), raw_row(inaturalist_id=3)]
+    testpages.land_pages(testpages.pages_from_observations(raw_df(rows), 1), f"{base}/landing")
+    with open(f"{base}/landing/torn.txt", "w") as out:
+        out.write('{"total_results": 3, "results": [{"id": 4')
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        jobs.ingest(spark, f"{base}/landing", P, f"{base}/strict")
+    assert jobs.ingest(spark, f"{base}/landing", P, f"{base}/wh", lenient=True) == 2
+    assert jobs.ingest(spark, f"{base}/landing", P, f"{base}/wh", lenient=True) == 0
+    assert sorted(r.inaturalist_id for r in jobs.stored_log(spark, f"{base}/wh").collect()) == [1, 3]
+    bad = spark.read.parquet(f"{base}/wh/rejected_pages").collect()
+    assert {(r.value[:20], r.reason) for r in bad} == {('{"total_results": 3,', "not a page")}
+    assert {(r.inaturalist_id, r.reason) for r in spark.read.parquet(f"{base}/wh/rejected_observations").collect()} == {(2, "location is not a list of numbers")}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldnotes.operators import incremental
 from fieldnotes.schemas import RAW_OBSERVATION
-from fieldnotes.sources import api_pages
+from fieldnotes.sources import api_pages, testpages
 from fieldnotes.streaming import ingest as streaming
 
 from tests.support import raw_row, ts
@@ -52,13 +52,13 @@ def test_flatten_is_null_safe_for_missing_or_null_details(spark):
 
 def test_pages_round_trip_and_page_size(spark, raw_df):
     raw = raw_df([raw_row(inaturalist_id=i) for i in range(1, 251)])
-    pages = api_pages.pages_from_observations(raw, place_id=1, per_page=100)
+    pages = testpages.pages_from_observations(raw, place_id=1, per_page=100)
     sizes = [r.n for r in pages.select(F.size("results").alias("n")).collect()]
     assert sum(sizes) == 250 and max(sizes) <= 100
     back = api_pages.flatten_results(api_pages.explode_results(
-        api_pages.parse_pages(api_pages.pages_as_json(pages))), dt.date(2001, 10, 15))
+        api_pages.parse_pages(testpages.pages_as_json(pages))), dt.date(2001, 10, 15))
     assert sorted(back.select("id").toPandas()["id"]) == sorted(raw.select("id").toPandas()["id"])
-    assert api_pages.pages_from_observations(raw, place_id=99).count() == 0
+    assert testpages.pages_from_observations(raw, place_id=99).count() == 0
 
 
 def test_high_water_mark_empty_and_filled(spark, raw_df):
@@ -109,8 +109,8 @@ def test_available_now_stream_merges_without_duplicates(spark, raw_df):
     base = tempfile.mkdtemp(prefix="stream-")
     landing, target = os.path.join(base, "landing"), os.path.join(base, "log")
     raw = raw_df([raw_row(inaturalist_id=i) for i in range(1, 31)])
-    api_pages.land_pages(api_pages.pages_from_observations(raw.where("inaturalist_id <= 20"), 1), landing)
-    api_pages.land_pages(api_pages.pages_from_observations(raw.where("inaturalist_id > 10"), 1), landing)
+    testpages.land_pages(testpages.pages_from_observations(raw.where("inaturalist_id <= 20"), 1), landing)
+    testpages.land_pages(testpages.pages_from_observations(raw.where("inaturalist_id > 10"), 1), landing)
     streaming.ingest_available_now(spark, landing, target, os.path.join(base, "ckpt"), AS_OF, max_files_per_trigger=1)
     assert streaming.read_log(spark, target).count() == 30
     # a second run sees no new files and appends nothing
@@ -126,7 +126,7 @@ def test_dedupe_stream_keeps_every_id_whatever_its_age(spark, raw_df):
     stamp = [ts(f"{y}-05-01 08:00:00") for y in (2001, 1996, 1999, 2000, 1995, 1998, 2001, 1997)]
     for f in range(8):
         rows = [raw_row(inaturalist_id=i, updated_at=stamp[i % 8], species_guess="cab"[(f + i) % 3]) for i in range(f, f + 24)]
-        api_pages.land_pages(api_pages.pages_from_observations(raw_df(rows).coalesce(1), 1), landing)
+        testpages.land_pages(testpages.pages_from_observations(raw_df(rows).coalesce(1), 1), landing)
     got = []
     for n, size in enumerate((1, 3, None)):
         out = streaming.dedupe_stream(spark, landing, os.path.join(base, f"out{n}"), os.path.join(base, f"ckpt{n}"), AS_OF, size)
@@ -143,8 +143,8 @@ def test_state_of_the_stream_is_bounded_and_loses_nothing(spark, raw_df):
     landing = os.path.join(base, "landing")
     for f in range(12):
         rows = [raw_row(inaturalist_id=i, updated_at=ts(f"{2001 - i // 4}-05-01 08:00:00")) for i in range(f, f + 6)]
-        api_pages.land_pages(api_pages.pages_from_observations(raw_df(rows).coalesce(1), 1), landing)
-    api_pages.land_pages(api_pages.pages_from_observations(raw_df([raw_row(inaturalist_id=0, updated_at=ts("2001-05-01 08:00:00"))]), 1), landing)
+        testpages.land_pages(testpages.pages_from_observations(raw_df(rows).coalesce(1), 1), landing)
+    testpages.land_pages(testpages.pages_from_observations(raw_df([raw_row(inaturalist_id=0, updated_at=ts("2001-05-01 08:00:00"))]), 1), landing)
     got, state, logged = [], [], []
     for n, remember in enumerate(("0 seconds", "1 hour")):
         target = os.path.join(base, f"log{n}")
@@ -172,7 +172,7 @@ def test_job_asks_for_taxa_and_places(spark, raw_df):
     base = tempfile.mkdtemp(prefix="ask-")
     raw = raw_df([raw_row(inaturalist_id=1, taxon_id=10), raw_row(inaturalist_id=2, taxon_id=20), raw_row(inaturalist_id=3, taxon_id=10, place_ids="{9}")])
     for place in (1, 9):
-        api_pages.land_pages(api_pages.pages_from_observations(raw, place), f"{base}/landing")
+        testpages.land_pages(testpages.pages_from_observations(raw, place), f"{base}/landing")
     assert jobs.ingest(spark, f"{base}/landing", Params(as_of=AS_OF, taxon_ids=(10,)), f"{base}/wh") == 1
     assert jobs.ingest(spark, f"{base}/landing", Params(as_of=AS_OF, places=()), f"{base}/wh2") == 3
 
@@ -197,10 +197,10 @@ def test_pull_reads_only_landings_since_the_high_water_mark(spark, raw_df):
     landing, warehouse = os.path.join(base, "landing"), os.path.join(base, "wh")
     old = raw_df([raw_row(inaturalist_id=i, updated_at=ts("2001-05-01 08:00:00")) for i in range(1, 6)])
     new = raw_df([raw_row(inaturalist_id=i, updated_at=ts("2001-06-02 09:00:00")) for i in range(4, 9)])
-    api_pages.land_pages(api_pages.pages_from_observations(old, 1), landing, load_date=dt.date(2001, 5, 1))
+    testpages.land_pages(testpages.pages_from_observations(old, 1), landing, load_date=dt.date(2001, 5, 1))
     p = Params(as_of=dt.date(2001, 6, 3), epoch=dt.date(1995, 1, 1))
     assert jobs.ingest(spark, landing, p, warehouse) == 5
-    api_pages.land_pages(api_pages.pages_from_observations(new, 1), landing, load_date=dt.date(2001, 6, 2))
+    testpages.land_pages(testpages.pages_from_observations(new, 1), landing, load_date=dt.date(2001, 6, 2))
     pruned = api_pages.read_pages(spark, landing, since=dt.date(2001, 5, 2))
     assert "PartitionFilters: [isnotnull(load_date" in pruned._jdf.queryExecution().executedPlan().toString()
     assert pruned.select(F.explode("results")).count() == 5

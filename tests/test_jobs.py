@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from fieldnotes.params import FIXTURE_PARAMS as P
 from fieldnotes.plans import jobs
-from fieldnotes.sources import api_pages
+from fieldnotes.sources import testpages
 from fieldnotes.sources.testdata import raw_observations
 
 from tests.support import SMOKE_DIR
@@ -19,7 +19,7 @@ def test_ingest_transform_forecast(spark):
     landing, warehouse = os.path.join(base, "landing"), os.path.join(base, "warehouse")
     raw = raw_observations(spark, SMOKE_DIR, P)
     for place in P.places:
-        api_pages.land_pages(api_pages.pages_from_observations(raw, place), landing)
+        testpages.land_pages(testpages.pages_from_observations(raw, place), landing)
     distinct_ids = raw.where(F.expr("arrays_overlap(transform(split(btrim(place_ids, '{}'), ','), x -> cast(x as int)), "
                                     f"array({', '.join(str(p) for p in P.places)}))")).select("id").distinct().count()
     assert jobs.ingest(spark, landing, P, warehouse) == distinct_ids
