@@ -2,16 +2,21 @@
 
 Detected are e-mail addresses, telephone numbers, IPv4 addresses, payment card
 and other long numbers, social security numbers, secrets (long hexadecimal
-strings, quoted values of passwords and keys), and names of persons (a known
-given name or a title before capitalised words, and then the parts of that name
-elsewhere in the text).
+strings, quoted values of passwords and keys), and names of persons. A name is told
+by where it stands: after a salutation, a title, a closing line or a label such as
+"contact:", after "my name is", right before an address or a telephone number in
+brackets, or as a run of capitalised words that begins with a known given name. All
+parts of a name so found are replaced wherever they stand capitalised in the text.
+Lists tell the gender of given names; one that they do not hold has none, and gets a
+surrogate that could be either.
 
 An entity is its type and canonical form (digits of a number, lower-cased
 address, a name's word with gender and script), so mentions in different formats
 are one entity. Its surrogate comes from an HMAC under the key over type,
 canonical form and attempt: digits for digits in the mention's own format, a
 card number with its check digit right if it was, a name of the same gender, script
-and case, hexadecimal of the same length. Equal entities get equal surrogates in
+and case, hexadecimal of the same length with the case of its letters, an address in
+capitals, or with a capital letter first, if the mention is. Equal entities get equal surrogates in
 all documents, on every run with the key.
 
 Collision checks over the whole corpus: the distinct entities are one table; an
@@ -58,7 +63,7 @@ SCRIPTS = {
     "GREEK": ("βγδθκλμνπρστφ", "αειου", ("ος", "ης", "ας"), ("α", "η", "ια")),
 }
 
-HEX = re.compile(r"(?<![0-9A-Za-z])(?=[0-9A-Fa-f]{0,31}[0-9])[0-9A-Fa-f]{32,128}(?![0-9A-Za-z])")
+HEX = re.compile(r"(?<![0-9A-Za-z])(?=[0-9A-Fa-f]{0,31}[0-9])[0-9A-Fa-f]{32,}(?![0-9A-Za-z])")
 SECRET = re.compile(r"(?i)(?<![a-z])(?:password|passwd|secret|token|api[_ -]?key)\s*[=:]\s*[\"']([^\"'\s]{8,})[\"']")
 ADDRESS = re.compile(r"[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}")
 NUMBER = re.compile(r"(?<![\w.+-])(?:\+[0-9]|\([0-9]|[0-9])[0-9 .()-]{5,}[0-9](?![\w-]|\.[0-9])")
@@ -68,6 +73,20 @@ CARD = re.compile(r"[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6
 PHONE = re.compile(r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?|[0-9]{2,4}[ .-])[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,3}|\+[0-9]{8,15}")
 NAME_WORD = r"[^\W\d_a-z][^\W\d_]+(?:[-'’][^\W\d_]+)*"
 NAME_RUN = re.compile(rf"(?<!\w){NAME_WORD}\.?(?: {NAME_WORD}\.?)+")
+# What stands before a name, and words that stand there instead of one.
+SPOKEN_TO = r"(?:Dear|Hello|Hi|Hey|Liebe|Lieber|Cher|Chère|Querido|Querida|Уважаемый|Уважаемая|Αγαπητέ|Αγαπητή)\s+"
+CLOSING = r"(?:[Rr]egards|[Ss]incerely|[Bb]est wishes|[Tt]hanks|[Cc]heers|Grüßen|Cordialement|Saludos|уважением),?[ \t]*\n\s*"
+LABEL = r"(?:(?i:name|contact|author|customer|patient|employee|signed|attn|sender|recipient)[ \t]*:[ \t]*|[Mm]y name is )"
+ONE_NAME = rf"({NAME_WORD}(?: {NAME_WORD})*)"
+CONTEXT = re.compile(rf"(?<!\w)(?:{SPOKEN_TO}{ONE_NAME}(?=[,!:])|(?:{CLOSING}|{LABEL}){ONE_NAME}(?![\w@]))")
+NOBODY = frozenset("The Our Your My A An Sir Madam Customer Customers Reader Readers All Team Friend Friends Colleague Colleagues Everyone".split())
+NOBODY = frozenset("The Our Your My A An Sir Madam Customer Customers Reader Readers All Team Friend Friends Colleague Colleagues Everyone".split())
+BEFORE = re.compile(rf"(?<!\w)({NAME_WORD}(?: {NAME_WORD}){{1,2}}) ?[(<](?=[^)>\s]*@|\+?[0-9(])")
+#: One of these words is in every text with such a place.
+HINTS = tuple("""dear hello hi hey lieb cher querid уважаем αγαπητ regards sincerely wishes thanks grüßen cordialement saludos уважением
+ name contact author customer patient employee signed attn sender recipient""".split())
+REACHED = re.compile(r"[(<](?=[^)>\s]*@|\+?[0-9(])")  # an address or a number in brackets
+ENDS_WITH_NAME = re.compile(rf"(?<!\w)({NAME_WORD}(?: {NAME_WORD}){{1,2}}) ?$")
 
 Mention = tuple[int, int, str, str]  # start, stop, type, canonical form
 
@@ -106,6 +125,15 @@ def script_of(word: str) -> str:
 def names_in(text: str) -> list[Mention]:
     """Names of persons. Once a full name is known, its words are replaced wherever they stand capitalised in the text."""
     known: dict[str, str] = {}
+    low = text.lower()
+    places = [m[m.lastindex] for m in CONTEXT.finditer(text)] if any(h in low for h in HINTS) else []
+    places += [m[1] for x in REACHED.finditer(text) if (m := ENDS_WITH_NAME.search(text[max(0, x.start() - 120) : x.start()]))]
+    for words in (place.split(" ") for place in places):
+        if words[0] not in TITLES and words[0] not in NOBODY:  # titles: with the runs below
+            gender = "m" if words[0] in MALE else "f" if words[0] in FEMALE else "u"
+            known.setdefault(words[0], f"given {gender}")
+            for later in words[1:]:
+                known.setdefault(later, "family")
     for run in NAME_RUN.finditer(text):
         words = run[0].split(" ")
         for i, word in enumerate(words[:-1]):
@@ -192,9 +220,11 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
         name = "".join(s.pick("abcdefghijklmnopqrstuvwxyz") if i == 0 else s.pick("abcdefghijklmnopqrstuvwxyz0123456789") for i in range(max(10, len(local))))
         return f"{name}@{''.join(s.pick('abcdefghijklmnopqrstuvwxyz') for _ in range(6))}.example.{domain.rpartition('.')[2]}"
     if kind == "secret":
-        classes = ("0123456789abcdef", "0123456789ABCDEF") if HEX.fullmatch(canonical) else ()
-        if classes:
-            return "".join(s.pick(classes[canonical.upper() == canonical]) for _ in canonical)
+        if HEX.fullmatch(canonical):
+            letters = [c for c in canonical if c.isalpha()]
+            if letters and any(c.isupper() for c in letters) and any(c.islower() for c in letters):  # the case of each letter stays
+                return "".join(s.pick("0123456789") if c.isdigit() else s.pick("ABCDEF" if c.isupper() else "abcdef") for c in canonical)
+            return "".join(s.pick("0123456789ABCDEF" if canonical.upper() == canonical else "0123456789abcdef") for _ in canonical)
         return "".join(s.pick("0123456789") if c.isdigit() else s.pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ") if c.isupper()
                        else s.pick("abcdefghijklmnopqrstuvwxyz") if c.isalpha() else c for c in canonical)
     if kind in ("card", "number", "phone", "ssn"):
@@ -207,7 +237,8 @@ def surrogate(key: bytes, kind: str, canonical: str, attempt: int = 0) -> str:
     role, *gender, script = kind.split()
     consonants, vowels, male, female = SCRIPTS[script]
     stem = "".join(s.pick(consonants) + s.pick(vowels) for _ in range(3 if role == "given" else 4))
-    return stem + (s.pick(male if gender == ["m"] else female) if role == "given" else s.pick(consonants))
+    endings = {("m",): male, ("f",): female}.get(tuple(gender), male + female)
+    return stem + (s.pick(endings) if role == "given" else s.pick(consonants))
 
 
 def rendered(kind: str, mention: str, replacement: str) -> str:
@@ -221,6 +252,8 @@ def rendered(kind: str, mention: str, replacement: str) -> str:
         return "".join(out)
     if kind.startswith(("given", "family")):
         return replacement.upper() if mention.isupper() and len(mention) > 1 else replacement[0].upper() + replacement[1:]
+    if kind == "email":
+        return replacement.upper() if mention.isupper() else replacement[0].upper() + replacement[1:] if mention[0].isupper() else replacement
     return replacement
 
 

@@ -48,3 +48,13 @@ def test_take(spark, weird):
     assert out.columns == [c for c in docs.columns if c not in ("size", "target")] + ["size", "source_size", "target", "copies", "taken"]
     assert rows and all(r["copies"] > 0 and r["taken"] == r["copies"] * r["size"] for r in rows if r["size"])
     assert {r["doc_id"] for r in rows if r["size"]} <= {r["doc_id"] for r in mixing.mix(docs).where("taken > 0").collect()}
+
+
+def test_columns_named_as_the_helpers(spark, docs_of):
+    docs = docs_of([(i, "some words of a text " * (1 + i % 3), "en", "ab"[i % 2]) for i in range(8)])
+    names = ("mix_doc_id", "_mix_id", "mix_source", "_mix_source", "mix_size", "_mix_size")
+    plain = mixing.take(docs)
+    out = mixing.take(docs.selectExpr("*", *(f"'mine' AS {n}" for n in names)))
+    assert [c for c in out.columns if c not in names] == plain.columns
+    assert sorted((r.doc_id, r.copies) for r in out.collect()) == sorted((r.doc_id, r.copies) for r in plain.collect()) != []
+    assert all(r[n] == "mine" for r in out.collect() for n in names)

@@ -109,3 +109,10 @@ def test_edges(spark, weird, docs_of):
 def test_fingerprints_of_odd_texts():
     for text in (None, "", "one", "One two THREE", "a b c d", "É Ü x y z ß\x1fq", "x " * 40_000):
         assert simhash.fingerprint(text, 4) % 2**64 == brute_fingerprint(text)
+
+
+def test_columns_named_as_the_helpers(spark, docs_of):
+    docs = docs_of([(1, "one two three four five"), (2, "one two three four five"), (3, "six seven eight nine ten")])
+    docs = docs.selectExpr("*", "'mine' AS stays", "'mine' AS _stays")
+    out = simhash.drop_near_duplicates(docs)
+    assert out.columns == docs.columns and sorted((r.doc_id, r.stays, r._stays) for r in out.collect()) == [(1, "mine", "mine"), (3, "mine", "mine")]

@@ -75,3 +75,48 @@ def test_whole_table(spark, sf_dir):
         assert r["n_entities"] == len(found) and (found or r["text"] == docs[r["doc_id"]])
         real = [docs[r["doc_id"]][a:b] for a, b, _, _ in found]
         assert not any(x in r["text"] for x in real)
+
+
+def test_names_by_their_place():
+    """Names that no list holds, told by what stands around them; the same words without it are left alone."""
+    text = ("Dear Tomasz,\nplease ask Ruth Levi (ruth@x.org) or Ada Okafor <ada@x.org>. Contact: Yuki Tanaka\nMy name is Olu Bello and Tomasz knows.\n"
+            "Sincerely,\nJane Doe\nJane will call, and TANAKA too.")
+    names = [text[a:b] for a, b, k, _ in s.mentions(text) if k.startswith(("given", "family"))]
+    assert names == ["Tomasz", "Ruth", "Levi", "Ada", "Okafor", "Yuki", "Tanaka", "Olu", "Bello", "Tomasz", "Jane", "Doe", "Jane", "TANAKA"]
+    for clean in ("Tomasz met Ruth Levi and Yuki Tanaka.", "Dear Customer, Hello World. Thanks,\nThe Team", "The Big Apple (1998) and Blue River (see page 3)", "a name: none, contact: us"):
+        assert s.mentions(clean) == [], clean
+    assert [k for _, _, k, _ in s.mentions("Dear Anna, dear Bob Stone:")] == ["given f LATIN"]
+
+
+def test_long_and_mixed_hexadecimal_and_cases(spark, docs_of):
+    long, mixed = "0a1b" * 100, "aB3dE6fA90Cd" * 4
+    rows = [(1, f"key {long} and {mixed}"), (2, "Write to Bob.Stone@Mail.com, BOB.STONE@MAIL.COM or bob.stone@mail.com")]
+    out = replaced(spark, docs_of, rows)
+    _, new_long, _, new_mixed = out[1]["text"].split(" ")
+    assert out[1]["n_entities"] == 2 and re.fullmatch("[0-9a-f]{400}", new_long) and new_long != long
+    assert [c.isupper() for c in new_mixed] == [c.isupper() for c in mixed] and [c.isdigit() for c in new_mixed] == [c.isdigit() for c in mixed] and new_mixed != mixed
+    one, two, three = re.findall(r"\S+@[\w.]+\w", out[2]["text"])
+    assert one == three[0].upper() + three[1:] and two == three.upper() and three.islower() and len({one, two, three}) == 3
+
+
+PLAIN = {"email": r"[\w.+-]+@[\w-]+(?:\.[\w-]+)*\.[A-Za-z]{2,}", "ip": r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w.-]|\.\d)", "hex": r"(?<!\w)[0-9a-f]{32,}(?!\w)"}
+
+
+def test_whole_table_against_plain_patterns(spark, sf_dir):
+    """By patterns of its own: each address, IP and long hexadecimal number goes, equal ones alike over all documents, different ones
+    to different ones; the text around all of them stays, but for other entities."""
+    from fieldnotes.llm.queries import QUERIES
+
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    out = {r["doc_id"]: r["text"] for r in QUERIES["op4_surrogates"](spark, sf_dir).collect()}
+    for kind, pattern in PLAIN.items():
+        to, back = {}, {}
+        for i, text in docs.items():
+            old, new = re.findall(pattern, text or ""), re.findall(pattern, out[i] or "")
+            assert len(old) == len(new), (kind, i)
+            for a, b in zip(old, new):
+                assert a != b and to.setdefault(a.lower() if kind == "email" else a, b) == b and back.setdefault(b, a.lower() if kind == "email" else a)
+                assert back[b] == (a.lower() if kind == "email" else a)
+        assert len(to) > 3 and not set(to) & set(back), kind
+    same = [i for i in docs if docs[i] and not re.search(r"\d{2}|@|password|secret|token|api|[A-Z][a-z]+ [A-Z]", docs[i])]
+    assert same and all(out[i] == docs[i] for i in same)
