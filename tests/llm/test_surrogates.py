@@ -102,11 +102,12 @@ def test_long_and_mixed_hexadecimal_and_cases(spark, docs_of):
 PLAIN = {"email": r"[\w.+-]+@[\w-]+(?:\.[\w-]+)*\.[A-Za-z]{2,}", "ip": r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w.-]|\.\d)", "hex": r"(?<!\w)[0-9a-f]{32,}(?!\w)"}
 
 
-def test_whole_table_against_plain_patterns(spark, sf_dir):
+def test_whole_table_against_plain_patterns(spark):
     """By patterns of its own: each address, IP and long hexadecimal number goes, equal ones alike over all documents, different ones
     to different ones; the text around all of them stays, but for other entities."""
     from fieldnotes.llm.queries import QUERIES
 
+    sf_dir = "/root/testdata/sf0.01"
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     out = {r["doc_id"]: r["text"] for r in QUERIES["op4_surrogates"](spark, sf_dir).collect()}
     for kind, pattern in PLAIN.items():
