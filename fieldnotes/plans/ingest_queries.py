@@ -152,4 +152,4 @@ def stream_ingest_available_now(spark, sf_dir):
 def stream_dedupe(spark, sf_dir):
     landing = _land_all(spark, sf_dir)
     return streaming.dedupe_stream(spark, landing, scratch_path(spark, "stream-dedupe"),
-                                   scratch_path(spark, "stream-dedupe-ckpt"), P.as_of, max_files_per_trigger=2)
+                                   scratch_path(spark, "stream-dedupe-ckpt"), P.as_of, max_files_per_trigger=64)
