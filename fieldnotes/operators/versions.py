@@ -21,7 +21,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fieldnotes.operators.incremental import table_exists
+
 PART = "_part"
+#: ``rows`` says whether a part has any: their number, or 1.
 VERSIONS = T.StructType([T.StructField("version", T.LongType()), T.StructField("part", T.IntegerType()),
                          T.StructField("rows", T.LongType()), T.StructField("stamp", T.StringType())])
 
@@ -51,29 +54,30 @@ class PartTable:
 
     def versions(self) -> list:
         """(version, part, rows, stamp) of all that was committed."""
-        return read_if_there(self.spark, f"{self.path}/versions", VERSIONS).distinct().collect()
+        return sorted(set(read_if_there(self.spark, f"{self.path}/versions", VERSIONS).collect()), key=lambda v: v.version)
 
     def newest(self) -> dict[int, object]:
         """The newest committed version of every part."""
-        out: dict[int, object] = {}
-        for v in sorted(self.versions(), key=lambda v: v.version):
-            out[v.part] = v
-        return out
+        return {v.part: v for v in self.versions()}
 
     def write(self, df: DataFrame, stamps: dict[int, str] | None = None) -> int:
         """``df`` as the new version of its parts, and of those in ``stamps`` (empty if ``df`` has no row there); returns its number."""
         number = max((v.version for v in self.versions()), default=0) + 1
-        folder = self.folder(number)
-        df.write.mode("overwrite").partitionBy(PART).parquet(folder)
+        self.write_files(df, number)
         schema = T.StructType([*(f for f in df.schema if f.name != PART), T.StructField(PART, T.IntegerType())])
-        counts = self.spark.read.schema(schema).parquet(folder).groupBy(PART).count().collect()  # a row per part
-        stamps = stamps or {}
-        rows = dict.fromkeys(stamps, 0) | {r[0]: r[1] for r in counts}
-        if rows:
-            commit = self.spark.createDataFrame([(number, p, n, stamps.get(p)) for p, n in sorted(rows.items())], VERSIONS)
-            commit.coalesce(1).write.mode("append").parquet(f"{self.path}/versions")
+        counts = self.spark.read.schema(schema).parquet(self.folder(number)).groupBy(PART).count().collect()  # a row per part
+        self.commit(number, dict.fromkeys(stamps or (), 0) | {r[0]: r[1] for r in counts}, stamps or {})
         return number
 
+    def write_files(self, df: DataFrame, number: int) -> None:
+        df.write.mode("overwrite").partitionBy(PART).parquet(self.folder(number))
+
+    def commit(self, number: int, rows: dict[int, int], stamps: dict[int, str]) -> list:
+        made = [(number, p, n, stamps.get(p)) for p, n in sorted(rows.items())]
+        if made:
+            self.spark.createDataFrame(made, VERSIONS).coalesce(1).write.mode("append").parquet(f"{self.path}/versions")
+        return [T.Row(version=v, part=p, rows=n, stamp=s) for v, p, n, s in made]
+
     def folder(self, version: int) -> str:
         return f"{self.path}/data/version={version}"
 
@@ -81,23 +85,29 @@ class PartTable:
         """The rows of ``parts`` (all if None): of their newest versions, or of all versions of a table that only grows."""
         wanted = None if parts is None else set(parts)
         held = self.versions() if every_version else self.newest().values()
-        paths = sorted(f"{self.folder(v.version)}/{PART}={v.part}" for v in held if v.rows and (wanted is None or v.part in wanted))
+        return self.rows_of([v for v in held if wanted is None or v.part in wanted], schema)
+
+    def rows_of(self, held: Iterable, schema: T.StructType) -> DataFrame:
+        paths = sorted(f"{self.folder(v.version)}/{PART}={v.part}" for v in held if v.rows)
         plain = T.StructType([f for f in schema if f.name != PART])
         return self.spark.read.schema(plain).parquet(*paths) if paths else self.spark.createDataFrame([], plain)
 
     def replace(self, df: DataFrame) -> DataFrame:
         """``df`` as the whole table in one part; the stored rows. The version before stays readable, older ones go."""
-        self.write(df.withColumn(PART, F.lit(0)), {0: None})
-        self.vacuum(keep=2)
-        return self.read(df.schema)
-
-    def vacuum(self, keep: int = 1) -> int:
+        held = self.versions()
+        number = max((v.version for v in held), default=0) + 1
+        self.write_files(df.withColumn(PART, F.lit(0)), number)
+        made = self.commit(number, {0: int(table_exists(self.spark, f"{self.folder(number)}/{PART}=0"))}, {})
+        self.vacuum(2, [*held, *made])
+        return self.rows_of(made, df.schema)
+
+    def vacuum(self, keep: int = 1, versions: list | None = None) -> int:
         """Empties the folders of versions that are among the ``keep`` newest of no part; returns how many."""
         held: dict[int, list[int]] = {}
-        for v in sorted(self.versions(), key=lambda v: -v.version):
+        for v in self.versions() if versions is None else versions:
             held.setdefault(v.part, []).append(v.version)
-        known = {v for versions in held.values() for v in versions}
-        old = known - {v for versions in held.values() for v in versions[:keep]} - self.emptied()
+        old = {n for numbers in held.values() for n in numbers} - {n for numbers in held.values() for n in numbers[-keep:]}
+        old = old - self.emptied() if old else old
         for number in sorted(old):
             self.spark.createDataFrame([], "gone int").write.mode("overwrite").parquet(self.folder(number))
         if old:
