@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldnotes.operators.incremental import MONTH, dedupe_by_key, with_month
+from fieldnotes.session import kept
 
 HASHES = 4
 LOG_BITS = 20
@@ -37,12 +38,18 @@ def sketch(rows: DataFrame, key: str = "id", log_bits: int = LOG_BITS) -> DataFr
 
 
 def maybe_stored(batch: DataFrame, words: DataFrame, key: str = "id", log_bits: int = LOG_BITS) -> DataFrame:
-    """Rows of ``batch`` whose key may be in the log: all its bits are set in its month's words."""
-    words = words.groupBy(MONTH, "word").agg(F.bit_or("bits").alias("bits"))
-    asked = batch.select(MONTH, F.col(key).alias("asked"), F.explode(F.array_distinct(places(key, log_bits))).alias("p")).distinct()
-    asked = asked.select(MONTH, "asked", "p.word", "p.bit")
+    """Rows of ``batch`` whose key may be in the log: all its bits are set in its month's words.
+
+    Only words of the batch's months are folded, and only rows of months that have words are
+    asked for. They are asked for by the hash of their key, of which their bits are a function.
+    """
+    months = kept(batch.select(MONTH).distinct(), "months")
+    words = kept(words.join(months, MONTH, "left_semi").groupBy(MONTH, "word").agg(F.bit_or("bits").alias("bits")), "words")
+    batch = batch.join(kept(words.select(MONTH).distinct(), "months"), MONTH, "left_semi")
+    asked = batch.select(MONTH, F.xxhash64(key).alias("asked"), F.explode(F.array_distinct(places(key, log_bits))).alias("p")).select(MONTH, "asked", "p.word", "p.bit")
     missing = asked.join(words, [MONTH, "word"], "left").where(F.coalesce(F.col("bits").bitwiseAND(F.col("bit")), F.lit(0)) == 0)
-    return batch.join(missing.select(MONTH, F.col("asked").alias(key)).distinct(), [MONTH, key], "left_anti")
+    missing = missing.select(F.col(MONTH).alias("_month"), "asked").distinct()
+    return batch.join(missing, (F.col(MONTH) == F.col("_month")) & (F.xxhash64(key) == F.col("asked")), "left_anti")
 
 
 def new_rows(batch: DataFrame, stored: DataFrame, words: DataFrame, key: str = "id", log_bits: int = LOG_BITS) -> DataFrame:
@@ -51,8 +58,9 @@ def new_rows(batch: DataFrame, stored: DataFrame, words: DataFrame, key: str = "
     Rows with a NULL key are new, as in an anti-join. The batch should be a stored table: it is read for the test, then again.
     """
     deduped = with_month(dedupe_by_key(batch, key))
-    maybe = maybe_stored(deduped, words, key, log_bits).select(MONTH, key)
+    maybe = kept(maybe_stored(deduped, words, key, log_bits).select(MONTH, key).where(F.col(key).isNotNull()), "maybe")
     if maybe.isEmpty():
         return deduped.select(*batch.columns)
     known = with_month(stored).select(MONTH, key).join(maybe, [MONTH, key], "left_semi").select(key).distinct()
-    return deduped.join(known, key, "left_anti").select(*batch.columns)
+    asked = deduped.join(maybe, [MONTH, key], "left_semi").join(known, key, "left_anti")
+    return deduped.join(maybe, [MONTH, key], "left_anti").unionByName(asked).select(*batch.columns)

@@ -108,7 +108,7 @@ def agg_count_distinct_merged(spark, sf_dir):
 
 @register("ingest_new_rows_by_sketch", O.sql("SELECT * FROM new_rows", "new_rows"))
 def ingest_new_rows_by_sketch(spark, sf_dir):
-    raw = raw_observations(spark, sf_dir, P)
+    raw = kept(raw_observations(spark, sf_dir, P), "log")
     stored = raw.where(F.col("updated_at") < F.lit(P.first_load_before).cast("timestamp_ntz"))
     fetched = incremental.updated_since(raw, incremental.high_water_mark(stored))
     return membership.new_rows(fetched, stored, membership.sketch(stored))

@@ -4,7 +4,7 @@ New rows touch some taxa; a model row depends on the rows of its own taxon only.
 staged rows and the four models are kept in parts by taxon, and a run
 
 1. stages the new rows that are not stored yet (an anti-join with the touched parts only)
-   and appends them as a version of their parts;
+   and appends them as a version of their parts; the rows are not shuffled for that;
 2. rebuilds the models of the touched parts from the staged rows of those parts, and of
    parts that were last built for another ``as_of``, whose grids end elsewhere;
 3. commits each model with one write. Parts that nothing touched are neither read nor
@@ -21,11 +21,12 @@ import dataclasses
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from fieldnotes.operators import staging
+from fieldnotes.operators import incremental, staging
 from fieldnotes.operators.versions import PART, PartTable, part_of
 from fieldnotes.params import Params
 from fieldnotes.plans.models import Models
 from fieldnotes.schemas import RAW_OBSERVATION
+from fieldnotes.session import kept
 
 #: model name -> Models attribute; each has one taxon per row
 MODELS = {
@@ -53,11 +54,17 @@ class Maintained:
         return df.withColumn(PART, part_of(self.parts, "taxon_id")).hint("rebalance", PART)
 
     def stage(self, raw: DataFrame) -> None:
-        """Appends the rows of ``raw`` that are not staged yet."""
-        new = staging.stage_observations(raw, self.params)
-        touched = [r[0] for r in new.select(part_of(self.parts, "taxon_id")).distinct().collect()]  # at most ``parts`` numbers
-        stored = self.staged.read(new.schema, touched, every_version=True)
-        self.staged.write(self.in_parts(new.join(stored.select("id"), "id", "left_anti").select(*new.columns)))
+        """Appends the rows of ``raw`` that are not staged yet; they go to the files of their parts without a shuffle."""
+        part = part_of(self.parts, "taxon_id")
+        if self.staged.versions():
+            raw = kept(raw, "batch")
+            new = staging.stage_observations(raw, self.params)
+            touched = [r[0] for r in new.select(part).distinct().collect()]  # at most ``parts`` numbers
+            stored = self.staged.read(new.schema, touched, every_version=True)
+            new = new.join(incremental.known_keys(new.select("id"), stored.select("id")), "id", "left_anti").select(*new.columns)
+        else:
+            new = staging.stage_observations(raw, self.params)
+        self.staged.write(new.withColumn(PART, part))
 
     def refresh(self) -> dict[str, list[int]]:
         """Rebuilds what is behind; the parts that were rebuilt, by model."""

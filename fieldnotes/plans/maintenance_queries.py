@@ -12,7 +12,7 @@ from fieldnotes.plans import catalog
 from fieldnotes.plans import oracle as O
 from fieldnotes.plans.base import Query, models, register
 from fieldnotes.plans.maintenance import MODELS, Maintained
-from fieldnotes.session import scratch_path
+from fieldnotes.session import kept, scratch_path
 from fieldnotes.sources.testdata import raw_observations
 
 PARTS = 8
@@ -20,7 +20,7 @@ PARTS = 8
 
 def _maintained(name: str) -> Query:
     def run(spark, sf_dir):
-        raw = raw_observations(spark, sf_dir, P)
+        raw = kept(raw_observations(spark, sf_dir, P), "log")
         stored = incremental.dedupe_by_key(raw.where(F.col("updated_at") < F.lit(P.first_load_before).cast("timestamp_ntz")))
         fetched = incremental.updated_since(raw, incremental.high_water_mark(stored))
         tables = Maintained(spark, scratch_path(spark, "maintained"), P, PARTS, (name,))
