@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldnotes.operators.incremental import table_exists
+from fieldnotes.session import write_folders
 
 PART = "_part"
-OPEN_FILES = 64
 #: ``rows`` says whether a part has any: their number, or 1.
 VERSIONS = T.StructType([T.StructField("version", T.LongType()), T.StructField("part", T.IntegerType()),
                          T.StructField("rows", T.LongType()), T.StructField("stamp", T.StringType())])
@@ -71,13 +71,7 @@ class PartTable:
         return number
 
     def write_files(self, df: DataFrame, number: int) -> None:
-        conf, open_files = self.spark.conf, "spark.sql.maxConcurrentOutputFileWriters"
-        before = conf.get(open_files)
-        conf.set(open_files, str(OPEN_FILES))  # rows of that many parts need no sort by part, which would spill
-        try:
-            df.write.mode("overwrite").option("compression", "zstd").partitionBy(PART).parquet(self.folder(number))
-        finally:
-            conf.set(open_files, before)
+        write_folders(df, self.folder(number), "overwrite", PART)
 
     def commit(self, number: int, rows: dict[int, int], stamps: dict[int, str]) -> list:
         made = [(number, p, n, stamps.get(p)) for p, n in sorted(rows.items())]
