@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldnotes.operators.incremental import MONTH, dedupe_by_key, with_month
-from fieldnotes.session import kept
+from fieldnotes.session import kept, sent
 
 HASHES = 4
 LOG_BITS = 20
@@ -44,10 +44,10 @@ def maybe_stored(batch: DataFrame, words: DataFrame, key: str = "id", log_bits:
     asked for. They are asked for by the hash of their key, of which their bits are a function.
     """
     months = kept(batch.select(MONTH).distinct(), "months")
-    words = kept(words.join(months, MONTH, "left_semi").groupBy(MONTH, "word").agg(F.bit_or("bits").alias("bits")), "words")
-    batch = batch.join(kept(words.select(MONTH).distinct(), "months"), MONTH, "left_semi")
+    words = kept(words.join(sent(months), MONTH, "left_semi").groupBy(MONTH, "word").agg(F.bit_or("bits").alias("bits")), "words")
+    batch = batch.join(sent(kept(words.select(MONTH).distinct(), "months")), MONTH, "left_semi")
     asked = batch.select(MONTH, F.xxhash64(key).alias("asked"), F.explode(F.array_distinct(places(key, log_bits))).alias("p")).select(MONTH, "asked", "p.word", "p.bit")
-    missing = asked.join(words, [MONTH, "word"], "left").where(F.coalesce(F.col("bits").bitwiseAND(F.col("bit")), F.lit(0)) == 0)
+    missing = asked.join(sent(words), [MONTH, "word"], "left").where(F.coalesce(F.col("bits").bitwiseAND(F.col("bit")), F.lit(0)) == 0)
     missing = missing.select(F.col(MONTH).alias("_month"), "asked").distinct()
     return batch.join(missing, (F.col(MONTH) == F.col("_month")) & (F.xxhash64(key) == F.col("asked")), "left_anti")
 
@@ -61,6 +61,7 @@ def new_rows(batch: DataFrame, stored: DataFrame, words: DataFrame, key: str = "
     maybe = kept(maybe_stored(deduped, words, key, log_bits).select(MONTH, key).where(F.col(key).isNotNull()), "maybe")
     if maybe.isEmpty():
         return deduped.select(*batch.columns)
+    maybe = sent(maybe)
     known = with_month(stored).select(MONTH, key).join(maybe, [MONTH, key], "left_semi").select(key).distinct()
     asked = deduped.join(maybe, [MONTH, key], "left_semi").join(known, key, "left_anti")
     return deduped.join(maybe, [MONTH, key], "left_anti").unionByName(asked).select(*batch.columns)
