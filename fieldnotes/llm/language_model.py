@@ -9,17 +9,20 @@ customers of the parent restaurant, the context without its farthest symbol;
 the parent of the empty context is uniform over 256 symbols.
 
 Counts come from all training texts: sequences of CONTEXT + 1 symbols are folded in the
-tasks and summed by Spark, and so grow with the corpus. A restaurant has a dish
-for every sequence seen in at least 2**-``SHARE`` of all places; rarer ones are
-customers of the next shorter context. That is a relative threshold, so a level
-has at most 2**``SHARE`` dishes whatever the size of the corpus, which bounds
-the model that is broadcast. Contexts that end in the same symbol share all
-ancestors but the root, so each such subtree is sampled in a task of its own,
-given the root; between two rounds the root is seated with the tables the
-subtrees report. A sweep removes and seats all customers of a restaurant anew,
-deepest level first, given the parent's predictions; customers of a dish come in
-batches of a tenth of those seated. After ``BURN`` sweeps, ``SAMPLES`` seatings
-are kept and a symbol's probability is the mean of theirs.
+tasks, sent in arrays by bucket and summed there. Every sequence has a dish, however rare,
+so the model grows with the corpus and is a table. Contexts that end in the same two
+symbols share all ancestors but those of at most one symbol, so all such contexts are
+sampled in one task, given the prediction of each symbol by the one before it (at most
+65536 numbers); between two rounds these top restaurants are seated with the tables the
+tasks report. A sweep removes and seats all customers of a restaurant anew, deepest level
+first, given the parent's predictions; customers of a dish come in batches of a tenth of
+those seated. After ``BURN`` sweeps, ``SAMPLES`` seatings are kept and a symbol's
+probability is the mean of theirs. Sequences to be scored that no training text holds are
+dishes without a customer, which change no seating and get the restaurants' prediction.
+
+A text's score is the sum over its sequences. The most frequent ones (at most 2**``HOT``)
+are broadcast with their logarithms, the rest of a text's are joined with the table by
+Spark. Logarithms are whole multiples of 1 / ``UNIT``, so sums do not depend on their order.
 
 The base score needs the count of every word. Words that make up at least
 2**-``HOT`` of all tokens (so at most 2**``HOT`` of them) are broadcast with their
@@ -49,7 +52,7 @@ from fieldnotes.llm.util import Shared, cut, id_hash, slices, table
 CONTEXT = 6
 SYMBOLS = 256
 END = b"\n"  # no byte of a word
-SHARE = 21
+SHARE = 21  # of ``dishes`` alone
 HOT = 21
 DISCOUNT = (0.5, 0.6, 0.7, 0.75, 0.8, 0.8, 0.8)  # by length of the context
 STRENGTH = (10.0, 5.0, 2.0, 1.0, 1.0, 1.0, 1.0)
@@ -58,6 +61,9 @@ BATCH = 0.1
 SEED = 20
 SLICE = 2 << 20  # bytes of text worked on at once
 FOLD = 1 << 18  # distinct words, and sequences by the fourfold, a task holds before it hands their counts on
+BUCKETS = 256  # that sequences are dealt to by the two symbols before the last
+GROUP = 1 << 16  # sequences that are sampled together, about
+UNIT = 1 << 32
 WORDS, GRAMS = 0, 1
 END_WORD = xxhash.xxh64_intdigest(END)
 
@@ -73,42 +79,79 @@ def spelled(words: list[bytes]) -> bytes:
 
 def grams(data: bytes) -> np.ndarray:
     """The sequence of CONTEXT + 1 symbols that ends at each place from CONTEXT on."""
-    a = np.frombuffer(data, np.uint8)
-    n = len(a) - CONTEXT
-    k = np.zeros(n, np.uint64)
-    for j in range(CONTEXT + 1):
-        k <<= np.uint64(8)
-        k |= a[j : j + n]
+    k, have = np.frombuffer(data, np.uint8).astype(np.uint64), 1
+    while have <= CONTEXT:
+        more = min(have, CONTEXT + 1 - have)
+        k = (k[:-more] << np.uint64(8 * more)) | (k[more:] & np.uint64((1 << 8 * more) - 1))
+        have += more
     return k
 
 
+def places(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The sequence that ends at each symbol of the spelled texts, one after another, and the number of symbols of each text."""
+    size = np.array([len(p) for p in parts], np.int64)
+    begin = np.cumsum(size) - size
+    inside = np.ones(size.sum(), bool)
+    for j in range(CONTEXT):
+        inside[begin + j] = False
+    return grams(b"".join(parts))[inside[CONTEXT:]], size - CONTEXT
+
+
+def bucket(key: np.ndarray) -> np.ndarray:
+    """One for all sequences with the same two symbols before the last."""
+    return (((key >> np.uint64(8)) & np.uint64(0xFFFF)) * np.uint64(40503) >> np.uint64(8)).astype(np.uint8)
+
+
+def packed(x: np.ndarray) -> bytes:
+    """64-bit numbers by planes of equal bytes, which compress well."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def unpacked(data: bytes, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(kind).ravel()
+
+
 def signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.astype(np.uint64).view(np.int64))
 
 
-def corpus_counts(texts: DataFrame) -> DataFrame:
-    """(kind, key, n): counts of all words and ends, and of all symbol sequences, of ``texts`` (text)."""
+def corpus_counts(docs: DataFrame, trained: Column | None = None) -> DataFrame:
+    """(kind, key, n): counts of all words and ends, and of all symbol sequences, of the texts of ``docs`` (text).
+
+    With ``trained`` only the rows for which it holds are counted; sequences of other rows alone have n = 0.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def rows(kind: int, key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(key), kind, np.int8)), signed(key), pa.array(n.astype(np.int64))], ["kind", "key", "n"])
+            at = bucket(key)
+            order = np.argsort(at, kind="stable")
+            key, n, ends = key[order], n[order].astype(np.int64), np.append(0, np.cumsum(np.bincount(at, minlength=BUCKETS)))
+            used = [i for i in range(BUCKETS) if ends[i] < ends[i + 1]]
+            parts = [[pa.scalar(packed(x[ends[i] : ends[i + 1]]), pa.binary()) for i in used] for x in (key, n)]
+            return pa.RecordBatch.from_arrays([pa.array([kind] * len(used), pa.int8()), pa.array(used, pa.int32()), *(pa.array(x, pa.binary()) for x in parts)],
+                                              ["kind", "bucket", "keys", "ns"])
 
         def counted_words() -> pa.RecordBatch:
             key = np.fromiter(map(xxhash.xxh64_intdigest, seen), np.uint64, len(seen))
             return rows(WORDS, key, np.fromiter(seen.values(), np.int64, len(seen)))
 
         for b in slices(batches, limit=SLICE):
-            keys = []
-            for t in b.column("text").to_pylist():
+            learnt, other = [], []
+            for t, own in zip(b.column("text").to_pylist(), b.column("trained").to_pylist()):
                 words = words_of(t)
-                seen.update(words)
-                seen[END] += 1
-                keys.append(grams(spelled(words)))
-            held.append(np.unique(np.concatenate(keys), return_counts=True))
-            if len(held) > 3:
+                if own:
+                    seen.update(words)
+                    seen[END] += 1
+                (learnt if own else other).append(spelled(words))
+            if learnt:
+                held.append(np.unique(places(learnt)[0], return_counts=True))
+            if other:
+                key = np.unique(places(other)[0])
+                held.append((key, np.zeros(len(key), np.int64)))
+            if len(held) > 6:
                 held = [folded(held)]
                 if len(held[0][0]) > 4 * FOLD:
                     yield rows(GRAMS, *held.pop())
@@ -120,9 +163,22 @@ def corpus_counts(texts: DataFrame) -> DataFrame:
         if seen:
             yield counted_words()
 
-    counts = texts.select("text").mapInArrow(run, "kind byte, key long, n long")
-    # the tasks have folded their rows: dealt out as they are, without another table of them on the map side
-    return cut(counts.repartition("kind", "key").groupBy("kind", "key").agg(F.sum("n").alias("n")), "lm-counts")
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[int, int], list] = {}  # the sum so far, and parts of at most its size
+        for b in batches:
+            for kind, at, keys, ns in zip(*(c.to_pylist() for c in b.columns)):
+                parts = held.setdefault((kind, at), [])
+                parts.append((unpacked(keys, np.uint64), unpacked(ns, np.int64)))
+                if len(parts) > 4 and sum(len(k) for k, _ in parts[1:]) > len(parts[0][0]):
+                    parts[:] = [folded(parts)]
+        for (kind, _), parts in held.items():
+            key, n = folded(parts)
+            parts.clear()
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), kind, np.int8)), signed(key), pa.array(n)], ["kind", "key", "n"])
+
+    rows = docs.select("text", (F.lit(True) if trained is None else trained).alias("trained"))
+    parts = rows.mapInArrow(run, "kind byte, bucket int, keys binary, ns binary").repartition("kind", "bucket")
+    return cut(parts.mapInArrow(summed, "kind byte, key long, n long"), "lm-counts")
 
 
 def folded(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -134,8 +190,9 @@ def folded(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.n
 
 
 def dishes(grams_: DataFrame, total: int) -> DataFrame:
-    """(level, key, direct, passed): the sequences that have a dish, with the customers that come by no longer context;
-    and with NULL ``direct`` the contexts, with the customers they pass on for want of a dish."""
+    """Which sequences make up 2**-``SHARE`` of all places, for a look at the counts; the model has a dish for every one.
+
+    (level, key, direct, passed): these sequences, with the customers that come by no longer context; and with NULL ``direct`` the contexts, with the customers they pass on for want of a dish."""
     least = max(1, total >> SHARE)
     level, kept = grams_.select("key", "n", F.col("n").alias("direct")), []
     for length in range(CONTEXT, -1, -1):
@@ -160,99 +217,124 @@ def dishes(grams_: DataFrame, total: int) -> DataFrame:
 def seat(customers: np.ndarray, base: np.ndarray, room: np.ndarray, d: float, strength: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     """Tables of each dish after all ``customers`` have sat down; ``room`` is the dish's restaurant, ``base`` its probability
     there, ``strength`` that of each restaurant."""
-    seated = np.zeros(len(customers), np.int64)
-    tables = np.zeros(len(customers), np.int64)
-    in_room = np.zeros(len(strength))
-    left = np.flatnonzero(customers)
+    seated = (customers > 0).astype(np.int64)  # the first customer of each opens a table
+    tables = seated.copy()
+    in_room = np.bincount(room, tables, len(strength))
+    left = np.flatnonzero(customers > 1)
     while len(left):
         n = np.minimum(customers[left] - seated[left], np.maximum(1, (BATCH * seated[left]).astype(np.int64)))
-        new = (strength + d * in_room)[room[left]] * base[left]
+        at = room[left]
+        new = (strength[at] + d * in_room[at]) * base[left]
         old = seated[left] - d * tables[left]
-        opened = np.where(seated[left] == 0, 1, rng.binomial(n, new / np.maximum(new + old, 1e-300)))
+        p = new / np.maximum(new + old, 1e-300)
+        opened = (rng.random(len(left)) < p).astype(np.int64)
+        more = np.flatnonzero(n > 1)
+        opened[more] = rng.binomial(n[more], p[more])
         tables[left] += opened
-        in_room += np.bincount(room[left], opened, len(strength))
+        some = np.flatnonzero(opened)
+        np.add.at(in_room, at[some], opened[some].astype(np.float64))
         seated[left] += n
         left = left[seated[left] < customers[left]]
     return tables
 
 
-class Tree:
-    """The restaurants of the contexts that end in one symbol, by length of the context."""
-
-    def __init__(self, level: np.ndarray, key: np.ndarray, direct: np.ndarray, passed: np.ndarray) -> None:
-        self.keys, self.direct, self.rooms, self.contexts, self.parent, self.strength = {}, {}, {}, {}, {}, {}
-        for m in range(1, CONTEXT + 1):
-            own = (level == m) & (passed == 0)
-            order = np.argsort(key[own])
-            self.keys[m], self.direct[m] = key[own][order], direct[own][order]
-            self.contexts[m], self.rooms[m] = np.unique(self.keys[m] >> np.uint64(8), return_inverse=True)
-            # customers passed on have each opened a table of the parent's choice
-            self.strength[m] = np.full(len(self.contexts[m]), STRENGTH[m])
-            rare = (level == m) & (passed > 0)
-            self.strength[m][np.searchsorted(self.contexts[m], key[rare])] += passed[rare]
-            short = self.keys[m] & np.uint64((1 << 8 * m) - 1)
-            self.parent[m] = short.astype(np.int64) if m == 1 else np.searchsorted(self.keys[m - 1], short)
-        self.tables = {m: np.ones(len(k), np.int64) for m, k in self.keys.items()}
-        self.predict_all(np.full(SYMBOLS, 1 / SYMBOLS))
+def symbols(n: int) -> np.uint64:
+    """Mask of the last ``n`` symbols of a sequence."""
+    return np.uint64((1 << 8 * n) - 1)
+
+
+class Forest:
+    """The restaurants of contexts of two symbols and more, by length, of sorted sequences ``key`` with ``n`` customers each.
+
+    All sequences of a context's last two symbols belong together; ``above`` is the probability of every symbol after every one.
+    """
+
+    def __init__(self, key: np.ndarray, n: np.ndarray, above: np.ndarray) -> None:
+        self.keys, self.parent, self.rooms, self.strength, self.direct = {CONTEXT: key}, {}, {}, {}, n
+        for m in range(CONTEXT - 1, 1, -1):
+            self.keys[m], self.parent[m + 1] = np.unique(self.keys[m + 1] & symbols(m + 1), return_inverse=True)
+        self.parent[2] = (self.keys[2] & symbols(2)).astype(np.int64)
+        for m, k in self.keys.items():
+            context = k >> np.uint64(8)
+            self.rooms[m] = np.cumsum(np.append(False, context[1:] != context[:-1])[: len(k)])
+            self.strength[m] = np.full(self.rooms[m][-1] + 1 if len(k) else 0, STRENGTH[m])
+        self.tables = {CONTEXT: (n > 0).astype(np.int64)}
+        for m in range(CONTEXT - 1, 1, -1):
+            self.tables[m] = (self.customers(m) > 0).astype(np.int64)
+        self.predict_all(above)
 
     def customers(self, m: int) -> np.ndarray:
-        n = self.direct[m]
-        if m < CONTEXT:
-            n = n + np.bincount(self.parent[m + 1], self.tables[m + 1], len(n)).astype(np.int64)
-        return n
-
-    def predict_all(self, root: np.ndarray) -> None:
-        """Probability of every dish in its restaurant, and what each restaurant leaves to its parent."""
-        self.probability, self.backoff = {0: root}, {}
-        for m in range(1, CONTEXT + 1):
-            c, t, room, n = self.customers(m), self.tables[m], self.rooms[m], len(self.contexts[m])
-            of_room, in_room = np.bincount(room, c, n), np.bincount(room, t, n)
-            d, s = DISCOUNT[m], self.strength[m]
-            self.backoff[m] = (s + d * in_room) / (s + of_room)
-            above = self.probability[m - 1][self.parent[m]]
-            self.probability[m] = np.maximum(c - d * t, 0) / (s + of_room)[room] + self.backoff[m][room] * above
-
-    def sweep(self, root: np.ndarray, rng: np.random.Generator) -> None:
-        for m in range(CONTEXT, 0, -1):
-            above = self.probability[m - 1][self.parent[m]]
-            self.tables[m] = seat(self.customers(m), above, self.rooms[m], DISCOUNT[m], self.strength[m], rng)
-        self.predict_all(root)
-
-
-def sample_trees(dishes_: DataFrame, root: np.ndarray, sweeps: int, keep: int) -> DataFrame:
-    """Gibbs sampling of every subtree: (kind, level, key, values). Kinds: a dish's probabilities and a context's share for its
-    parent in the ``keep`` last sweeps, and a symbol's tables in the subtree's top restaurant."""
-    schema = "kind string, level int, key long, values array<float>"
+        if m == CONTEXT:
+            return self.direct
+        return np.bincount(self.parent[m + 1], self.tables[m + 1], len(self.keys[m])).astype(np.int64)
+
+    def predict_all(self, above: np.ndarray) -> None:
+        """Probability of every dish in its restaurant."""
+        self.probability = {1: above}
+        for m in range(2, CONTEXT + 1):
+            self.probability[m] = predicted(self.customers(m), self.tables[m], self.rooms[m], DISCOUNT[m], self.strength[m], self.probability[m - 1][self.parent[m]])
+
+    def sweep(self, above: np.ndarray, rng: np.random.Generator) -> None:
+        for m in range(CONTEXT, 1, -1):
+            base = self.probability[m - 1][self.parent[m]]
+            self.tables[m] = seat(self.customers(m), base, self.rooms[m], DISCOUNT[m], self.strength[m], rng)
+        self.predict_all(above)
+
+
+def predicted(customers: np.ndarray, tables: np.ndarray, room: np.ndarray, d: float, strength: np.ndarray, above: np.ndarray) -> np.ndarray:
+    """Probability of dishes by their customers and tables, and their probability ``above``."""
+    n = len(strength)
+    of_room, in_room = np.bincount(room, customers, n), np.bincount(room, tables, n)
+    share = (strength + d * in_room) / (strength + of_room)
+    return np.maximum(customers - d * tables, 0) / (strength + of_room)[room] + share[room] * above
+
+
+def seated_top(customers: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Probability of every symbol after every one, by the ``customers`` of these 65536 dishes."""
+    pair = np.arange(SYMBOLS * SYMBOLS)
+    room, symbol, uniform = pair // SYMBOLS, pair % SYMBOLS, np.full(SYMBOLS, 1 / SYMBOLS)
+    strength, one, top = np.full(SYMBOLS, STRENGTH[1]), np.zeros(SYMBOLS, np.int64), np.full(1, STRENGTH[0])
+    tables = (customers > 0).astype(np.int64)
+    for _ in range(BURN):
+        below = np.bincount(symbol, tables, SYMBOLS).astype(np.int64)
+        root = predicted(below, seat(below, uniform, one, DISCOUNT[0], top, rng), one, DISCOUNT[0], top, uniform)
+        tables = seat(customers, root[symbol], room, DISCOUNT[1], strength, rng)
+    return predicted(customers, tables, room, DISCOUNT[1], strength, root[symbol])
+
+
+def sampled(sequences: DataFrame, groups: int, above: np.ndarray, sweeps: int, keep: int) -> DataFrame:
+    """Gibbs sampling of the restaurants of all ``sequences`` (key, n): (key, n, log), log10 of the mean probability of the
+    ``keep`` last sweeps times UNIT; without ``keep`` (key, n, 0), the tables of each pair of symbols."""
+    shared = Shared(sequences.sparkSession, above)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = list(batches)
         if not held:
             return
         t = pa.Table.from_batches(held)
-        top, level, key, direct, passed = (t.column(c).to_numpy().astype(np.int64) for c in ("top", "level", "key", "direct", "passed"))
-        for symbol in np.unique(top):
-            own = top == symbol
-            rng = np.random.default_rng([SEED, int(symbol)])
-            tree = Tree(level[own], key[own].view(np.uint64), direct[own], passed[own])
-            tree.predict_all(root)
-            kept = []
+        held.clear()
+        keys, ns, above = t.column("key").to_numpy().view(np.uint64), t.column("n").to_numpy(), shared.value
+        group = bucket(keys) % groups
+        for g in np.unique(group):
+            own = np.flatnonzero(group == g)
+            own = own[np.argsort(keys[own])]
+            rng = np.random.default_rng([SEED, int(g)])
+            forest = Forest(keys[own], ns[own], above)
+            p = np.zeros(len(own))
             for i in range(sweeps):
-                tree.sweep(root, rng)
+                forest.sweep(above, rng)
                 if i >= sweeps - keep:
-                    kept.append((tree.probability, tree.backoff))
-
-            def rows(kind: str, level: int, keys: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1, dtype=np.int32) * values.shape[1]), pa.array(values.astype(np.float32).ravel()))
-                return pa.RecordBatch.from_arrays([pa.array([kind] * len(keys), pa.string()), pa.array(np.full(len(keys), level, np.int32)), signed(keys), lists],
-                                                  ["kind", "level", "key", "values"])
-
-            for m in range(1, CONTEXT + 1) if keep else ():
-                yield rows("dish", m, tree.keys[m], np.stack([p[m] for p, _ in kept], axis=1))
-                yield rows("context", m, tree.contexts[m], np.stack([b[m] for _, b in kept], axis=1))
-            yield rows("tables", 0, tree.keys[1] & np.uint64(255), tree.tables[1][:, None].astype(np.float64))
+                    p += forest.probability[CONTEXT]
+            if keep:
+                out = keys[own], ns[own], np.rint(np.log10(p / keep) * UNIT).astype(np.int64)
+            else:
+                n = np.bincount(forest.parent[2], forest.tables[2], SYMBOLS * SYMBOLS).astype(np.int64)
+                out = np.flatnonzero(n).astype(np.uint64), n[n > 0], np.zeros(np.count_nonzero(n), np.int64)
+            yield pa.RecordBatch.from_arrays([signed(out[0]), pa.array(out[1]), pa.array(out[2])], ["key", "n", "log"])
 
-    nearest = F.when(F.col("direct").isNull(), F.col("key")).otherwise(F.shiftright("key", 8)).bitwiseAND(F.lit(255)).alias("top")
-    return dishes_.where("level > 0").select(nearest, "level", "key", F.coalesce("direct", F.lit(0)).alias("direct"), F.coalesce("passed", F.lit(0)).alias("passed")).repartition("top").mapInArrow(run, schema)
+    # as ``bucket``
+    group = F.shiftright(F.shiftright("key", 8).bitwiseAND(F.lit(0xFFFF)) * 40503, 8).bitwiseAND(F.lit(groups - 1)).alias("g")
+    return sequences.select("key", "n", group).repartition("g").select("key", "n").mapInArrow(run, "key long, n long, log long")
 
 
 class Lookup:
@@ -290,76 +372,76 @@ class Lookup:
 
 
 class Model:
-    """Averaged predictions: log10 probability of every symbol given the ones before it."""
-
-    def __init__(self, root: np.ndarray, rows: DataFrame) -> None:
-        self.root, self.dish, self.context = root, {}, {}
-        for m in range(1, CONTEXT + 1):
-            for name, store in (("dish", self.dish), ("context", self.context)):
-                own = rows.where((F.col("kind") == name) & (F.col("level") == m)).select("key", "values").toArrow()  # at most 2**SHARE rows
-                values = own.column("values").combine_chunks().flatten().to_numpy().reshape(-1, SAMPLES)
-                store[m] = (Lookup(own.column("key").to_numpy().astype(np.int64).view(np.uint64)), values)
-        known = self.dish[CONTEXT][1]
-        self.log = np.log10(known.mean(axis=1, dtype=np.float64)).astype(np.float32) if len(known) else np.empty(0, np.float32)
+    """The sequences (key, n) with their customers, and the probability of every symbol after every one."""
+
+    def __init__(self, sequences: DataFrame, groups: int, above: np.ndarray) -> None:
+        self.sequences, self.groups, self.above = sequences, groups, above
+
+    def table(self, asked: DataFrame | None = None) -> DataFrame:
+        """(key, n, log) of all sequences, those ``asked`` for (key) too: log10 times UNIT of the probability of the last symbol after the others."""
+        rows = self.sequences
+        if asked is not None:
+            rows = rows.unionByName(asked.select("key", F.lit(0).cast("long").alias("n"))).groupBy("key").agg(F.sum("n").alias("n"))
+        return cut(sampled(rows, self.groups, self.above, BURN + SAMPLES, SAMPLES), "lm-model")
 
     def log10(self, keys: np.ndarray) -> np.ndarray:
-        """Of the last symbol of each sequence."""
-        at = self.dish[CONTEXT][0].find(keys)
-        out = np.empty(len(keys))
-        known = at >= 0
-        out[known] = self.log[at[known]]
-        rest = keys[~known]
-        if len(rest):
-            rest, back = np.unique(rest, return_inverse=True)
-            p = np.repeat(self.root[(rest & np.uint64(255)).astype(np.int64)][:, None], SAMPLES, axis=1)
-            for m in range(1, CONTEXT + 1):
-                short = rest & np.uint64((1 << 8 * (m + 1)) - 1)
-                dish = self.dish[m][0].find(short)
-                room = self.context[m][0].find(short >> np.uint64(8))
-                p = np.where((room >= 0)[:, None], self.context[m][1][room] * p, p) if len(self.context[m][1]) else p
-                if len(self.dish[m][1]):
-                    p = np.where((dish >= 0)[:, None], self.dish[m][1][dish], p)
-            out[~known] = np.log10(p.mean(axis=1))[back]
-        return out
+        """Of the last symbol of each sequence; for a look at a few."""
+        asked = self.sequences.sparkSession.createDataFrame(pa.table({"key": signed(keys)}))
+        found = self.table(asked).join(asked.distinct(), "key", "left_semi").toArrow()  # at most the sequences asked for
+        log = dict(zip(found.column("key").to_pylist(), found.column("log").to_pylist()))
+        return np.array([log[k] for k in signed(keys).to_pylist()]) / UNIT
+
+
+def pairs(rows: DataFrame) -> np.ndarray:
+    """Customers ``n`` of every pair of symbols by the rows (key, n)."""
+    found = rows.groupBy("key").agg(F.sum("n").alias("n")).toArrow()  # at most 65536 rows
+    out = np.zeros(SYMBOLS * SYMBOLS, np.int64)
+    out[found.column("key").to_numpy()] = found.column("n").to_numpy()
+    return out
 
 
 def train(counts: DataFrame) -> Model:
     """The model of ``corpus_counts``."""
     sequences = counts.where(F.col("kind") == GRAMS).select("key", "n")
-    total = sequences.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    known = dishes(sequences, total)
-    first = known.where("level = 0").toArrow()  # at most 256 rows
-    root = np.full(SYMBOLS, 1 / SYMBOLS)
+    customers = sequences.where("n > 0")
+    # a power of two, and no more than there are buckets
+    groups = min(BUCKETS, 1 << (customers.count() // GROUP).bit_length())
     rng = np.random.default_rng([SEED, SYMBOLS])
-    if first.num_rows:
-        top = known.where("level = 1").groupBy(F.col("key").bitwiseAND(F.lit(255)).alias("key")).agg(F.count("*").alias("n")).toArrow()
-        seen = np.ones(SYMBOLS)
-        seen[top.column("key").to_numpy()] += top.column("n").to_numpy()
-        root = seen / seen.sum()
-        for _ in range(ROUNDS - 1):
-            tables = sample_trees(known, root, BURN, 0).where("kind = 'tables'").groupBy("key").agg(F.sum(F.col("values")[0]).alias("n")).toArrow()
-            customers = np.zeros(SYMBOLS, np.int64)
-            customers[tables.column("key").to_numpy()] = tables.column("n").to_numpy().astype(np.int64)
-            t = seat(customers, np.full(SYMBOLS, 1 / SYMBOLS), np.zeros(SYMBOLS, np.int64), DISCOUNT[0], np.full(1, STRENGTH[0]), rng)
-            d, s = DISCOUNT[0], STRENGTH[0]
-            root = (np.maximum(customers - d * t, 0) + (s + d * t.sum()) / SYMBOLS) / (s + customers.sum())
-    rows = cut(sample_trees(known, root, BURN + SAMPLES, SAMPLES).where("kind <> 'tables'"), "lm-model")
-    return Model(root, rows)
-
-
-def scores(docs: DataFrame, counts: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_tokens, n_known, train_tokens, base_score and score of every row."""
+    kinds = customers.select(F.col("key").bitwiseAND(F.lit((1 << 24) - 1)).alias("key")).distinct()
+    above = seated_top(pairs(kinds.select(F.col("key").bitwiseAND(F.lit(0xFFFF)).alias("key"), F.lit(1).alias("n"))), rng)
+    for _ in range(ROUNDS - 1):
+        above = seated_top(pairs(sampled(customers, groups, above, BURN, 0)), rng)
+    return Model(sequences, groups, above)
+
+
+def scores(docs: DataFrame, counts: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text", counted: bool = False) -> DataFrame:
+    """doc_id, n_tokens, n_known, train_tokens, base_score and score of every row; ``counted``: the counts list all sequences of ``docs``."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    asked = None if counted else corpus_counts(rows, F.lit(False)).where(F.col("kind") == GRAMS).select("key")
+    values = model.table(asked).withColumn("size", F.when(F.col("n") > 0, F.floor(F.log2("n"))).otherwise(-1))
+    left, least = 1 << HOT, 64
+    for size, n in sorted(values.where("size >= 0").groupBy("size").count().collect(), reverse=True):  # at most 63 rows
+        left -= n
+        if left < 0:
+            break
+        least = size
+    frequent = values.where(F.col("size") >= least).select("key", "log").toArrow()  # at most 2**HOT rows
     vocabulary = counts.where(F.col("kind") == WORDS).select("key", "n")
     n_all, n_kinds = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     hot = vocabulary.where(F.col("n") * (1 << HOT) >= n_all).toArrow()  # at most 2**HOT rows
     below = n_all + 0.1 * (n_kinds + 1)
-    shared = Shared(
-        docs.sparkSession, (model, Lookup(hot.column("key").to_numpy().astype(np.int64).view(np.uint64)), np.log10((hot.column("n").to_numpy() + 0.1) / below)))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    names = ["row", "doc_id", "n_tokens", "n_hot", "base_hot", "score", "cold"]
+    unsigned = lambda t: t.column("key").to_numpy().astype(np.int64).view(np.uint64)
+    shared = Shared(docs.sparkSession, (
+        Lookup(unsigned(frequent)), frequent.column("log").to_numpy(), Lookup(unsigned(hot)), np.log10((hot.column("n").to_numpy() + 0.1) / below)))
+    names = ["row", "doc_id", "n_tokens", "n_hot", "base_hot", "score_hot", "cold"]
+
+    def cold_entries(kind: int, key: np.ndarray, of: np.ndarray, each: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(text, kind, key, times) of the keys ``each`` of the texts ``of``."""
+        pair, times = np.unique(of * max(1, len(key)) + each, return_counts=True)
+        return pair // max(1, len(key)), np.full(len(pair), kind, np.int8), key[pair % max(1, len(key))], times
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lm, known, value = shared.value
+        sequences, log, known, value = shared.value
         row = TaskContext.get().partitionId() << 33
         for b in slices(batches, limit=SLICE):
             kinds: dict[bytes, int] = {}
@@ -368,14 +450,16 @@ def scores(docs: DataFrame, counts: DataFrame, model: Model, *, id_col: str = "d
                 words = [*words_of(t), END]
                 ids.append(np.fromiter((kinds.setdefault(w, len(kinds)) for w in words), np.int64, len(words)))
                 parts.append(spelled(words[:-1]))
-            # the symbols of all texts, without the padding
-            size = np.array([len(p) for p in parts], np.int64)
-            begin = np.cumsum(size) - size
-            log = np.concatenate([np.zeros(CONTEXT), lm.log10(grams(b"".join(parts)))])
-            for j in range(CONTEXT):
-                log[begin + j] = 0
-            score = np.add.reduceat(log, begin)
-            # words by their count, the rare ones to be joined
+            # sequences by their frequency, the rare ones to be joined
+            key, size = places(parts)
+            at = sequences.find(key)
+            rare = np.flatnonzero(at < 0)
+            found = log[at] if len(log) else np.zeros(len(at), np.int64)
+            found[rare] = 0
+            score = np.add.reduceat(found, np.cumsum(size) - size)
+            rare_keys, which = np.unique(key[rare], return_inverse=True)
+            entries = [cold_entries(GRAMS, rare_keys, np.searchsorted(np.cumsum(size), rare, "right"), which)]
+            # words likewise
             key = np.fromiter(map(xxhash.xxh64_intdigest, kinds), np.uint64, len(kinds))
             at = known.find(key)
             each = np.concatenate(ids)
@@ -384,25 +468,32 @@ def scores(docs: DataFrame, counts: DataFrame, model: Model, *, id_col: str = "d
             is_hot = at >= 0
             base = np.add.reduceat(np.where(is_hot[each], value[at[each]] if len(value) else 0.0, 0.0), begin)
             n_hot = np.add.reduceat(is_hot[each].astype(np.int64), begin)
-            of = np.repeat(np.arange(len(n)), n)
             cold = ~is_hot[each]
-            pair, times = np.unique(of[cold] * len(kinds) + each[cold], return_counts=True)
-            ends = np.searchsorted(pair // max(1, len(kinds)), np.arange(len(n) + 1)).astype(np.int32)
-            entry = pa.StructArray.from_arrays([signed(key[pair % max(1, len(kinds))]), pa.array(times.astype(np.int64))], ["key", "times"])
+            entries.append(cold_entries(WORDS, key, np.repeat(np.arange(len(n)), n)[cold], each[cold]))
+            text, kind, key, times = (np.concatenate(x) for x in zip(*entries))
+            order = np.argsort(text, kind="stable")
+            ends = np.searchsorted(text[order], np.arange(len(n) + 1)).astype(np.int32)
+            entry = pa.StructArray.from_arrays([pa.array(kind[order]), signed(key[order]), pa.array(times[order].astype(np.int64))], ["kind", "key", "times"])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(row + np.arange(len(n))), b.column("doc_id"), pa.array(n), pa.array(n_hot), pa.array(base), pa.array(score),
                  pa.ListArray.from_arrays(pa.array(ends), entry)], names)
             row += len(n)
 
-    schema = (f"row long, doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_tokens long, n_hot long, base_hot double, score double, "
-              "cold array<struct<key:long,times:long>>")
+    schema = (f"row long, doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_tokens long, n_hot long, base_hot double, score_hot long, "
+              "cold array<struct<kind:byte,key:long,times:long>>")
     scored = cut(rows.mapInArrow(run, schema), "lm-scored")
-    rare = scored.select("row", F.explode("cold").alias("c")).select("row", "c.key", "c.times").join(vocabulary, "key", "left")
-    log = F.log10((F.coalesce("n", F.lit(0)) + 0.1) / F.lit(below))
-    rare = rare.groupBy("row").agg(F.sum(F.col("times") * log).alias("base_cold"), F.sum(F.when(F.col("n") > 0, F.col("times"))).alias("n_cold"))
+    words = vocabulary.select(F.lit(WORDS).cast("byte").alias("kind"), "key", F.col("n").alias("value"))
+    rest = values.where(F.col("size") < least).select(F.lit(GRAMS).cast("byte").alias("kind"), "key", F.col("log").alias("value"))
+    rare = scored.select("row", F.explode("cold").alias("c")).select("row", "c.*").join(words.unionByName(rest), ["kind", "key"], "left")
+    a_word = F.col("kind") == WORDS
+    log = F.log10((F.coalesce("value", F.lit(0)) + 0.1) / F.lit(below))
+    rare = rare.groupBy("row").agg(
+        F.sum(F.when(a_word, F.col("times") * log)).alias("base_cold"), F.sum(F.when(a_word & (F.col("value") > 0), F.col("times"))).alias("n_cold"),
+        F.sum(F.when(~a_word, F.col("times") * F.col("value"))).alias("score_cold"))
     return scored.drop("cold").join(rare, "row", "left").select(
         "doc_id", "n_tokens", (F.col("n_hot") + F.coalesce("n_cold", F.lit(0))).alias("n_known"), F.lit(n_all).cast("long").alias("train_tokens"),
-        (F.col("base_hot") + F.coalesce("base_cold", F.lit(0.0))).alias("base_score"), "score")
+        (F.col("base_hot") + F.coalesce("base_cold", F.lit(0.0))).alias("base_score"),
+        ((F.col("score_hot") + F.coalesce("score_cold", F.lit(0))) / UNIT).alias("score"))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -411,6 +502,6 @@ def held_out(doc_id: Column) -> Column:
 
 def op10_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    counts = corpus_counts(docs.where(~held_out(F.col("doc_id"))).select("text"))
-    found = scores(docs, counts, train(counts))
+    counts = corpus_counts(docs, ~held_out(F.col("doc_id")))
+    found = scores(docs, counts, train(counts), counted=True)
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

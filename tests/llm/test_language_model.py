@@ -102,3 +102,29 @@ def test_lookup():
     found = lm.Lookup(keys)
     assert (found.find(keys) == np.arange(len(keys))).all() and (found.find(keys + np.uint64(2**63)) == -1).all()
     assert (lm.Lookup(keys[:0]).find(keys) == -1).all()
+
+
+def test_rare_sequences_have_dishes(spark, monkeypatch):
+    """However rare and whatever the threshold of ``dishes``, a sequence that was seen is predicted by its own context."""
+    monkeypatch.setattr(lm, "SHARE", 4)
+    monkeypatch.setattr(lm, "HOT", 3)  # most sequences are joined
+    monkeypatch.setattr(lm, "GROUP", 8)
+    texts = ["the cat sat on the mat"] * 300 + ["quartz"]
+    counts, model = trained(spark, texts)
+    seen = np.array([int.from_bytes(b"quartz "[:7], "big"), int.from_bytes(b"quartzx", "big")], np.uint64)
+    p = 10 ** model.log10(seen)
+    assert p[0] > 0.2 > 0.01 > p[1]
+    docs = spark.createDataFrame([(1, "quartz"), (2, "the cat"), (3, "zzz quartz")], "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in lm.scores(docs, counts, model).collect()}
+    for i, t in docs.collect():
+        want = model.log10(lm.places([lm.spelled(lm.words_of(t))])[0]).sum()
+        assert math.isclose(got[i], want, abs_tol=1e-6)
+
+
+def test_sequences_of_other_texts_change_no_seating(spark):
+    docs = spark.createDataFrame([(1, "the cat sat on the mat"), (2, "one dog and another dog"), (3, None)], "doc_id long, text string")
+    some = lm.corpus_counts(docs.where("doc_id <> 2").select("text"))
+    every = lm.corpus_counts(docs, lm.F.col("doc_id") != 2)
+    assert sorted(map(tuple, every.where("n > 0").collect())) == sorted(map(tuple, some.collect())) and every.where("n = 0").count() > 0
+    one = lm.scores(docs, some, lm.train(some)).orderBy("doc_id").collect()
+    assert one == lm.scores(docs, every, lm.train(every), counted=True).orderBy("doc_id").collect()
