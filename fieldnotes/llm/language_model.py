@@ -20,8 +20,8 @@ those seated. After ``BURN`` sweeps, ``SAMPLES`` seatings are kept and a symbol'
 probability is the mean of theirs. Sequences to be scored that no training text holds are
 dishes without a customer, which change no seating and get the restaurants' prediction.
 
-A text's score is the sum over its sequences. The most frequent ones (at most 2**``HOT``)
-are broadcast with their logarithms, the rest of a text's are joined with the table by
+A text's score is the sum over its sequences. The most frequent ones (at most
+2**``FREQUENT``) are broadcast with their logarithms, the rest of a text's are joined with the table by
 Spark. Logarithms are whole multiples of 1 / ``UNIT``, so sums do not depend on their order.
 
 The base score needs the count of every word. Words that make up at least
@@ -53,16 +53,18 @@ CONTEXT = 6
 SYMBOLS = 256
 END = b"\n"  # no byte of a word
 SHARE = 21  # of ``dishes`` alone
-HOT = 21
+HOT = 21  # words
+FREQUENT = 20  # sequences
 DISCOUNT = (0.5, 0.6, 0.7, 0.75, 0.8, 0.8, 0.8)  # by length of the context
 STRENGTH = (10.0, 5.0, 2.0, 1.0, 1.0, 1.0, 1.0)
 ROUNDS, BURN, SAMPLES = 2, 2, 3
 BATCH = 0.1
 SEED = 20
-SLICE = 2 << 20  # bytes of text worked on at once
+SLICE = 1 << 20  # bytes of text worked on at once
 FOLD = 1 << 18  # distinct words, and sequences by the fourfold, a task holds before it hands their counts on
 BUCKETS = 256  # that sequences are dealt to by the two symbols before the last
 GROUP = 1 << 16  # sequences that are sampled together, about
+BATCH_BYTES = 16 << 20  # of arrays that a task gets at once
 UNIT = 1 << 32
 WORDS, GRAMS = 0, 1
 END_WORD = xxhash.xxh64_intdigest(END)
@@ -151,7 +153,7 @@ def corpus_counts(docs: DataFrame, trained: Column | None = None) -> DataFrame:
             if other:
                 key = np.unique(places(other)[0])
                 held.append((key, np.zeros(len(key), np.int64)))
-            if len(held) > 6:
+            if len(held) > 8:
                 held = [folded(held)]
                 if len(held[0][0]) > 4 * FOLD:
                     yield rows(GRAMS, *held.pop())
@@ -178,7 +180,13 @@ def corpus_counts(docs: DataFrame, trained: Column | None = None) -> DataFrame:
 
     rows = docs.select("text", (F.lit(True) if trained is None else trained).alias("trained"))
     parts = rows.mapInArrow(run, "kind byte, bucket int, keys binary, ns binary").repartition("kind", "bucket")
-    return cut(parts.mapInArrow(summed, "kind byte, key long, n long"), "lm-counts")
+    conf, most = docs.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = conf.get(most)
+    conf.set(most, str(BATCH_BYTES))  # a row of arrays is large
+    try:
+        return cut(parts.mapInArrow(summed, "kind byte, key long, n long"), "lm-counts")
+    finally:
+        conf.set(most, before)
 
 
 def folded(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -419,13 +427,13 @@ def scores(docs: DataFrame, counts: DataFrame, model: Model, *, id_col: str = "d
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     asked = None if counted else corpus_counts(rows, F.lit(False)).where(F.col("kind") == GRAMS).select("key")
     values = model.table(asked).withColumn("size", F.when(F.col("n") > 0, F.floor(F.log2("n"))).otherwise(-1))
-    left, least = 1 << HOT, 64
+    left, least = 1 << FREQUENT, 64
     for size, n in sorted(values.where("size >= 0").groupBy("size").count().collect(), reverse=True):  # at most 63 rows
         left -= n
         if left < 0:
             break
         least = size
-    frequent = values.where(F.col("size") >= least).select("key", "log").toArrow()  # at most 2**HOT rows
+    frequent = values.where(F.col("size") >= least).select("key", "log").toArrow()  # at most 2**FREQUENT rows
     vocabulary = counts.where(F.col("kind") == WORDS).select("key", "n")
     n_all, n_kinds = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     hot = vocabulary.where(F.col("n") * (1 << HOT) >= n_all).toArrow()  # at most 2**HOT rows

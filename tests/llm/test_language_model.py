@@ -107,7 +107,7 @@ def test_lookup():
 def test_rare_sequences_have_dishes(spark, monkeypatch):
     """However rare and whatever the threshold of ``dishes``, a sequence that was seen is predicted by its own context."""
     monkeypatch.setattr(lm, "SHARE", 4)
-    monkeypatch.setattr(lm, "HOT", 3)  # most sequences are joined
+    monkeypatch.setattr(lm, "FREQUENT", 3)  # most sequences are joined
     monkeypatch.setattr(lm, "GROUP", 8)
     texts = ["the cat sat on the mat"] * 300 + ["quartz"]
     counts, model = trained(spark, texts)
