@@ -374,7 +374,8 @@ class Model:
         ends = np.append(0, np.cumsum(many))[np.cumsum([0, *map(len, chunks)])]  # pieces before the end of each text
         chars, is_byte, inner = self.steps
         step = chars[all_ids]
-        step[:-1][inner[all_ids[1:]] & is_byte[all_ids[:-1]]] = 0  # the next piece is a byte of the same character
+        within = np.flatnonzero(inner[all_ids[1:]])
+        step[within[is_byte[all_ids[within]]]] = 0  # the next piece is a byte of the same character
         source = np.concatenate([np.zeros(0, np.int64), *(x for _, x in normal)])
         end = np.cumsum(step) + np.repeat(np.arange(len(texts)), np.diff(ends))  # each text has one place more than characters
         return np.diff(ends), all_ids, source[end - step], source[end]
@@ -385,16 +386,33 @@ class Model:
         return [bytes([int(p[1:-1], 16)]) if kind == BYTE else text.get(kind, lambda p: p.replace(SPACE, " "))(p).encode()
                 for p, kind in zip(self.pieces, self.kinds)]
 
-    def decode(self, ids: list[int]) -> str:
-        """The text of piece ids; bytes that are no UTF-8 become U+FFFD one by one."""
-        contents, lead = self.contents, []
-        if self.dummy or self.remove_extra:  # a space symbol is taken from the front
+    @cached_property
+    def spellings(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes of all pieces, one after another; where each piece's start and how many it has."""
+        size = np.array(list(map(len, self.contents)), np.int64)
+        return np.frombuffer(b"".join(self.contents), np.uint8), np.cumsum(size) - size, size
+
+    def front(self, ids: np.ndarray) -> int:
+        """Bytes that are taken from the front of the text of ``ids``: of space symbols."""
+        taken = 0
+        if self.dummy or self.remove_extra:
             for i in ids:
                 starts = self.kinds[i] == NORMAL and self.pieces[i].startswith(SPACE)
-                lead.append(contents[i][1:] if starts else contents[i])
-                if lead[-1] or starts and not self.remove_extra:
+                taken += starts
+                if len(self.contents[i]) > starts or starts and not self.remove_extra:
                     break
-        return b"".join([*lead, *map(contents.__getitem__, ids[len(lead) :])]).decode("utf-8", "one by one")
+        return taken
+
+    def decode_all(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """The texts of ``ids``, of which each text's lie from one of ``ends`` to the next; bytes that are no UTF-8 become U+FFFD one by one."""
+        contents, start, size = self.spellings
+        data = ragged(contents, start, size, ids).tobytes()
+        at = np.append(0, np.cumsum(size[ids]))[ends].tolist()
+        ends = ends.tolist()
+        return [data[a + self.front(ids[i:j]) : b].decode("utf-8", "one by one") for i, j, a, b in zip(ends, ends[1:], at, at[1:])]
+
+    def decode(self, ids: list[int]) -> str:
+        return self.decode_all(np.array(ids, np.int64), np.array([0, len(ids)]))[0]
 
 
 def one_by_one(error: UnicodeDecodeError) -> tuple[str, int]:
@@ -437,10 +455,12 @@ def with_decoded(rows: DataFrame, model: Model, *, ids_col: str = "ids", name: s
     shared = Shared(rows.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decode = shared.value.decode
+        model = shared.value
         codecs.register_error("one by one", one_by_one)
         for b in (batch.slice(i, ROWS) for batch in batches for i in range(0, batch.num_rows, ROWS)):
-            texts = [decode(ids or []) for ids in b.column(ids_col).to_pylist()]
+            lists = b.column(ids_col)
+            many = pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            texts = model.decode_all(lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.append(0, np.cumsum(many, dtype=np.int64)))
             yield b.append_column(name, pa.array(texts, pa.string()))
 
     return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(name, T.StringType())]))

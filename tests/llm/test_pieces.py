@@ -138,3 +138,12 @@ def test_defined_cases(spark, weird, docs_of):
     assert [tuple(r) for r in pieces.with_decoded(null, MODEL).collect()] == [(None, "x", "")]
     with pytest.raises(ValueError):
         pieces.with_decoded(null, MODEL, name="key")
+
+
+def test_texts_decoded_together_are_those_decoded_alone():
+    """Ids of many texts at once, with empty ones, bytes that are no text and space symbols at the front."""
+    codecs.register_error("one by one", pieces.one_by_one)
+    rng = np.random.default_rng(17)
+    lists = [[], [MODEL.bytes_at[0xE2]], [MODEL.ids["▁"]] * 3, *(rng.integers(0, len(MODEL.pieces), n).tolist() for n in (1, 5, 0, 40)), []]
+    got = MODEL.decode_all(np.array([i for x in lists for i in x]), np.append(0, np.cumsum([len(x) for x in lists])))
+    assert got == [MODEL.decode(x) for x in lists] and got[:3] == ["", "�", LIBRARY.decode(lists[2])]
