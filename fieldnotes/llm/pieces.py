@@ -474,7 +474,7 @@ def op13_offset_pieces(spark: SparkSession, sf_dir: str, model_path: str | None
         model_path = public_tokenizers.path("piece_bpe_32k.model")
     model = model_of(model_path)
     pieces = encode(table(spark, sf_dir, "documents"), model)
-    pieces = with_decoded(pieces.select("doc_id", "ids", F.coalesce(F.element_at("ends", -1), F.lit(0)).cast("long").alias("n_bytes")), model)
+    pieces = with_decoded(pieces.select("doc_id", "ids", F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(0)).cast("long").alias("n_bytes")), model)
     return pieces.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"), "n_bytes")

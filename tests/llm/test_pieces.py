@@ -140,6 +140,13 @@ def test_defined_cases(spark, weird, docs_of):
         pieces.with_decoded(null, MODEL, name="key")
 
 
+def test_null_and_empty_texts_have_rows(spark, tmp_path):
+    rows = [(1, None), (2, ""), (3, "a b")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = pieces.op13_offset_pieces(spark, str(tmp_path)).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_bytes").collect()
+    assert sorted(map(tuple, got)) == [(i, *d) for (i, _), d in zip(rows, digests([t for _, t in rows]))]
+
+
 def test_texts_decoded_together_are_those_decoded_alone():
     """Ids of many texts at once, with empty ones, bytes that are no text and space symbols at the front."""
     codecs.register_error("one by one", pieces.one_by_one)
