@@ -21,8 +21,8 @@ probability is the mean of theirs. Sequences to be scored that no training text
 dishes without a customer, which change no seating and get the restaurants' prediction.
 
 A text's score is the sum over its sequences. The most frequent ones (at most
-2**``FREQUENT``) are broadcast with their logarithms, the rest of a text's are joined with the table by
-Spark. Logarithms are whole multiples of 1 / ``UNIT``, so sums do not depend on their order.
+2**``FREQUENT``) are broadcast with their logarithms; the rest of a text's, packed in arrays by buckets of
+the sequences, meet the table's in a task per bucket, which adds them up by text. Logarithms are whole multiples of 1 / ``UNIT``, so sums do not depend on their order.
 
 The base score needs the count of every word. Words that make up at least
 2**-``HOT`` of all tokens (so at most 2**``HOT`` of them) are broadcast with their
@@ -105,12 +105,29 @@ def bucket(key: np.ndarray) -> np.ndarray:
 
 
 def packed(x: np.ndarray) -> bytes:
-    """64-bit numbers by planes of equal bytes, which compress well."""
-    return np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8).T).tobytes()
+    """64-bit numbers by planes of equal bytes, compressed, behind their number."""
+    planes = np.ascontiguousarray(np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8).T).tobytes()
+    return len(x).to_bytes(8, "little") + pa.compress(planes, "zstd", asbytes=True)
 
 
 def unpacked(data: bytes, kind: type) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(kind).ravel()
+    n = int.from_bytes(data[:8], "little")
+    planes = pa.decompress(data[8:], 8 * n, "zstd", asbytes=True) if n else b""
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view(kind).ravel()
+
+
+def dealt(at: np.ndarray, *columns: np.ndarray) -> list[pa.Array]:
+    """The numbers of the buckets ``at`` that occur, and for each of ``columns`` its packed numbers in each of these."""
+    order = np.argsort(at, kind="stable")
+    ends = np.append(0, np.cumsum(np.bincount(at, minlength=BUCKETS)))
+    used = [i for i in range(BUCKETS) if ends[i] < ends[i + 1]]
+    parts = ([packed(x[ends[i] : ends[i + 1]]) for i in used] for x in (c[order] for c in columns))
+    return [pa.array(used, pa.int32()), *(pa.array(x, pa.binary()) for x in parts)]
+
+
+def spread(key: np.ndarray) -> np.ndarray:
+    """Evenly dealt bucket of each sequence."""
+    return ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(56)).astype(np.uint8)
 
 
 def signed(x: np.ndarray) -> pa.Array:
@@ -128,13 +145,8 @@ def corpus_counts(docs: DataFrame, trained: Column | None = None) -> DataFrame:
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def rows(kind: int, key: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-            at = bucket(key)
-            order = np.argsort(at, kind="stable")
-            key, n, ends = key[order], n[order].astype(np.int64), np.append(0, np.cumsum(np.bincount(at, minlength=BUCKETS)))
-            used = [i for i in range(BUCKETS) if ends[i] < ends[i + 1]]
-            parts = [[pa.scalar(packed(x[ends[i] : ends[i + 1]]), pa.binary()) for i in used] for x in (key, n)]
-            return pa.RecordBatch.from_arrays([pa.array([kind] * len(used), pa.int8()), pa.array(used, pa.int32()), *(pa.array(x, pa.binary()) for x in parts)],
-                                              ["kind", "bucket", "keys", "ns"])
+            used, *parts = dealt(bucket(key), key, n.astype(np.int64))
+            return pa.RecordBatch.from_arrays([pa.array([kind] * len(used), pa.int8()), used, *parts], ["kind", "bucket", "keys", "ns"])
 
         def counted_words() -> pa.RecordBatch:
             key = np.fromiter(map(xxhash.xxh64_intdigest, seen), np.uint64, len(seen))
@@ -180,11 +192,16 @@ def corpus_counts(docs: DataFrame, trained: Column | None = None) -> DataFrame:
 
     rows = docs.select("text", (F.lit(True) if trained is None else trained).alias("trained"))
     parts = rows.mapInArrow(run, "kind byte, bucket int, keys binary, ns binary").repartition("kind", "bucket")
-    conf, most = docs.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    return cut_arrays(parts.mapInArrow(summed, "kind byte, key long, n long"), "lm-counts")
+
+
+def cut_arrays(df: DataFrame, name: str) -> DataFrame:
+    """``cut`` for tasks in Python that get rows of packed arrays, which are large."""
+    conf, most = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
     before = conf.get(most)
-    conf.set(most, str(BATCH_BYTES))  # a row of arrays is large
+    conf.set(most, str(BATCH_BYTES))
     try:
-        return cut(parts.mapInArrow(summed, "kind byte, key long, n long"), "lm-counts")
+        return cut(df, name)
     finally:
         conf.set(most, before)
 
@@ -379,6 +396,71 @@ class Lookup:
         return out
 
 
+def summed_logs(entries: DataFrame, values: DataFrame) -> DataFrame:
+    """(row, score_cold): the sums by row of times * log of the ``entries`` (row, g, keys, texts, times), packed by ``spread``, over the sequences ``values`` (key, log).
+
+    A row of ``entries`` holds numbers of texts that count from its ``row``. Of a bucket the sequences come first; a task holds those of one bucket.
+    """
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> pa.RecordBatch:
+            key, log = (np.concatenate(x) for x in zip(*held))
+            used, keys, logs = dealt(spread(key), key, log)
+            return pa.RecordBatch.from_arrays([pa.array([-1] * len(used), pa.int64()), used, keys, logs, pa.array([b""] * len(used), pa.binary())], names)
+
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for b in batches:
+            if b.num_rows:
+                held.append((b.column("key").to_numpy().view(np.uint64), b.column("log").to_numpy()))
+            if sum(len(k) for k, _ in held) > 4 * FOLD:
+                yield rows()
+                held.clear()
+        if held:
+            yield rows()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}  # by the first text of an array
+
+        def out() -> pa.RecordBatch:
+            rows = [np.arange(first, first + len(x)) for first, x in sums.items()]
+            row, total = np.concatenate(rows), np.concatenate(list(sums.values()))
+            sums.clear()
+            some = total != 0
+            return pa.RecordBatch.from_arrays([pa.array(row[some]), pa.array(total[some])], ["row", "score_cold"])
+
+        now, parts, key, log = None, [], None, None
+        for b in batches:
+            for first, g, keys, texts, times in zip(*(c.to_pylist() for c in b.columns)):
+                if g != now:
+                    now, parts, key = g, [], None
+                if first < 0:
+                    parts.append((unpacked(keys, np.uint64), unpacked(texts, np.int64)))
+                    continue
+                if key is None:
+                    key, log = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+                    order = np.argsort(key)
+                    key, log = np.append(key[order], np.uint64(2**64 - 1)), np.append(log[order], 0)  # no sequence has eight bytes
+                    parts = []
+                asked, text = unpacked(keys, np.uint64), unpacked(texts, np.int64)
+                at = np.searchsorted(key, asked)
+                value = np.where(key[at] == asked, log[at], 0) * unpacked(times, np.int64)
+                n, total = int(text.max()) + 1, sums.get(first)
+                if total is None or len(total) < n:
+                    total = np.append(np.zeros(0, np.int64) if total is None else total, np.zeros(n - (0 if total is None else len(total)), np.int64))
+                    sums[first] = total
+                np.add.at(total, text, value)
+            if sum(map(len, sums.values())) > 4 * FOLD:
+                yield out()
+        if sums:
+            yield out()
+
+    names = ["row", "g", "keys", "texts", "times"]
+    schema = "row long, g int, keys binary, texts binary, times binary"
+    both = values.select("key", "log").mapInArrow(pack, schema).unionByName(entries.select(*names))
+    found = both.repartition("g").sortWithinPartitions("g", "row").mapInArrow(run, "row long, score_cold long")
+    return cut_arrays(found.groupBy("row").agg(F.sum("score_cold").alias("score_cold")), "lm-sums")
+
+
 class Model:
     """The sequences (key, n) with their customers, and the probability of every symbol after every one."""
 
@@ -441,12 +523,10 @@ def scores(docs: DataFrame, counts: DataFrame, model: Model, *, id_col: str = "d
     unsigned = lambda t: t.column("key").to_numpy().astype(np.int64).view(np.uint64)
     shared = Shared(docs.sparkSession, (
         Lookup(unsigned(frequent)), frequent.column("log").to_numpy(), Lookup(unsigned(hot)), np.log10((hot.column("n").to_numpy() + 0.1) / below)))
-    names = ["row", "doc_id", "n_tokens", "n_hot", "base_hot", "score_hot", "cold"]
-
-    def cold_entries(kind: int, key: np.ndarray, of: np.ndarray, each: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(text, kind, key, times) of the keys ``each`` of the texts ``of``."""
-        pair, times = np.unique(of * max(1, len(key)) + each, return_counts=True)
-        return pair // max(1, len(key)), np.full(len(pair), kind, np.int8), key[pair % max(1, len(key))], times
+    schema = (f"row long, doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_tokens long, n_hot long, base_hot double, score_hot long, "
+              "cold array<struct<key:bigint,times:bigint>>, g int, keys binary, texts binary, times binary")
+    names = ["row", "doc_id", "n_tokens", "n_hot", "base_hot", "score_hot", "cold", "g", "keys", "texts", "times"]
+    cold_type = pa.list_(pa.struct([("key", pa.int64()), ("times", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sequences, log, known, value = shared.value
@@ -466,7 +546,12 @@ def scores(docs: DataFrame, counts: DataFrame, model: Model, *, id_col: str = "d
             found[rare] = 0
             score = np.add.reduceat(found, np.cumsum(size) - size)
             rare_keys, which = np.unique(key[rare], return_inverse=True)
-            entries = [cold_entries(GRAMS, rare_keys, np.searchsorted(np.cumsum(size), rare, "right"), which)]
+            if len(rare):
+                pair, times = np.unique(which * len(size) + np.searchsorted(np.cumsum(size), rare, "right"), return_counts=True)
+                each = rare_keys[pair // len(size)]
+                used, *arrays = dealt(spread(each), each, pair % len(size), times.astype(np.int64))
+                none = [pa.nulls(len(used), t) for t in (b.schema.field("doc_id").type, pa.int64(), pa.int64(), pa.float64(), pa.int64(), cold_type)]
+                yield pa.RecordBatch.from_arrays([pa.array([row] * len(used), pa.int64()), *none, used, *arrays], names)
             # words likewise
             key = np.fromiter(map(xxhash.xxh64_intdigest, kinds), np.uint64, len(kinds))
             at = known.find(key)
@@ -477,28 +562,23 @@ def scores(docs: DataFrame, counts: DataFrame, model: Model, *, id_col: str = "d
             base = np.add.reduceat(np.where(is_hot[each], value[at[each]] if len(value) else 0.0, 0.0), begin)
             n_hot = np.add.reduceat(is_hot[each].astype(np.int64), begin)
             cold = ~is_hot[each]
-            entries.append(cold_entries(WORDS, key, np.repeat(np.arange(len(n)), n)[cold], each[cold]))
-            text, kind, key, times = (np.concatenate(x) for x in zip(*entries))
-            order = np.argsort(text, kind="stable")
-            ends = np.searchsorted(text[order], np.arange(len(n) + 1)).astype(np.int32)
-            entry = pa.StructArray.from_arrays([pa.array(kind[order]), signed(key[order]), pa.array(times[order].astype(np.int64))], ["kind", "key", "times"])
+            of = np.repeat(np.arange(len(n)), n)[cold]
+            pair, times = np.unique(of * len(key) + each[cold], return_counts=True)
+            ends = np.searchsorted(pair // len(key), np.arange(len(n) + 1)).astype(np.int32)
+            entry = pa.StructArray.from_arrays([signed(key[pair % len(key)]), pa.array(times.astype(np.int64))], ["key", "times"])
+            none = [pa.nulls(len(n), t) for t in (pa.int32(), pa.binary(), pa.binary(), pa.binary())]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(row + np.arange(len(n))), b.column("doc_id"), pa.array(n), pa.array(n_hot), pa.array(base), pa.array(score),
-                 pa.ListArray.from_arrays(pa.array(ends), entry)], names)
+                 pa.ListArray.from_arrays(pa.array(ends), entry), *none], names)
             row += len(n)
 
-    schema = (f"row long, doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_tokens long, n_hot long, base_hot double, score_hot long, "
-              "cold array<struct<kind:byte,key:long,times:long>>")
-    scored = cut(rows.mapInArrow(run, schema), "lm-scored")
-    words = vocabulary.select(F.lit(WORDS).cast("byte").alias("kind"), "key", F.col("n").alias("value"))
-    rest = values.where(F.col("size") < least).select(F.lit(GRAMS).cast("byte").alias("kind"), "key", F.col("log").alias("value"))
-    rare = scored.select("row", F.explode("cold").alias("c")).select("row", "c.*").join(words.unionByName(rest), ["kind", "key"], "left")
-    a_word = F.col("kind") == WORDS
+    both = cut(rows.mapInArrow(run, schema), "lm-scored")
+    scored, entries = both.where("g IS NULL").drop("g", "keys", "texts", "times"), both.where("g IS NOT NULL")
+    rare = scored.select("row", F.explode("cold").alias("c")).select("row", "c.*").join(vocabulary.select("key", F.col("n").alias("value")), "key", "left")
     log = F.log10((F.coalesce("value", F.lit(0)) + 0.1) / F.lit(below))
-    rare = rare.groupBy("row").agg(
-        F.sum(F.when(a_word, F.col("times") * log)).alias("base_cold"), F.sum(F.when(a_word & (F.col("value") > 0), F.col("times"))).alias("n_cold"),
-        F.sum(F.when(~a_word, F.col("times") * F.col("value"))).alias("score_cold"))
-    return scored.drop("cold").join(rare, "row", "left").select(
+    rare = rare.groupBy("row").agg(F.sum(F.col("times") * log).alias("base_cold"), F.sum(F.when(F.col("value") > 0, F.col("times"))).alias("n_cold"))
+    sums = summed_logs(entries, values.where(F.col("size") < least))
+    return scored.drop("cold").join(rare, "row", "left").join(sums, "row", "left").select(
         "doc_id", "n_tokens", (F.col("n_hot") + F.coalesce("n_cold", F.lit(0))).alias("n_known"), F.lit(n_all).cast("long").alias("train_tokens"),
         (F.col("base_hot") + F.coalesce("base_cold", F.lit(0.0))).alias("base_score"),
         ((F.col("score_hot") + F.coalesce("score_cold", F.lit(0))) / UNIT).alias("score"))

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from fieldnotes.llm import language_model as lm
 
@@ -128,3 +129,30 @@ def test_sequences_of_other_texts_change_no_seating(spark):
     assert sorted(map(tuple, every.where("n > 0").collect())) == sorted(map(tuple, some.collect())) and every.where("n = 0").count() > 0
     one = lm.scores(docs, some, lm.train(some)).orderBy("doc_id").collect()
     assert one == lm.scores(docs, every, lm.train(every), counted=True).orderBy("doc_id").collect()
+
+
+def test_rare_sequences_meet_the_table_in_arrays(spark):
+    """Sums by text over packed entries of two slices, with a long text, repeats, large logarithms and sequences that the table lacks."""
+    rng = np.random.default_rng(47)
+    key = np.unique(rng.integers(0, 1 << 56, 5000).astype(np.uint64))
+    log = -rng.integers(1, 20 << 32, len(key))
+    values = spark.createDataFrame(pa.table({"key": lm.signed(key), "log": log})).repartition(3)
+    rows, want = [], {}
+    for first in (0, 1 << 33):
+        own = np.append(key[rng.integers(0, len(key), 4000)], np.uint64(7))
+        text, times = rng.integers(0, 50, len(own)), rng.integers(1, 1 << 10, len(own))
+        text[:3000] = 3
+        for k, t, n in zip(own, text, times):
+            at = int(np.searchsorted(key, k))
+            want[first + int(t)] = want.get(first + int(t), 0) + (int(log[at]) * int(n) if key[at] == k else 0)
+        rows += [(first, *r) for r in zip(*(c.to_pylist() for c in lm.dealt(lm.spread(own), own, text, times)))]
+    entries = spark.createDataFrame(rows, "row long, g int, keys binary, texts binary, times binary").repartition(4)
+    assert {r["row"]: r["score_cold"] for r in lm.summed_logs(entries, values).collect()} == {r: x for r, x in want.items() if x}
+    assert lm.summed_logs(entries.limit(0), values).count() == 0
+
+
+def test_packed_numbers_come_back_and_take_less():
+    x = np.sort(np.random.default_rng(3).integers(-(1 << 62), 1 << 62, 1000))
+    for n in (0, 1, 1000):
+        assert (lm.unpacked(lm.packed(x[:n]), np.int64) == x[:n]).all()
+    assert len(lm.packed(np.arange(1000))) < 1000
