@@ -22,7 +22,7 @@ dishes without a customer, which change no seating and get the restaurants' pred
 
 A text's score is the sum over its sequences. The most frequent ones (at most
 2**``FREQUENT``) are broadcast with their logarithms; the rest of a text's, packed in arrays by buckets of
-the sequences, meet the table's in a task per bucket, which adds them up by text. Logarithms are whole multiples of 1 / ``UNIT``, so sums do not depend on their order.
+the sequences, meet the table's bucket by bucket in a fixed number of tasks, each of which adds them up by text. Logarithms are whole multiples of 1 / ``UNIT``, so sums do not depend on their order.
 
 The base score needs the count of every word. Words that make up at least
 2**-``HOT`` of all tokens (so at most 2**``HOT`` of them) are broadcast with their
@@ -64,6 +64,7 @@ SLICE = 1 << 20  # bytes of text worked on at once
 FOLD = 1 << 18  # distinct words, and sequences by the fourfold, a task holds before it hands their counts on
 BUCKETS = 256  # that sequences are dealt to by the two symbols before the last
 GROUP = 1 << 16  # sequences that are sampled together, about
+JOINED = 32  # partitions in which texts meet the table; a text has at most one sum in each, so their number stays in proportion to the texts
 BATCH_BYTES = 16 << 20  # of arrays that a task gets at once
 UNIT = 1 << 32
 WORDS, GRAMS = 0, 1
@@ -399,7 +400,7 @@ class Lookup:
 def summed_logs(entries: DataFrame, values: DataFrame) -> DataFrame:
     """(row, score_cold): the sums by row of times * log of the ``entries`` (row, g, keys, texts, times), packed by ``spread``, over the sequences ``values`` (key, log).
 
-    A row of ``entries`` holds numbers of texts that count from its ``row``. Of a bucket the sequences come first; a task holds those of one bucket.
+    A row of ``entries`` holds numbers of texts that count from its ``row``. Of a bucket the sequences come first; a task holds those of one bucket at a time.
     """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -457,7 +458,7 @@ def summed_logs(entries: DataFrame, values: DataFrame) -> DataFrame:
     names = ["row", "g", "keys", "texts", "times"]
     schema = "row long, g int, keys binary, texts binary, times binary"
     both = values.select("key", "log").mapInArrow(pack, schema).unionByName(entries.select(*names))
-    found = both.repartition("g").sortWithinPartitions("g", "row").mapInArrow(run, "row long, score_cold long")
+    found = both.repartition(JOINED, "g").sortWithinPartitions("g", "row").mapInArrow(run, "row long, score_cold long")
     return cut_arrays(found.groupBy("row").agg(F.sum("score_cold").alias("score_cold")), "lm-sums")
 
 

@@ -156,3 +156,16 @@ def test_packed_numbers_come_back_and_take_less():
     for n in (0, 1, 1000):
         assert (lm.unpacked(lm.packed(x[:n]), np.int64) == x[:n]).all()
     assert len(lm.packed(np.arange(1000))) < 1000
+
+
+def test_sums_in_proportion_to_texts(spark, monkeypatch):
+    """However many shuffle partitions there are, a text has at most one partial sum in each of a fixed number of tasks."""
+    held = []
+    monkeypatch.setattr(lm, "cut_arrays", lambda df, name: held.append(df) or df)
+    values = spark.createDataFrame([(i, -1) for i in range(1000)], "key long, log long")
+    key, text = np.arange(1000, dtype=np.uint64), np.arange(1000) % 7
+    rows = [(0, *r) for r in zip(*(c.to_pylist() for c in lm.dealt(lm.spread(key), key, text, np.ones(1000, np.int64))))]
+    entries = spark.createDataFrame(rows, "row long, g int, keys binary, texts binary, times binary")
+    got = {r["row"]: r["score_cold"] for r in lm.summed_logs(entries, values).collect()}
+    assert got == {t: -int((text == t).sum()) for t in range(7)}
+    assert "hashpartitioning(g#" in (plan := held[0]._jdf.queryExecution().toString()) and f", {lm.JOINED})" in plan
