@@ -340,7 +340,7 @@ def sampled(sequences: DataFrame, groups: int, above: np.ndarray, sweeps: int, k
         t = pa.Table.from_batches(held)
         held.clear()
         keys, ns, above = t.column("key").to_numpy().view(np.uint64), t.column("n").to_numpy(), shared.value
-        group = bucket(keys) % groups
+        group = bucket(keys) & np.uint8(groups - 1)  # as ``%``, but 256 is no uint8
         for g in np.unique(group):
             own = np.flatnonzero(group == g)
             own = own[np.argsort(keys[own])]

@@ -122,6 +122,18 @@ def test_rare_sequences_have_dishes(spark, monkeypatch):
         assert math.isclose(got[i], want, abs_tol=1e-6)
 
 
+def test_as_many_groups_as_buckets(spark, monkeypatch):
+    """With so many sequences that every bucket is a group, all of them are sampled, and predictions are distributions."""
+    monkeypatch.setattr(lm, "GROUP", 1)
+    counts, model = trained(spark, ["the cat sat on the mat", "the dog sat on the log", "one two three four five six seven", "pack my box with five dozen liquor jugs", "how quickly daft jumping zebras vex"])
+    want = [tuple(r) for r in counts.where("kind = 1").select("key", "n").collect()]
+    assert len(want) >= lm.BUCKETS // 2 and model.groups == lm.BUCKETS
+    assert sorted((r["key"], r["n"]) for r in model.table().collect()) == sorted(want)
+    for context in (b"the ca", b"zzzzzz", b"x with"):
+        keys = (np.uint64(int.from_bytes(context, "big")) << np.uint64(8)) | np.arange(256, dtype=np.uint64)
+        assert abs((10 ** model.log10(keys)).sum() - 1) < 1e-5
+
+
 def test_sequences_of_other_texts_change_no_seating(spark):
     docs = spark.createDataFrame([(1, "the cat sat on the mat"), (2, "one dog and another dog"), (3, None)], "doc_id long, text string")
     some = lm.corpus_counts(docs.where("doc_id <> 2").select("text"))
