@@ -22,7 +22,8 @@ dishes without a customer, which change no seating and get the restaurants' pred
 
 A text's score is the sum over its sequences. The most frequent ones (at most
 2**``FREQUENT``) are broadcast with their logarithms; the rest of a text's, packed in arrays by buckets of
-the sequences, meet the table's bucket by bucket in a fixed number of tasks, each of which adds them up by text. Logarithms are whole multiples of 1 / ``UNIT``, so sums do not depend on their order.
+the sequences, meet the table's bucket by bucket in a fixed number of tasks, each of which adds them up by text; its sums are packed again,
+dealt by the arrays they come from and added. Logarithms are whole multiples of 1 / ``UNIT``, so sums do not depend on their order.
 
 The base score needs the count of every word. Words that make up at least
 2**-``HOT`` of all tokens (so at most 2**``HOT`` of them) are broadcast with their
@@ -64,7 +65,8 @@ SLICE = 1 << 20  # bytes of text worked on at once
 FOLD = 1 << 18  # distinct words, and sequences by the fourfold, a task holds before it hands their counts on
 BUCKETS = 256  # that sequences are dealt to by the two symbols before the last
 GROUP = 1 << 16  # sequences that are sampled together, about
-JOINED = 32  # partitions in which texts meet the table; a text has at most one sum in each, so their number stays in proportion to the texts
+JOINED = 64  # partitions in which texts meet the table; up to SUMS texts have at most one sum in each, so their number stays in proportion to the texts
+SUMS = 1 << 24  # of texts that a task holds before it hands them on, packed by the arrays they come from
 BATCH_BYTES = 16 << 20  # of arrays that a task gets at once
 UNIT = 1 << 32
 WORDS, GRAMS = 0, 1
@@ -397,6 +399,16 @@ class Lookup:
         return out
 
 
+def longer(sums: dict[int, np.ndarray], at: int, n: int) -> np.ndarray:
+    """The numbers ``at`` of ``sums``, with zeros behind them if they are less than ``n``."""
+    have = sums.get(at)
+    if have is None or len(have) < n:
+        sums[at] = np.zeros(n, np.int64)
+        if have is not None:
+            sums[at][: len(have)] = have
+    return sums[at]
+
+
 def summed_logs(entries: DataFrame, values: DataFrame) -> DataFrame:
     """(row, score_cold): the sums by row of times * log of the ``entries`` (row, g, keys, texts, times), packed by ``spread``, over the sequences ``values`` (key, log).
 
@@ -422,12 +434,10 @@ def summed_logs(entries: DataFrame, values: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}  # by the first text of an array
 
-        def out() -> pa.RecordBatch:
-            rows = [np.arange(first, first + len(x)) for first, x in sums.items()]
-            row, total = np.concatenate(rows), np.concatenate(list(sums.values()))
-            sums.clear()
-            some = total != 0
-            return pa.RecordBatch.from_arrays([pa.array(row[some]), pa.array(total[some])], ["row", "score_cold"])
+        def out() -> Iterator[pa.RecordBatch]:
+            while sums:
+                first, total = zip(*(sums.popitem() for _ in range(min(len(sums), BUCKETS))))
+                yield pa.RecordBatch.from_arrays([pa.array(first, pa.int64()), pa.array(map(packed, total), pa.binary())], ["row", "sums"])
 
         now, parts, key, log = None, [], None, None
         for b in batches:
@@ -445,21 +455,28 @@ def summed_logs(entries: DataFrame, values: DataFrame) -> DataFrame:
                 asked, text = unpacked(keys, np.uint64), unpacked(texts, np.int64)
                 at = np.searchsorted(key, asked)
                 value = np.where(key[at] == asked, log[at], 0) * unpacked(times, np.int64)
-                n, total = int(text.max()) + 1, sums.get(first)
-                if total is None or len(total) < n:
-                    total = np.append(np.zeros(0, np.int64) if total is None else total, np.zeros(n - (0 if total is None else len(total)), np.int64))
-                    sums[first] = total
-                np.add.at(total, text, value)
-            if sum(map(len, sums.values())) > 4 * FOLD:
-                yield out()
-        if sums:
-            yield out()
+                np.add.at(longer(sums, first, int(text.max()) + 1), text, value)
+            if sum(map(len, sums.values())) > SUMS:
+                yield from out()
+        yield from out()
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for first, part in zip(*(c.to_pylist() for c in b.columns)):
+                part = unpacked(part, np.int64)
+                longer(sums, first, len(part))[: len(part)] += part
+        while sums:
+            first, total = zip(*(sums.popitem() for _ in range(min(len(sums), BUCKETS))))
+            row, total = np.concatenate([np.arange(f, f + len(x)) for f, x in zip(first, total)]), np.concatenate(total)
+            some = total != 0
+            yield pa.RecordBatch.from_arrays([pa.array(row[some]), pa.array(total[some])], ["row", "score_cold"])
 
     names = ["row", "g", "keys", "texts", "times"]
     schema = "row long, g int, keys binary, texts binary, times binary"
     both = values.select("key", "log").mapInArrow(pack, schema).unionByName(entries.select(*names))
-    found = both.repartition(JOINED, "g").sortWithinPartitions("g", "row").mapInArrow(run, "row long, score_cold long")
-    return cut_arrays(found.groupBy("row").agg(F.sum("score_cold").alias("score_cold")), "lm-sums")
+    found = both.repartition(JOINED, "g").sortWithinPartitions("g", "row").mapInArrow(run, "row long, sums binary")
+    return cut_arrays(found.repartition("row").mapInArrow(added, "row long, score_cold long"), "lm-sums")
 
 
 class Model:
